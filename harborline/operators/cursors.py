@@ -66,7 +66,8 @@ def stamp_running(rows: DataFrame, group: str = "instance_id", key: str = "curso
              .join(numbered.select(*parts, "_no"), [group, "_no"]).select(*parts, "_carry"))
 
     w = W.partitionBy(*parts).orderBy(order)
-    run_end = ~F.col(key).eqNullSafe(F.lead(key).over(w))
+    run_end = (~F.col(key).eqNullSafe(F.lead(key).over(w))
+               | F.lead(position).over(w).isNull())
     closed = (cut.withColumn("_end", F.when(run_end & F.col(position).isNotNull(), entry))
               .withColumn("_closed", F.collect_list("_end").over(
                   w.rowsBetween(W.unboundedPreceding, -1))))
