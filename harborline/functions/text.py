@@ -11,7 +11,7 @@ import re
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 # Anything here makes tag-splitting differ from real tokenizing: references,
 # comments/declarations, raw-text elements, '>' inside a quoted attribute, a
@@ -28,7 +28,7 @@ def text_nodes(html: str) -> str:
     return "\n".join(filter(None, map(str.strip, parts)))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _parsed_text(html: pd.Series) -> pd.Series:
     return html.map(text_nodes, na_action="ignore")
 
@@ -65,7 +65,7 @@ _MARKDOWN_STEPS = (
 _HEADING = r"(?s)<h([1-6])[^>]*>(.*?)</h\1>"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _headings_to_marks(html: pd.Series) -> pd.Series:
     # Deepest level first: a heading nested in a shallower one is converted
     # before the outer body is reduced to text.

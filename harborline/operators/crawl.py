@@ -5,7 +5,7 @@ from __future__ import annotations
 from urllib.parse import urljoin, urlsplit, urlunsplit
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from harborline.catalog import values as V
 from harborline.functions.names import extension, url_allowed, url_host
@@ -19,7 +19,7 @@ def _resolve(base: str, link: str) -> str:
     return urlunsplit((parts.scheme, parts.netloc, path, parts.query, ""))
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def _resolved(base: pd.Series, links: pd.Series) -> pd.Series:
     return pd.Series([None if b is None or ls is None else [_resolve(b, l) for l in ls]
                       for b, ls in zip(base, links)], dtype=object)
