@@ -150,15 +150,16 @@ def fn_feed_date(t: Tables):
 # --------------------------------------------------------------------- markup
 
 # The generator's pages hold one raw script with a tag-like string, comments
-# and four kinds of references.  Some pages are cut off: an unfinished tag is
+# and four kinds of references (of which one may lack its semicolon).  Some pages are cut off: an unfinished tag is
 # no text, and neither is a last text that ends inside a reference.
 TEXT_SQL = r"""
 t1 AS (SELECT page_id, regexp_replace(regexp_replace(replace(html, 'var t="</p>";', 'var t="' || chr(1) || '/p>";'),
   '<!--.*?-->', '<x>', 'gs'), '<[A-Za-z/!][^>]*$', '<x>') AS h FROM pages),
 t2 AS (SELECT page_id, string_split_regex(h, '<[A-Za-z/!][^>]*>') AS parts FROM t1),
 t3 AS (SELECT page_id, list_transform(CASE WHEN regexp_matches(parts[-1], '&[^;\s]{0,33}$')
-  THEN parts[:-2] ELSE parts END, lambda p: trim(replace(replace(replace(replace(replace(
-    p, chr(1), '<'), '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&'),
+  THEN parts[:-2] ELSE parts END, lambda p: trim(regexp_replace(
+    replace(replace(replace(replace(p, chr(1), '<'), '&copy;', '©'), '&middot;', '·'), '&quot;', '"'),
+    '&amp;?', '&', 'g'),
     ' ' || chr(10) || chr(9) || chr(13))) AS parts FROM t2)
 SELECT page_id, array_to_string(list_filter(parts, lambda p: p <> ''), chr(10)) AS text FROM t3"""
 

@@ -48,6 +48,7 @@ def main():
     root = f"/root/testdata/sf{args.sf}"
     spark = build_session("compare", "local[8]", **{
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
