@@ -1 +1,116 @@
-"""x"""
+"""Stream jobs over the given tables: the table is the landing folder, the job
+runs until it has read everything, and the sink table is the answer."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from harborline.catalog import values as V
+from harborline.operators import validate
+from harborline.plans import batch
+from harborline.queries import derive as D, intake as I
+from harborline.queries.bookkeeping import HEALTH_SQL
+from harborline.queries.registry import Tables, query
+from harborline.queries.tables import CDC_FIELDS_SQL, CHANGES_SQL, cdc_fields, changes
+from harborline.session import shared_dir
+from harborline.sources import objects
+from harborline.streaming import alerts, intake
+
+
+class Streamed(Tables):
+    """The same tables, read as streams, so that derivations serve both."""
+
+    def __getattr__(self, name):
+        # A glob of one file: a stream source lists folders or globs.
+        path = f"{self.root}/{name}.parque[t]"
+        return intake.read_table(self.spark, path, schema=self.spark.read.parquet(self.path(name)).schema)
+
+
+def run(stream, work, root: str):
+    intake.start(stream, work, f"{root}/checkpoint").awaitTermination()
+
+
+def collect(stream, root: str):
+    """Run to the end into a table owned by micro-batch, and read it."""
+    run(stream, intake.append_to(f"{root}/out"), root)
+    return (stream.sparkSession.read.schema(stream.schema).parquet(f"{root}/out")
+            .select(*stream.columns))
+
+
+def streamed(t: Tables) -> Streamed:
+    return Streamed(t.spark, t.root)
+
+
+@query("st_polling", """SELECT event_id, ts, user_id FROM events WHERE event_id > 2500""")
+def st_polling(t: Tables):
+    rows = streamed(t).events.where("event_id > 2500").select("event_id", "ts", "user_id")
+    return collect(rows, shared_dir(t.spark, "polling"))
+
+
+@query("st_file_drop", None)
+def st_file_drop(t: Tables):
+    """The table files themselves are the drop."""
+    drop = intake.read_drop(t.spark, t.root, glob="*.parquet")
+    docs = objects.object_scan(objects.listing(drop, t.root), "drop", "d1", seq=F.lit(0))
+    return collect(docs.select("id", "source_ref.uri", "size_bytes", "checksum"),
+                   shared_dir(t.spark, "drop"))
+
+
+@query("st_webhook", f"WITH {I.HOOK_SQL} SELECT DISTINCT event_id, event_type, delivery_id FROM ev WHERE {I.ACQUIRE_SQL}")
+def st_webhook(t: Tables):
+    hooks = intake.webhook_stream(I.deliveries(streamed(t)), I.SECRET)
+    return collect(hooks.select("event_id", "event_type", "delivery_id"), shared_dir(t.spark, "hooks"))
+
+
+@query("st_cdc", f"WITH {CHANGES_SQL} {CDC_FIELDS_SQL}")
+def st_cdc(t: Tables):
+    docs = intake.cdc_stream(changes(streamed(t)), "db1")
+    return collect(cdc_fields(docs), shared_dir(t.spark, "cdc"))
+
+
+@query("dd_stream_bounded", """SELECT DISTINCT sha256(text) AS id FROM documents""")
+def dd_stream_bounded(t: Tables):
+    rows = streamed(t).documents.select(
+        F.sha2(F.encode("text", "UTF-8"), 256).alias("id"), D.at(F.col("doc_id")).alias("acquired_at"))
+    return collect(intake.bounded_dedup(rows, window="3650 days").select("id"), shared_dir(t.spark, "recent"))
+
+
+STORE_SQL = f"""WITH {D.ROUTED_SQL} SELECT connector_id, instance_id, count(*) AS stored,
+  sum(size_bytes)::BIGINT AS bytes FROM routed WHERE status = 'done' GROUP BY ALL"""
+
+
+def stored(t: Tables, store: str):
+    docs = t.spark.read.parquet(f"{store}/repository/documents")
+    return docs.groupBy("connector_id", "instance_id").agg(
+        F.count("*").alias("stored"), F.sum("size_bytes").alias("bytes"))
+
+
+@query("pipe_batch", STORE_SQL)
+def pipe_batch(t: Tables):
+    """The batch is run twice: the second run must change nothing."""
+    store = shared_dir(t.spark, "store")
+    for _ in range(2):
+        batch.run_batch(D.landed_documents(t), store, 0, validate.default_rules(D.MAX_BYTES))
+    return stored(t, store)
+
+
+@query("st_process", STORE_SQL)
+def st_process(t: Tables):
+    """Each half of the stream repeats ids of the other; none is stored twice."""
+    root = shared_dir(t.spark, "process")
+    work = intake.process_to(f"{root}/store", lambda b: b, validate.default_rules(D.MAX_BYTES))
+    run(D.landed_documents(streamed(t)), work, root)
+    return stored(t, f"{root}/store")
+
+
+@query("st_health_alert", f"""WITH {HEALTH_SQL}, p AS (SELECT *,
+  lag(healthy) OVER (PARTITION BY instance_id ORDER BY seq) AS was FROM health)
+SELECT instance_id::VARCHAR AS resource_id, seq, CASE WHEN was THEN 'HEALTHY' ELSE 'UNHEALTHY' END AS previous,
+  CASE WHEN healthy THEN 'HEALTHY' ELSE 'UNHEALTHY' END AS current FROM p WHERE was <> healthy""")
+def st_health_alert(t: Tables):
+    calls = streamed(t).events.select(
+        F.col("user_id").cast("string").alias("resource_id"), F.col("event_id").alias("seq"),
+        (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("at_s"),
+        (F.col("event_type") != "error").alias("ok"))
+    out = collect(alerts.alerts(calls), shared_dir(t.spark, "alerts"))
+    return out.where("kind = 'health'").select("resource_id", "seq", "previous", "current")

@@ -9,6 +9,7 @@ from harborline.functions.text import rich_text
 from harborline.operators.envelope import envelope
 from harborline.operators.filters import note_wanted
 from harborline.operators.joins import nest
+from harborline.session import shared_dir
 from harborline.sources.common import json_doc, meta, tag, text_or
 
 _RUNS = "array<struct<plain_text:string>>"
@@ -36,18 +37,27 @@ def block_paths(pages: DataFrame, blocks: DataFrame,
                 max_depth: int = V.MAX_BLOCK_DEPTH) -> DataFrame:
     """Blocks (block_id, parent_id, ordinal, type, text, has_children) placed
     in their page's tree: page_id, depth and the ordinal path that sorts them
-    in reading order.  One equi-join per level."""
-    level = (pages.select(F.col("id").alias("page_id"), F.col("id").alias("parent_id"))
-             .join(blocks, "parent_id")
-             .withColumn("depth", F.lit(0)).withColumn("path", F.array("ordinal")))
-    out = level
-    for depth in range(1, max_depth + 1):
-        above = level.where("has_children").select(
-            F.col("block_id").alias("parent_id"), "page_id", F.col("path").alias("_path"))
-        level = (above.join(blocks, "parent_id").withColumn("depth", F.lit(depth))
-                 .withColumn("path", F.concat("_path", F.array("ordinal"))).drop("_path"))
-        out = out.unionByName(level)
-    return out
+    in reading order.
+
+    One equi-join per level.  A level is written to the shared folder and the
+    next one starts from it, so no level repeats the joins above it; what is
+    joined is the level's thin (block, page, path), never its text.
+    """
+    spark = blocks.sparkSession
+    base = shared_dir(spark, "blocks")
+    above = pages.select(F.col("id").alias("parent_id"), F.col("id").alias("page_id"),
+                         F.array().cast("array<int>").alias("_path"))
+    schema = None
+    for depth in range(max_depth + 1):
+        level = (blocks.join(above, "parent_id")
+                 .withColumn("path", F.concat("_path", F.array(F.col("ordinal").cast("int"))))
+                 .drop("_path"))
+        level.write.parquet(f"{base}/depth={depth}")
+        schema = schema or level.schema
+        above = (spark.read.schema(level.schema).parquet(f"{base}/depth={depth}")
+                 .where("has_children").select(F.col("block_id").alias("parent_id"), "page_id",
+                                               F.col("path").alias("_path")))
+    return spark.read.schema(schema.add("depth", "int")).parquet(base)
 
 
 def block_line(kind: Column, text: Column, depth: Column) -> Column:
