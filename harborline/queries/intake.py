@@ -139,11 +139,10 @@ def ext_source(t: Tables):
     from harborline.sources.common import SourceRegistry, json_doc
 
     def hook_source(landed, cursors, instance_id):
-        since = cursors.where(F.col("instance_id") == instance_id).select(
-            F.col("value").alias("since"))
-        events = webhook.acquiring(webhook.events(landed.where("copy = 0"), SECRET)).crossJoin(
-            F.broadcast(since))  # one stored position
-        kept = events.where(delta(F.col("event_id").cast("string"), F.col("since"), op=">", kind="bigint"))
+        events = webhook.acquiring(webhook.events(landed.where("copy = 0"), SECRET))
+        stored = cursors.select("instance_id", F.col("value").alias("since"))
+        placed = events.withColumn("instance_id", F.lit(instance_id)).join(stored, "instance_id", "left")
+        kept = placed.where(delta(F.col("event_id").cast("string"), F.col("since"), op=">", kind="bigint"))
         return envelope(kept, connector_id="hook", instance_id=F.lit(instance_id),
                         uri=F.concat(F.lit("hook://"), "delivery_id"), version=F.col("delivery_id"),
                         content=json_doc(kind=F.col("event_type")), content_type="application/json",

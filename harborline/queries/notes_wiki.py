@@ -9,6 +9,7 @@ from harborline.operators.filters import note_wanted
 from harborline.queries import derive as D
 from harborline.queries.crawl_web import MARKDOWN_SQL, wiki_markup
 from harborline.queries.registry import Tables, query
+from harborline.session import materialize
 from harborline.sources import notes, wiki
 from harborline.sources.common import iso, landed
 
@@ -112,9 +113,10 @@ def note_blocks(t: Tables):
     above = F.when(level == 0, F.concat(F.lit("n"), k)).otherwise(
         F.concat(F.lit("n"), k, F.lit("b"), (level - 1) * 2))
     kind = F.element_at(F.array(*map(F.lit, BLOCK_TYPES)), ((k + F.col("i")) % len(BLOCK_TYPES) + 1).cast("int"))
-    return rows.select(own.alias("block_id"), above.alias("parent_id"), side.cast("int").alias("ordinal"),
+    # Landed as a table: the tree walk reads it once per level.
+    return materialize(rows.select(own.alias("block_id"), above.alias("parent_id"), side.cast("int").alias("ordinal"),
                        kind.alias("type"), F.coalesce(F.get("w", F.col("i")), F.lit("")).alias("text"),
-                       ((side == 0) & (level < 6)).alias("has_children"))
+                       ((side == 0) & (level < 6)).alias("has_children")), "landed-blocks")
 
 
 # Levels 0 to 5 are read.  The chain nests under the first sibling of each

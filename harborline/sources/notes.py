@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from harborline.catalog import values as V
 from harborline.functions.text import rich_text
@@ -57,7 +57,7 @@ def block_paths(pages: DataFrame, blocks: DataFrame,
         above = (spark.read.schema(level.schema).parquet(f"{base}/depth={depth}")
                  .where("has_children").select(F.col("block_id").alias("parent_id"), "page_id",
                                                F.col("path").alias("_path")))
-    return spark.read.schema(schema.add("depth", "int")).parquet(base)
+    return spark.read.schema(schema.add("depth", T.IntegerType())).parquet(base)
 
 
 def block_line(kind: Column, text: Column, depth: Column) -> Column:
