@@ -2,38 +2,62 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from harborline.catalog import values as V
 from harborline.functions.names import mime_major
 from harborline.operators.ordered import limit_per_key
+from harborline.session import materialize
+
+
+def _text_bytes(item: Column, schema: T.StructType) -> Column:
+    """Bytes of a struct's top-level strings: never more than its JSON."""
+    lengths = [F.coalesce(F.octet_length(item[f.name]), F.lit(0)) for f in schema.fields
+               if isinstance(f.dataType, T.StringType)]
+    return reduce(lambda a, b: a + b, lengths, F.lit(0)).cast("bigint")
 
 
 def nest(parents: DataFrame, children: DataFrame, keys: list[str], item: Column, order: list[str],
-         name: str, max_bytes: int = V.MAX_DOCUMENT_BYTES) -> DataFrame:
-    """Parents left-joined with their ordered children as array `name`.
+         name: str, max_bytes: int = V.MAX_DOCUMENT_BYTES, bounded: bool = False) -> DataFrame:
+    """Parents left-joined with their ordered children as array `name`; adds
+    `<name>_count` and `<name>_bytes` (a lower bound of the children's JSON).
 
     One parent may own any share of the children, but a document above
     `max_bytes` is rejected by validation anyway.  So children are measured
-    first (a map-side combined sum) and only gathered for parents that can
-    still become a document.  For the others `name` is null and
-    `<name>_bytes` tells validation how large they are.  Adds `<name>_count`.
+    first, with a map-side combined sum, and gathered only for parents that
+    can still become a document; for the others `name` is null and the bytes
+    say why.  The children, stripped to what is nested, are written to the
+    shared folder once, so that parsing them is not repeated; when no parent
+    is too large, which one aggregate tells, the filter is left out.
+
+    `bounded` says that the caller has already limited children per parent.
     """
-    packed = children.withColumn("_item", F.struct(*[F.col(o).alias(f"_o{i}") for i, o
-                                                     in enumerate(order)], item.alias("v")))
-    measured = packed.groupBy(*keys).agg(
-        F.count("*").alias(f"{name}_count"),
-        F.sum(F.octet_length(F.to_json(F.col("_item.v")))).alias(f"{name}_bytes"))
-    large = measured.where(F.col(f"{name}_bytes") > max_bytes).select(*keys)
-    gathered = (packed.join(large, keys, "left_anti").groupBy(*keys)
-                .agg(F.array_sort(F.collect_list("_item")).alias("_items"))
-                .select(*keys, F.transform("_items", lambda e: e["v"]).alias(name)))
-    sized = measured.join(gathered, keys, "left")
-    empty = F.array().cast(dict(gathered.dtypes)[name])
+    packed = children.select(*keys, F.struct(*[F.col(o).alias(f"_o{i}") for i, o
+                                               in enumerate(order)], item.alias("v")).alias("_item"))
+    weight = _text_bytes(F.col("_item.v"), packed.schema["_item"].dataType["v"].dataType)
+    totals = [F.count("*").alias(f"{name}_count"), F.sum(weight).alias(f"{name}_bytes")]
+    gather = F.array_sort(F.collect_list("_item")).alias("_items")
+    unpack = F.transform("_items", lambda e: e["v"]).alias(name)
+    shape = [*keys, f"{name}_count", f"{name}_bytes"]
+
+    if not bounded:
+        packed = materialize(packed, "children")
+        measured = packed.groupBy(*keys).agg(*totals)
+        large = measured.where(F.col(f"{name}_bytes") > max_bytes)
+        bounded = large.isEmpty()
+    if bounded:
+        sized = packed.groupBy(*keys).agg(*totals, gather).select(*shape, unpack)
+    else:
+        small = packed.join(large.select(*keys), keys, "left_anti")
+        sized = (small.groupBy(*keys).agg(*totals, gather).select(*shape, unpack)
+                 .unionByName(large.select(*shape), allowMissingColumns=True))
+    none = F.array().cast(dict(sized.dtypes)[name])
     return (parents.join(sized, keys, "left")
             .withColumn(f"{name}_count", F.coalesce(f"{name}_count", F.lit(0)))
             .withColumn(f"{name}_bytes", F.coalesce(f"{name}_bytes", F.lit(0)))
-            .withColumn(name, F.when(F.col(f"{name}_count") == 0, empty).otherwise(F.col(name))))
+            .withColumn(name, F.when(F.col(f"{name}_count") == 0, none).otherwise(F.col(name))))
 
 
 def thread_replies(messages: DataFrame) -> DataFrame:
@@ -48,7 +72,8 @@ def thread_replies(messages: DataFrame) -> DataFrame:
     item = F.struct(F.coalesce("user", F.lit("")).alias("user"),
                     F.coalesce("text", F.lit("")).alias("text"), F.col("ts").alias("ts"))
     rows = kept.select("channel_id", "thread_ts", F.col("ts").alias("_ts"), item.alias("_v"))
-    return nest(parent, rows, ["channel_id", "thread_ts"], F.col("_v"), ["_ts"], "replies")
+    return nest(parent, rows, ["channel_id", "thread_ts"], F.col("_v"), ["_ts"], "replies",
+                bounded=True)
 
 
 def file_blobs(entries: DataFrame, blobs: DataFrame) -> DataFrame:

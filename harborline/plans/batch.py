@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from harborline.operators import deadletter
 from harborline.operators.cursors import advance_done
 from harborline.operators.repository import Repository
-from harborline.operators.validate import Rule, validated
+from harborline.operators.validate import Rule
 from harborline.plans.route import cycle_result, decide, thin
 
 # Above this many instances in one batch, stored ids are not narrowed to the
@@ -50,17 +50,24 @@ def _known_ids(repo: Repository, rows: DataFrame, batch_id: int) -> DataFrame:
     return stored.select("id")
 
 
-def _new_documents(docs: DataFrame, routed: DataFrame, rule, skipped: int) -> DataFrame:
-    """The documents to store, with as little movement of content as possible:
-    none when nothing was skipped; none when the skipped rows are few enough
-    to send to every task (checked count); else one semi join on `seq`."""
-    if skipped > BROADCAST_ROWS:
-        return docs.join(routed.where("status = 'done'").select("seq"), "seq", "left_semi")
-    valid = validated(docs, rule).where("error is null").drop("error")
-    if not skipped:
-        return valid
-    return valid.join(F.broadcast(routed.where("status = 'skipped'").select("seq")),
-                      "seq", "left_anti")
+def _rows_of(docs: DataFrame, routed: DataFrame, status: str, counts) -> DataFrame:
+    """The documents with one outcome.  Whichever of "these rows" and "the
+    other rows" is few enough to send to every task (a checked count) is sent
+    as bare row numbers, so that document bytes stay where they are; only when
+    both are many is there a shuffle on `seq`."""
+    hit = routed.where(F.col("status") == status).select("seq")
+    n = counts[_COUNTED[status]]
+    if n == counts["found"]:
+        return docs
+    if n <= BROADCAST_ROWS:
+        return docs.join(F.broadcast(hit), "seq", "left_semi")
+    if counts["found"] - n <= BROADCAST_ROWS:
+        return docs.join(F.broadcast(routed.where(F.col("status") != status).select("seq")),
+                         "seq", "left_anti")
+    return docs.join(hit, "seq", "left_semi")
+
+
+_COUNTED = {"done": "processed", "skipped": "skipped", "failed": "failed"}
 
 
 def run_batch(docs: DataFrame, store: str, batch_id: int,
@@ -68,8 +75,8 @@ def run_batch(docs: DataFrame, store: str, batch_id: int,
     """Process `docs` (RAW_DOCUMENTS; `seq` unique and reproducible) into the
     tables under `store`; returns the one-row cycle result.
 
-    Content is scanned for validation and again for the rows written; what is
-    shuffled in between are thin rows.
+    Content is read and hashed once for validation, then read again for the
+    rows written; what is shuffled in between are thin rows.
     """
     spark, store = docs.sparkSession, store.rstrip("/")
     repo = Repository(spark, f"{store}/repository")
@@ -84,14 +91,11 @@ def run_batch(docs: DataFrame, store: str, batch_id: int,
     result = save(cycle_result(routed).withColumn("finished_at", F.current_timestamp()), "jobs")
     counts = result.first()
 
-    repo.append(_new_documents(docs, routed, rule, counts["skipped"]), batch_id)
-    bad = validated(docs, rule).where("error is not null") if counts["failed"] else \
-        validated(docs, rule).limit(0)
-    ref = F.col("source_ref")
-    bad = bad.select("*", ref["connector_id"].alias("connector_id"),
-                     ref["instance_id"].alias("instance_id"), ref["uri"].alias("uri"))
-    save(deadletter.enqueue(bad, batch=F.lit(batch_id), document=[c for c in docs.columns
-                                                                  if c != "seq"]), "dlq")
+    repo.append(_rows_of(docs, routed, "done", counts), batch_id)
+    failed = deadletter.enqueue(routed, batch=F.lit(batch_id))
+    kept = [c for c in docs.columns if c != "seq"]
+    bodies = _rows_of(docs, routed, "failed", counts).select("seq", F.struct(*kept).alias("document"))
+    save(failed.join(bodies, "seq"), "dlq")
     save(events(routed, F.lit(batch_id)), "events")
     save(advance_done(routed).withColumn("cursor_key", F.lit("")), "cursors")
     return result.drop("finished_at")

@@ -13,6 +13,7 @@ from harborline.operators.dedup import keep_first
 from harborline.plans import batch, route
 from harborline.queries import derive as D
 from harborline.queries.registry import Tables, query
+from harborline.session import materialize
 
 # ---------------------------------------------------------------- repository
 
@@ -147,9 +148,14 @@ def dead_letters(t: Tables):
     return DL.enqueue(rows, batch=F.lit("b1"), failed_at=D.at(F.col("seq") * 3))
 
 
-def dismissals(t: Tables):
-    return DL.dismissal(dead_letters(t).where(F.col("seq") % 4 == 3), "known",
-                        D.at(F.col("seq")))
+def dismissals(entries):
+    return DL.dismissal(entries.where(F.col("seq") % 4 == 3), "known", D.at(F.col("seq")))
+
+
+def settled(t: Tables):
+    """The dead-letter table, as stored, with its dismissals."""
+    kept = materialize(dead_letters(t), "dlq")
+    return DL.with_dismissals(kept, dismissals(kept))
 
 
 DLQ_SQL = D.CHECKED_SQL + """,
@@ -169,14 +175,14 @@ def dlq_enqueue(t: Tables):
 @query("dlq_get", f"""WITH {DLQ_SQL} SELECT entry_id, document_id, error_type FROM dlq
 WHERE entry_id = (SELECT max(entry_id) FROM dlq)""")
 def dlq_get(t: Tables):
-    wanted = dead_letters(t).agg(F.max("entry_id")).first()[0]
-    return DL.get(dead_letters(t), wanted).select("entry_id", "document_id", "error_type")
+    kept = materialize(dead_letters(t), "dlq")
+    return DL.get(kept, kept.agg(F.max("entry_id")).first()[0]).select("entry_id", "document_id", "error_type")
 
 
 @query("dlq_dismiss", f"""WITH {DLQ_SQL} SELECT entry_id, dismissed,
   CASE WHEN dismissed THEN 'known' END AS dismiss_reason FROM dlq""")
 def dlq_dismiss(t: Tables):
-    return DL.with_dismissals(dead_letters(t), dismissals(t)).select(
+    return settled(t).select(
         "entry_id", "dismissed", "dismiss_reason")
 
 
@@ -184,7 +190,7 @@ def dlq_dismiss(t: Tables):
 WHERE NOT dismissed AND connector_id = 'c1' AND failed_at >= TIMESTAMP '2024-01-01 00:05:00'
 ORDER BY failed_at, entry_id LIMIT 100""")
 def srt_dlq_list(t: Tables):
-    full = DL.with_dismissals(dead_letters(t), dismissals(t))
+    full = settled(t)
     return DL.listing(full, DL.DeadLetterFilters(
         connector_id="c1", since="2024-01-01 00:05:00")).select("entry_id", "failed_at", "error_type")
 
@@ -193,12 +199,12 @@ def srt_dlq_list(t: Tables):
   min(failed_at) AS oldest FROM dlq WHERE NOT dismissed
 GROUP BY GROUPING SETS ((failure_type), (connector_id), ())""")
 def agg_dlq_stats(t: Tables):
-    return DL.stats(DL.with_dismissals(dead_letters(t), dismissals(t)))
+    return DL.stats(settled(t))
 
 
 @query("agg_dlq_size", f"WITH {DLQ_SQL} SELECT count(*) AS active FROM dlq WHERE NOT dismissed")
 def agg_dlq_size(t: Tables):
-    return DL.size(DL.with_dismissals(dead_letters(t), dismissals(t)))
+    return DL.size(settled(t))
 
 
 @query("dlq_replay", f"""WITH {DLQ_SQL}, again AS (
@@ -216,7 +222,7 @@ def dlq_replay(t: Tables):
                       document=[c for c in docs.columns if c != "seq"])
     none = D.stored_ids(t).limit(0)
     # The size limit has been raised since: those documents pass now.
-    return batch.replay(kept, dismissals(t), none, validate.default_rules()).select(
+    return batch.replay(kept, dismissals(dead_letters(t)), none, validate.default_rules()).select(
         "seq", "attempt_count", "status")
 
 

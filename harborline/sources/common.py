@@ -33,10 +33,9 @@ def tag(prefix: str, c: Column) -> Column:
 
 
 def iso(ts: Column, suffix: str = "") -> Column:
-    """ISO-8601 text; microseconds only when there are any."""
-    whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.date_format(ts, "SSSSSS")
-    return F.concat(whole, F.when(micros == "000000", "").otherwise(F.concat(F.lit("."), micros)),
+    """ISO-8601 text; six digits of microseconds, but only when there are any."""
+    text = F.translate(ts.cast("string"), " ", "T")
+    return F.concat(F.when(F.length(text) > 19, F.rpad(text, 26, "0")).otherwise(text),
                     F.lit(suffix))
 
 
