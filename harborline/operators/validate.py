@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from harborline.catalog import values as V
 from harborline.functions.names import mime_allowed
 from harborline.operators.envelope import intact
+from harborline.session import once
 
 ERROR = "struct<error_type:string,error_field:string,message:string>"
 
@@ -84,7 +85,7 @@ def validated(docs: DataFrame, rule: Column | Rule | None = None) -> DataFrame:
         rule = default_rules()
     elif not isinstance(rule, Column):
         rule = rule(docs)
-    return docs.withColumn("error", rule)
+    return once(docs, "error", rule)
 
 
 def error_report(checked: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from harborline.functions.names import branch_of_ref
 from harborline.operators.filters import delivery_acquires, unknown_event_types
 from harborline.queries.chat_mail import hmac_sql
 from harborline.queries.registry import Tables, query
+from harborline.session import once
 from harborline.sources import webhook
 
 SECRET = "hook-secret"
@@ -44,13 +45,14 @@ def deliveries(t: Tables, rows=None):
         F.struct(F.concat(F.lit("u"), "user_id").alias("login")).alias("sender"),
         url("issues").alias("issue"), url("pull").alias("pull_request"), url("releases").alias("release")))
     body = F.when(k % 13 == 0, F.lit("oops {")).when(kind == "push", push).otherwise(other)
-    signed = F.concat(F.lit("sha256="), hmac_sha256(SECRET, F.encode(body, "UTF-8")))
+    sent = F.when(k % 11 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    rows = once(e, "body", body)
+    signed = F.concat(F.lit("sha256="), hmac_sha256(SECRET, F.encode("body", "UTF-8")))
     headers = F.create_map(
         F.lit("X-GitHub-Event"), kind, F.lit("x-github-DELIVERY"), F.concat(F.lit("d"), k),
         F.lit("X-Hub-Signature-256"), F.when(k % 7 == 0, F.lit("sha256=00")).otherwise(signed))
-    sent = F.when(k % 11 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    rows = e.select(k, "user_id", F.col("ts").cast("timestamp").alias("received_at"),
-                    body.alias("body"), headers.alias("headers"), sent.alias("sent"))
+    rows = rows.select(k, "user_id", F.col("ts").cast("timestamp").alias("received_at"),
+                       "body", headers.alias("headers"), sent.alias("sent"))
     return rows.withColumn("copy", F.explode("sent")).drop("sent")
 
 

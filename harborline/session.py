@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Settings that the operators' results rely on.  All are runtime settings, so
 # they can be applied to a session somebody else has built.
@@ -81,3 +81,15 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_dir(df.sparkSession, purpose)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def once(df: DataFrame, name: str, expr: Column) -> DataFrame:
+    """`df` with column `name`, evaluated exactly once per row.
+
+    The optimizer copies a projected expression into every filter it pushes
+    below the projection.  For a hash over the content or a JSON parse that
+    means doing the work again per predicate.  A one-element explode is a
+    fence predicates on its output stay above; it runs inside codegen.
+    """
+    rest = [c for c in df.columns if c != name]
+    return df.select(*rest, F.explode(F.array(expr)).alias(name))

@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from harborline.session import once
+
 # JSON payloads keep their null fields, as the remote documents do.
 KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
 def landed(rows: DataFrame, schema: str | T.StructType, column: str = "payload") -> DataFrame:
     """Parse a JSON text column against an explicit schema into `p`."""
-    return rows.withColumn("p", F.from_json(column, schema))
+    return once(rows, "p", F.from_json(column, schema))
 
 
 def json_doc(**fields: Column) -> Column:
@@ -34,9 +36,9 @@ def tag(prefix: str, c: Column) -> Column:
 
 def iso(ts: Column, suffix: str = "") -> Column:
     """ISO-8601 text; six digits of microseconds, but only when there are any."""
-    text = F.translate(ts.cast("string"), " ", "T")
-    return F.concat(F.when(F.length(text) > 19, F.rpad(text, 26, "0")).otherwise(text),
-                    F.lit(suffix))
+    whole = F.pmod(F.unix_micros(ts.cast("timestamp")), F.lit(1_000_000)) == 0
+    return F.concat(F.when(whole, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"))
+                    .otherwise(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")), F.lit(suffix))
 
 
 class SourceRegistry:

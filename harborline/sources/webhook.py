@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from harborline.functions.codec import body_signature_valid, lower_keys
 from harborline.functions.names import branch_of_ref
 from harborline.operators.filters import delivery_acquires
+from harborline.session import once
 from harborline.sources.common import text_or
 
 COMMITS = "array<struct<added:array<string>,modified:array<string>,removed:array<string>>>"
+ENVELOPE = ("action string, repository struct<full_name:string>, sender struct<login:string>")
 _NO_FILES = "array<string>"
 
 
@@ -21,13 +23,15 @@ def events(deliveries: DataFrame, secret: str | None = None) -> DataFrame:
     rows = deliveries.withColumn("h", lower_keys(F.col("headers")))
     h = lambda name: F.try_element_at("h", F.lit(name))
     signed = body_signature_valid(secret, F.encode(body, "UTF-8"), h("x-hub-signature-256"))
-    field = lambda path: F.get_json_object(body, path)
-    return rows.where(signed & F.try_parse_json(body).isNotNull()).select(
+    read = F.from_json(F.when(signed, body), ENVELOPE, {"mode": "PERMISSIVE"})
+    valid = F.when(signed & F.try_parse_json(body).isNotNull(), read)
+    p = F.col("p")
+    return once(rows, "p", valid).where(p.isNotNull()).select(
         *[c for c in deliveries.columns if c != "headers"],
-        text_or(h("x-github-event")).alias("event_type"), field("$.action").alias("action"),
+        text_or(h("x-github-event")).alias("event_type"), p["action"].alias("action"),
         text_or(h("x-github-delivery")).alias("delivery_id"),
-        text_or(field("$.repository.full_name")).alias("repo"),
-        text_or(field("$.sender.login")).alias("sender"))
+        text_or(p["repository"]["full_name"]).alias("repo"),
+        text_or(p["sender"]["login"]).alias("sender"))
 
 
 def acquiring(rows: DataFrame) -> DataFrame:
