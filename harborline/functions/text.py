@@ -37,11 +37,15 @@ def _parsed_text(html: pd.Series) -> pd.Series:
 _EDGE_SPACE = r"^[\s\x1c-\x1f\x85\p{Z}]+|[\s\x1c-\x1f\x85\p{Z}]+$"
 
 
+def strip(text: Column) -> Column:
+    """Text without white space at either end, as Python's strip() has it."""
+    return F.regexp_replace(text, _EDGE_SPACE, "")
+
+
 def html_to_text(html: Column) -> Column:
     """Text nodes, stripped, blanks dropped, one per line."""
     hard = html.rlike(_NEEDS_PARSER)
-    pieces = F.transform(F.split(html, r"<[^>]*>"),
-                         lambda p: F.regexp_replace(p, _EDGE_SPACE, ""))
+    pieces = F.transform(F.split(html, r"<[^>]*>"), strip)
     native = F.array_join(F.filter(pieces, lambda p: p != ""), "\n")
     # The UDF sees null for rows the native path answers.
     return F.when(hard, _parsed_text(F.when(hard, html))).otherwise(native)
@@ -85,7 +89,7 @@ def html_to_markdown(html: Column) -> Column:
     text = F.when(has_heading, _headings_to_marks(F.when(has_heading, html))).otherwise(html)
     for pattern, replacement in _MARKDOWN_STEPS:
         text = F.regexp_replace(text, pattern, replacement)
-    return F.regexp_replace(text, _EDGE_SPACE, "")
+    return strip(text)
 
 
 def rich_text(runs: Column) -> Column:

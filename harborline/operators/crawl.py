@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from harborline.catalog import values as V
 from harborline.functions.names import extension, url_allowed, url_host
+from harborline.functions.text import strip
 from harborline.session import materialize, shared_dir
 
 
@@ -53,7 +54,7 @@ def page_links(pages: DataFrame, domains=None, allow_ext=V.CRAWL_EXTENSIONS,
     the page's row: no shuffle, and at most `max_links` rows per page.
     """
     raw = F.regexp_extract_all("html", F.lit(V.HREF_PATTERN), 1)
-    wanted = F.filter(F.transform(raw, F.trim),
+    wanted = F.filter(F.transform(raw, strip),
                       lambda l: ~F.startswith(l, F.lit("mailto:"))
                       & ~F.startswith(l, F.lit("javascript:")))
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -45,11 +47,27 @@ def build_session(app: str = "harborline", master: str | None = None,
         builder = builder.master(master)
     for key, value in {**ENGINE_CONF, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return prepare(builder.getOrCreate())
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give Python workers this package; once per Spark application."""
+    context = spark.sparkContext
+    if getattr(context, "_harborline_shipped", False):
+        return
+    root = pathlib.Path(__file__).parent
+    archive = pathlib.Path(tempfile.mkdtemp(prefix="harborline-")) / "harborline.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(root.rglob("*.py")):
+            z.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    context._harborline_shipped = True
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the settings our results depend on to an existing session."""
+    """Make an existing session fit: the settings our results depend on, and
+    the package on its workers."""
+    ship_package(spark)
     for key, value in SEMANTIC_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
