@@ -8,7 +8,9 @@ of rows, whatever the group's share of the data is.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F
 
 CHUNK_ROWS = 100_000
 
@@ -20,12 +22,14 @@ def seq_chunk(order: str, rows: int = CHUNK_ROWS) -> Column:
 
 def running(rows: DataFrame, group: list[str], order: str,
             values: dict[str, tuple[str, Column]], *, inclusive: bool = True,
-            chunk: Column | None = None) -> DataFrame:
+            chunk: Column | None = None,
+            inside: dict[str, Callable[[WindowSpec], Column]] | None = None) -> DataFrame:
     """Adds running values per `group` in `order`.
 
     `values` maps a new column to (kind, expression); kind is `sum`, `max` or
     `last` (last non-null).  With `inclusive=False` a row does not see itself.
-    `order` must be unique within a group; groups must not be null.
+    `order` must be unique within a group; groups must not be null.  `inside`
+    adds columns over the ordered chunk alone, on the same partitioning.
     """
     fold = {
         "sum": lambda c: F.sum(c),
@@ -51,12 +55,14 @@ def running(rows: DataFrame, group: list[str], order: str,
     carry = totals.select(*keys, *[
         scan[kind](F.col(f"_t_{n}")).over(before).alias(f"_c_{n}")
         for n, (kind, _) in values.items()])
-    inside = (W.partitionBy(*keys).orderBy(order)
-              .rowsBetween(W.unboundedPreceding, 0 if inclusive else -1))
+    within = W.partitionBy(*keys).orderBy(order)
+    frame = within.rowsBetween(W.unboundedPreceding, 0 if inclusive else -1)
     done = cut.join(carry, keys)
     for n, (kind, _) in values.items():
         done = done.withColumn(n, merge[kind](F.col(f"_c_{n}"),
-                                              scan[kind](F.col(f"_in_{n}")).over(inside)))
+                                              scan[kind](F.col(f"_in_{n}")).over(frame)))
+    for n, column in (inside or {}).items():
+        done = done.withColumn(n, column(within))
     drop = ["_chunk"] + [f"_{p}_{n}" for n in values for p in ("in", "c")]
     return done.drop(*drop)
 

@@ -129,15 +129,17 @@ class Repository:
         return self.stored().where(F.col("batch_id") < batch_id).select(
             "id", "connector_id", "instance_id")
 
-    def append(self, docs: DataFrame, batch_id: int) -> None:
-        """Write a batch's new documents.  The rebalance hint evens file sizes
-        and splits an instance that holds most of the batch."""
+    def append(self, docs: DataFrame, batch_id: int, compact: bool = False) -> None:
+        """Write a batch's new documents from where they are.  `compact` moves
+        them first, to files of even size, and splits an instance that holds
+        most of the batch; worth it when tasks hold many small instances."""
         ref = F.col("source_ref")
-        (docs.withColumn("created_at", F.current_timestamp())
-         .withColumn("connector_id", ref["connector_id"])
-         .withColumn("instance_id", ref["instance_id"])
-         .hint("rebalance", "connector_id", "instance_id")
-         .write.mode("overwrite").partitionBy("connector_id", "instance_id")
+        rows = (docs.withColumn("created_at", F.current_timestamp())
+                .withColumn("connector_id", ref["connector_id"])
+                .withColumn("instance_id", ref["instance_id"]))
+        if compact:
+            rows = rows.hint("rebalance", "connector_id", "instance_id")
+        (rows.write.mode("overwrite").partitionBy("connector_id", "instance_id")
          .parquet(f"{self.path}/documents/batch_id={batch_id}"))
 
     def write(self, docs: DataFrame, batch_id: int) -> None:

@@ -92,24 +92,21 @@ def certain_cuts(calls: DataFrame, resource: str = "resource_id", order: str = "
     An open breaker was opened by a failure, so `recovery_s` after the last
     failure every call passes; `probes` successes from there on leave the
     breaker closed with a clear count, whatever it was before.  Rows after
-    such a success start from a known state and need no history.
+    such a success start from a known state and need no history.  The test
+    looks back `probes` rows inside a chunk only: a cut missed at a chunk's
+    edge costs some parallelism, never a result.
     """
     chunk = seq_chunk(order) if chunk is None else chunk
     at = F.unix_micros(F.col("ts").cast("timestamp"))
-    one = running(calls, [resource], order,
-                  {"_fail_at": ("max", F.when(~F.col("ok"), at))}, chunk=chunk)
-    calm = F.col("ok") & (F.col("_fail_at").isNull()
-                          | (at >= F.col("_fail_at") + int(recovery_s * 1_000_000)))
-    two = running(one, [resource], order, {"_calm": ("sum", F.when(calm, 1).otherwise(0))},
-                  chunk=chunk)
-    three = running(two, [resource], order,
-                    {"_base": ("max", F.when(~F.col("ok"), F.col("_calm")))}, chunk=chunk)
-    settled = calm & (F.col("_calm") - F.coalesce("_base", F.lit(0)) >= probes)
-    four = running(three, [resource], order,
-                   {"segment": ("sum", F.when(settled, 1).otherwise(0))},
-                   inclusive=False, chunk=chunk)
-    return four.withColumn("segment", F.coalesce("segment", F.lit(0))).drop(
-        "_fail_at", "_calm", "_base")
+    seen = running(calls, [resource], order,
+                   {"_fail_at": ("max", F.when(~F.col("ok"), at))}, chunk=chunk,
+                   inside={"_first_probe": lambda w: F.lag(at, probes - 1).over(w)})
+    since = F.coalesce(F.col("_fail_at") + int(recovery_s * 1_000_000), F.col("_first_probe"))
+    settled = F.coalesce(F.col("ok") & (F.col("_first_probe") >= since), F.lit(False))
+    cut = running(seen, [resource], order, {"segment": ("sum", F.when(settled, 1).otherwise(0))},
+                  inclusive=False, chunk=chunk)
+    return (cut.withColumn("segment", F.coalesce("segment", F.lit(0)))
+            .drop("_fail_at", "_first_probe"))
 
 
 def circuit_states(calls: DataFrame, resource: str = "resource_id", order: str = "seq",

@@ -71,7 +71,7 @@ _COUNTED = {"done": "processed", "skipped": "skipped", "failed": "failed"}
 
 
 def run_batch(docs: DataFrame, store: str, batch_id: int,
-              rule: Column | Rule | None = None) -> DataFrame:
+              rule: Column | Rule | None = None, compact: bool = False) -> DataFrame:
     """Process `docs` (RAW_DOCUMENTS; `seq` unique and reproducible) into the
     tables under `store`; returns the one-row cycle result.
 
@@ -91,7 +91,7 @@ def run_batch(docs: DataFrame, store: str, batch_id: int,
     result = save(cycle_result(routed).withColumn("finished_at", F.current_timestamp()), "jobs")
     counts = result.first()
 
-    repo.append(_rows_of(docs, routed, "done", counts), batch_id)
+    repo.append(_rows_of(docs, routed, "done", counts), batch_id, compact)
     failed = deadletter.enqueue(routed, batch=F.lit(batch_id))
     kept = [c for c in docs.columns if c != "seq"]
     bodies = _rows_of(docs, routed, "failed", counts).select("seq", F.struct(*kept).alias("document"))

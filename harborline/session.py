@@ -61,6 +61,10 @@ def ship_package(spark: SparkSession) -> None:
         for source in sorted(root.rglob("*.py")):
             z.write(source, source.relative_to(root.parent))
     context.addPyFile(str(archive))
+    # Workers the driver starts for itself, as for stateful stream operators,
+    # do not see added files; they find the package where the driver did.
+    known = context.environment.get("PYTHONPATH")
+    context.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, str(root.parent)]))
     context._harborline_shipped = True
 
 

@@ -18,7 +18,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import duckdb
 
-from harborline import build_session
+from pyspark.sql import SparkSession
+
 from harborline.queries import ORACLE, QUERIES
 
 
@@ -46,10 +47,11 @@ def main():
     ap.add_argument("--sf", default="0.01")
     args = ap.parse_args()
     root = f"/root/testdata/sf{args.sf}"
-    spark = build_session("compare", "local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
-        "spark.ui.showConsoleProgress": "false",
-        "spark.driver.memory": "8g"})
+    # A session with Spark's defaults: results must not depend on ours.
+    spark = (SparkSession.builder.master("local[8]").appName("compare")
+             .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
+             .config("spark.ui.showConsoleProgress", "false")
+             .config("spark.driver.memory", "8g").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
     for p in glob.glob(root + "/*.parquet"):
