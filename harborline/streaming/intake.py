@@ -15,29 +15,28 @@ from harborline.plans.batch import run_batch
 from harborline.sources import tables as table_source, webhook
 
 REPLAY_WINDOW = "5 minutes"
+# Files per micro-batch.  Bounds what a backlog puts into one batch, and with
+# it what a stateful operator may see of one key at a time.
+MAX_FILES = 1000
 
 
-def read_table(spark: SparkSession, path: str, max_files: int | None = None,
+def read_table(spark: SparkSession, path: str, max_files: int = MAX_FILES,
                schema: T.StructType | None = None) -> DataFrame:
     """Landing folder (or glob) of Parquet files as a stream."""
-    reader = spark.readStream.schema(schema or spark.read.parquet(path).schema)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    return (spark.readStream.schema(schema or spark.read.parquet(path).schema)
+            .option("maxFilesPerTrigger", max_files).parquet(path))
 
 
 def read_drop(spark: SparkSession, path: str, glob: str | None = None,
-              max_files: int | None = None) -> DataFrame:
+              max_files: int = MAX_FILES) -> DataFrame:
     """New files in a folder or bucket, with their bytes."""
     schema = T.StructType([
         T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()),
         T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType())])
     reader = (spark.readStream.format("binaryFile").schema(schema)
-              .option("recursiveFileLookup", "true"))
+              .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(path)
 
 

@@ -41,6 +41,17 @@ def test_snapshot_without_its_column_reads_everything(spark):
     assert [r.id for r in tables.snapshot(df, "id", 1, max_rows=2).collect()] == [2, 3]
 
 
+def test_catalog(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(7).withColumn("x", F.lit("a")).coalesce(1).write.parquet(path)
+    df = spark.read.parquet(path)
+    row = tables.inventory({"t": df}, sizes=True).first()
+    on_disk = sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
+    assert (row.columns, row.estimated_rows, row.size_bytes) == (2, 7, on_disk)
+    listed = {r.column_name: r for r in tables.columns_of(spark, {"t": df}, {"t": ["id"]}).collect()}
+    assert listed["id"].key_position == 1 and listed["x"].key_position is None
+
+
 def test_change_log(spark):
     good = json.dumps({"action": "insert", "table": "users", "new": {"id": 1}})
     df = spark.createDataFrame([("0/1", good), ("0/2", "BEGIN 123"), ("0/3", "{oops")], "lsn string, data string")
