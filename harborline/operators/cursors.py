@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from harborline.catalog import values as V
+from harborline.operators.ordered import seq_chunk
 
 
 def delta(position: Column, since: Column | str | None, source: str | None = None,
@@ -51,7 +52,7 @@ def stamp_running(rows: DataFrame, group: str = "instance_id", key: str = "curso
     by resource add one entry per resource.
     """
     entry = F.struct(F.col(key).alias("key"), F.col(position).cast("string").alias("value"))
-    cut = rows.withColumn("_chunk", F.floor(F.col(order) / chunk_rows))
+    cut = rows.withColumn("_chunk", seq_chunk(order, chunk_rows))
     parts = [group, "_chunk"]
 
     numbered = (cut.select(*parts).distinct()

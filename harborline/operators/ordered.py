@@ -17,7 +17,7 @@ CHUNK_ROWS = 100_000
 
 def seq_chunk(order: str, rows: int = CHUNK_ROWS) -> Column:
     """Chunk of a unique, roughly dense sequence number."""
-    return F.floor(F.col(order) / rows)
+    return F.call_function("div", F.col(order), F.lit(rows))
 
 
 def running(rows: DataFrame, group: list[str], order: str,
