@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from harborline.llm import decontaminate, langid, neardup
+from harborline.llm import decontaminate, langid, neardup, packing, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -25,6 +25,13 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file on this machine's installation."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def remainder(n: int):
     """crc32 of the document id as text, modulo n; null ids count as remainder 0."""
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n)), F.lit(0))
@@ -35,6 +42,11 @@ def op4(spark, root):
     return neardup.near_duplicates(table(spark, root, "documents"))
 
 
+@query("op6_wavelet_shards")
+def op6(spark, root):
+    return wavelet.encoded_documents(table(spark, root, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 @query("op7_benchmark_decontamination")
 def op7(spark, root):
     return contaminated(table(spark, root, "documents"), table(spark, root, "benchmark"))
@@ -49,3 +61,8 @@ def op8(spark, root):
     docs = table(spark, root, "documents")
     model = langid.train(docs.where(remainder(5) != 0))
     return langid.predict(docs, model, keep=[F.col("doc_id"), (remainder(5) == 0).alias("held_out")])
+
+
+@query("op9_best_fit_packing")
+def op9(spark, root):
+    return packing.packed_documents(table(spark, root, "documents"), vocabulary("byte_bpe_50k.json"))
