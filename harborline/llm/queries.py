@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from harborline.llm import decontaminate, langid, neardup, packing, wavelet
+from harborline.llm import chat, decontaminate, langid, neardup, packing, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -42,6 +42,15 @@ def op4(spark, root):
     return neardup.near_duplicates(table(spark, root, "documents"))
 
 
+@query("op5_chat_windows")
+def op5(spark, root):
+    rows = table(spark, root, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
+                                 "conv_id long, turn int, role string, text string")
+    return chat.formatted(rows.unionByName(more))
+
+
 @query("op6_wavelet_shards")
 def op6(spark, root):
     return wavelet.encoded_documents(table(spark, root, "documents"), vocabulary("word_bpe_49k.json"))
