@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from harborline.llm import chat, decontaminate, langid, neardup, packing, wavelet
+from harborline.llm import chat, decontaminate, langid, neardup, ordinal, packing, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -37,6 +37,30 @@ def remainder(n: int):
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n)), F.lit(0))
 
 
+def ratings(labels: DataFrame) -> DataFrame:
+    """doc_id and grade: 0 toxic, 1 of low quality, 2 good; unrated rows go."""
+    return labels.select("doc_id", F.expr(
+        "case when toxic = 1 then 0 when quality = 0 then 1 when quality = 1 then 2 end").alias("grade")) \
+        .where("doc_id is not null and grade is not null")
+
+
+@query("op1_ordinal_quality")
+def op1(spark, root):
+    docs = table(spark, root, "documents")
+    rated = docs.select("doc_id", "text").join(sample_of(ratings(table(spark, root, "labels"))), "doc_id")
+    model = ordinal.train(rated)
+    return ordinal.score(docs, model, keep=[F.col("doc_id")]).withColumn(
+        "kept", F.coalesce(F.col("tail_probability") >= 0.5, F.lit(True)))
+
+
+def sample_of(rated: DataFrame) -> DataFrame:
+    """About ordinal.SAMPLE ratings by a hash of their id, at most twice as
+    many: few enough to be sent to all tasks that read documents."""
+    share = min(1.0, ordinal.SAMPLE / max(rated.count(), 1))
+    chosen = rated.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
+    return F.broadcast(chosen.limit(2 * ordinal.SAMPLE))
+
+
 @query("op4_minhash_near_dedup")
 def op4(spark, root):
     return neardup.near_duplicates(table(spark, root, "documents"))
