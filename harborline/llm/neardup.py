@@ -10,9 +10,10 @@ concentrate as if they were independent.
 Documents with the same shingle set are one class and only its smallest id
 takes part.  Classes that share a band are candidates.  Links are confirmed on
 full sets, recomputed from the texts of candidates alone.  A bucket is not
-expanded to all pairs: first its members are held against its smallest one,
-what stays apart against a second one, and only members of a bucket that are
-still in different components are paired with each other.
+expanded to pairs: first its members are held against the one nearest to its
+middle.  Buckets with members that are still in different components are then
+searched whole, in blocks of bounded size, by counting common shingles through
+an index; only links come out, one per pair of components.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 
 from pyspark.sql import DataFrame, functions as F
@@ -35,6 +37,9 @@ PERCENT = 85
 #: Ids of candidates are sent to all tasks up to this many (16 MB), beyond that joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
+#: Members of a bucket that are looked at together.
+BLOCK = 2000
+
 _U = np.uint64
 _EMPTY = _U(0xFFFFFFFFFFFFFFFF)
 
@@ -126,6 +131,34 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
 
+def _across(frame: pd.DataFrame) -> pd.DataFrame:
+    """Links between members of a bucket that are in different components, one
+    per pair of components that has any.  Common shingles are counted through
+    an index from shingle to members."""
+    frame = frame.sort_values("id", ignore_index=True)
+    w, bounds = shingles([x or b"" for x in frame["body"].map(lambda t: t and t.encode())])
+    size, m = np.diff(bounds), len(frame)
+    member = np.repeat(np.arange(m), size)
+    order = np.argsort(w, kind="stable")
+    listed, w_sorted = member[order], w[order]
+    lo, hi = np.searchsorted(w_sorted, w, "left"), np.searchsorted(w_sorted, w, "right")
+    ids = frame["id"].to_numpy()
+    component = np.unique(frame["component"].to_numpy(), return_inverse=True)[1]
+    largest = int(np.bincount(component).argmax())
+    out: dict[tuple, tuple] = {}
+    for x in np.flatnonzero(component != largest).tolist():
+        a, z = lo[bounds[x]:bounds[x + 1]], hi[bounds[x]:bounds[x + 1]]
+        a, z = a[z - a > 1], z[z - a > 1]
+        if not len(a):
+            continue
+        common = np.bincount(np.concatenate([listed[i:j] for i, j in zip(a, z)]), minlength=m)
+        linked = (100 * common >= PERCENT * (size[x] + size - common)) & (component != component[x])
+        for y in np.flatnonzero(linked).tolist():
+            key = (min(component[x], component[y]), max(component[x], component[y]))
+            out.setdefault(key, (max(ids[x], ids[y]), min(ids[x], ids[y])))
+    return pd.DataFrame(list(out.values()), columns=["a", "b"])
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document row: `id_col`, n_shingles (distinct five-word
     shingles; fewer words are one shingle), component_id (smallest id linked by
@@ -145,59 +178,42 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         signed.where("id is not null and n > 0").groupBy("n", "f", "g")
         .agg(F.min("id").alias("head"), F.first("bands").alias("bands")), "classes")
     buckets = classes.select("head", "n", F.posexplode("bands").alias("band", "key"))
-    lows = buckets.groupBy("band", "key").agg(F.min("head").alias("low"), F.max("head").alias("high")) \
-        .where("low < high").drop("high")
-    members = materialize(buckets.join(lows, ["band", "key"]), "buckets")
-    ids = materialize(members.select(F.col("head").alias("id")).distinct(), "candidates")
-    small = ids.count() <= BROADCAST_IDS
+    several = buckets.groupBy("band", "key").agg(F.count("*").alias("m")).where("m > 1")
+    members = materialize(buckets.join(several, ["band", "key"]), "buckets")
+    # The member that shares most bands with others lies nearest to the middle of its group.
+    shared = members.groupBy("head").agg(F.sum("m").alias("shared"))
+    middle = (members.join(shared, "head").groupBy("band", "key")
+              .agg(F.max(F.struct("shared", F.col("head").alias("pivot"))).alias("top"))
+              .select("band", "key", "top.pivot"))
+    ids = materialize(shared.select(F.col("head").alias("id")), "candidates")
     # An id that is repeated with other texts is held against others with each of them.
-    bodies = materialize(texts.join(F.broadcast(ids) if small else ids, "id", "left_semi")
-                         .dropDuplicates(["id", "body"]), "bodies")
+    near = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    bodies = materialize(texts.join(near, "id", "left_semi").dropDuplicates(["id", "body"]), "bodies")
 
-    sizes = F.expr(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)")
     weigh = classes.select("head", "n")
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) whose full sets are similar enough."""
-        full = (pairs.join(bodies.select(F.col("id").alias("a"), F.col("body").alias("ta")), "a")
-                .join(bodies.select(F.col("id").alias("b"), F.col("body").alias("tb")), "b"))
-        return (full.select("a", "b", "ta", "tb")
-                .mapInArrow(_compare, f"a {kind}, b {kind}").distinct())
-
-    def against(rows: DataFrame, pivot: str) -> DataFrame:
-        """Distinct (member, pivot) pairs of a size that can link."""
-        return (rows.where(f"head <> {pivot}")
-                .select(F.greatest("head", pivot).alias("a"), F.least("head", pivot).alias("b")).distinct()
-                .join(weigh.select(F.col("head").alias("a"), F.col("n").alias("na")), "a")
-                .join(weigh.select(F.col("head").alias("b"), F.col("n").alias("nb")), "b")
-                .where(sizes).select("a", "b").distinct())
-
-    tested = materialize(against(members, "low"), "pairs")
-    links = materialize(confirmed(tested), "links")
-
-    def apart(links: DataFrame) -> DataFrame:
-        """Members of buckets that still hold more than one component."""
-        own = components(links)
-        known = members.join(own.withColumnRenamed("node", "head"), "head", "left") \
-            .withColumn("component", F.coalesce("component", "head"))
-        mixed = known.groupBy("band", "key").agg(
-            F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1")
-        return materialize(known.join(mixed, ["band", "key"]), "apart")
-
-    rest = apart(links)
-    second = rest.where("component = c1").groupBy("band", "key").agg(F.min("head").alias("pivot"))
-    more = against(rest.where("component <> c1").join(second, ["band", "key"]), "pivot")
-    more = materialize(more.join(tested, ["a", "b"], "left_anti"), "pairs")
-    tested = tested.union(more)
-    links = links.union(materialize(confirmed(more), "links"))
-    rest = apart(links).select("band", "key", "head", "n", "component")
-    x, y = rest.alias("x"), rest.alias("y")
-    last = (x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key"))
-                   & (F.col("x.component") < F.col("y.component"))
-                   & F.expr(f"100 * least(x.n, y.n) >= {PERCENT} * greatest(x.n, y.n)"))
-            .select(F.greatest("x.head", "y.head").alias("a"), F.least("x.head", "y.head").alias("b"))
-            .distinct().join(tested, ["a", "b"], "left_anti"))
-    links = links.union(materialize(confirmed(last), "links"))
+    tested = (members.join(middle, ["band", "key"]).where("head <> pivot")
+              .select(F.greatest("head", "pivot").alias("a"), F.least("head", "pivot").alias("b")).distinct()
+              .join(weigh.select(F.col("head").alias("a"), F.col("n").alias("na")), "a")
+              .join(weigh.select(F.col("head").alias("b"), F.col("n").alias("nb")), "b")
+              .where(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)").select("a", "b").distinct())
+    links = materialize(
+        tested.join(bodies.select(F.col("id").alias("a"), F.col("body").alias("ta")), "a")
+        .join(bodies.select(F.col("id").alias("b"), F.col("body").alias("tb")), "b")
+        .select("a", "b", "ta", "tb").mapInArrow(_compare, f"a {kind}, b {kind}").distinct(), "links")
+
+    # Buckets whose members are still in different components, in blocks of bounded size.
+    own = components(links).withColumnRenamed("node", "head")
+    known = members.join(own, "head", "left").withColumn("component", F.coalesce("component", "head"))
+    mixed = known.groupBy("band", "key").agg(
+        F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1")
+    block = F.pmod(F.xxhash64("head"), F.ceil(F.col("m") / BLOCK)).cast("int")
+    apart = (known.join(mixed, ["band", "key"]).withColumn("i", block)
+             .withColumn("j", F.explode(F.sequence(F.lit(0), (F.ceil(F.col("m") / BLOCK) - 1).cast("int"))))
+             .select("band", "key", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"),
+                     F.col("head").alias("id"), "component")
+             .join(bodies, "id"))
+    more = apart.groupBy("band", "key", "lo", "hi").applyInPandas(_across, f"a {kind}, b {kind}")
+    links = links.union(materialize(more.distinct(), "links"))
     alike = signed.where("id is not null and n > 0").join(
         classes.select("n", "f", "g", "head"), ["n", "f", "g"]).where("id <> head") \
         .select(F.col("id").alias("a"), F.col("head").alias("b"))
