@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from harborline.llm import chat, decontaminate, langid, neardup, ordinal, packing, wavelet
+from harborline.llm import chat, decontaminate, langid, neardup, ordinal, packing, rules, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -99,3 +99,9 @@ def op8(spark, root):
 @query("op9_best_fit_packing")
 def op9(spark, root):
     return packing.packed_documents(table(spark, root, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+@query("op10_quality_rules")
+def op10(spark, root):
+    trusted = table(spark, root, "labels").where("quality = 1 and toxic = 0").select("doc_id")
+    return rules.judged(table(spark, root, "documents"), trusted)
