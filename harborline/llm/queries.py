@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from harborline.llm import chat, decontaminate, langid, neardup, ordinal, packing, rules, wavelet
+from harborline.llm import chat, decontaminate, langid, neardup, ordinal, packing, pii, rules, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -61,6 +61,11 @@ def sample_of(rated: DataFrame) -> DataFrame:
     return F.broadcast(chosen.limit(2 * ordinal.SAMPLE))
 
 
+@query("op2_contextual_pii")
+def op2(spark, root):
+    return pii.digest(pii.spans(table(spark, root, "documents")))
+
+
 @query("op4_minhash_near_dedup")
 def op4(spark, root):
     return neardup.near_duplicates(table(spark, root, "documents"))
