@@ -85,8 +85,9 @@ def _char_spans(text: bytes, mask: np.ndarray) -> list[dict]:
 
 def contamination(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id",
                   text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
-                  window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per document row: `id_col`, n_words, n_hit (words inside an
+                  window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
+                  keep: list[str] | None = None) -> DataFrame:
+    """One row per document row: `keep` columns (default: the id), n_words, n_hit (words inside an
     occurrence of a window), n_items, items_sha256, contaminated (n_hit > 0
     and 20 * n_hit >= n_words) and hit_spans (runs of hit words as character
     offsets, end exclusive).
@@ -100,17 +101,18 @@ def contamination(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id",
                          F.col(item_text).cast("binary").alias("body")).dropna()
     size = items.agg(F.coalesce(F.sum(F.octet_length("body")), F.lit(0))).first()[0]
     blocks = max(1, -(-size // block_bytes))
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body"))
-    id_type = out.schema["id"].dataType.simpleString()
+    names = keep or [id_col]
+    out = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(names)], F.col(text_col).alias("body"))
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in out.schema if f.name != "body")
     hits_type = "array<struct<item: string, first: long, last: long>>"
     for b in range(blocks):
         part = items.where(F.pmod(F.crc32(F.col("item").cast("binary")), F.lit(blocks)) == b)
         sent = spark.sparkContext.broadcast([(r.item, bytes(r.body)) for r in part.collect()])
         last = b == blocks - 1
         scan = _scanner(sent, uuid.uuid4().hex, window, last)
-        out = out.mapInArrow(scan, f"id {id_type}, " + (
+        out = out.mapInArrow(scan, f"{kept}, " + (
             SCHEMA if last else f"body string, hits {hits_type}"))
-    return out.withColumnRenamed("id", id_col)
+    return out.withColumnsRenamed({f"k{i}": c for i, c in enumerate(names)})
 
 
 def _scanner(sent, key: str, window: int, last: bool):
@@ -120,7 +122,8 @@ def _scanner(sent, key: str, window: int, last: bool):
             texts = batch.column("body").cast(pa.large_binary()).to_pylist()
             before = (batch.column("hits").to_pylist() if "hits" in batch.schema.names
                       else [[]] * len(texts))
-            ids = batch.column("id")
+            passed = [c for c in batch.schema.names if c not in ("body", "hits")]
+            ids = [batch.column(c) for c in passed]
             if not last:
                 hits = [[{"item": i, "first": a, "last": z} for i, a, z in
                          _found(t or b"", vocabulary, machine,
@@ -128,8 +131,8 @@ def _scanner(sent, key: str, window: int, last: bool):
                         for t, old in zip(texts, before)]
                 kind = pa.list_(pa.struct([("item", pa.string()), ("first", pa.int64()),
                                            ("last", pa.int64())]))
-                yield pa.RecordBatch.from_arrays([ids, batch.column("body"), pa.array(hits, kind)],
-                                                 ["id", "body", "hits"])
+                yield pa.RecordBatch.from_arrays([*ids, batch.column("body"), pa.array(hits, kind)],
+                                                 [*passed, "body", "hits"])
                 continue
             rows = [_result(t or b"", *_found(t or b"", vocabulary, machine,
                                               [(h["item"], h["first"], h["last"]) for h in old]))
@@ -137,8 +140,8 @@ def _scanner(sent, key: str, window: int, last: bool):
             span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), span]
             yield pa.RecordBatch.from_arrays(
-                [ids, *[pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]],
-                ["id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "hit_spans"])
+                [*ids, *[pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]],
+                [*passed, "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "hit_spans"])
 
     return scan
 
