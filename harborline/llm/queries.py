@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from harborline.llm import chat, decontaminate, langid, neardup, ordinal, packing, pii, rules, wavelet
+from harborline.llm import chat, decontaminate, katz, langid, neardup, ordinal, packing, pii, rules, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -66,6 +66,11 @@ def op2(spark, root):
     return pii.digest(pii.spans(table(spark, root, "documents")))
 
 
+@query("op3_katz_scores")
+def op3(spark, root):
+    return katz.scored(table(spark, root, "documents"), remainder(7) == 2)
+
+
 @query("op4_minhash_near_dedup")
 def op4(spark, root):
     return neardup.near_duplicates(table(spark, root, "documents"))
