@@ -121,7 +121,7 @@ _PLACED = "uid long, length long, sequence_id long, offset long, filled long, bo
 
 
 def _packer(round_: int, capacity: int):
-    def pack(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def pack(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("uid", ignore_index=True)
         sizes = frame["length"].to_numpy()
         bins, offsets, used = best_fit(sizes, capacity)
