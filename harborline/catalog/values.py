@@ -116,10 +116,10 @@ WEBHOOK_RULES = {
 
 # MIME types each kind of source may deliver.
 SOURCE_MIME = {
-    "confluence": ("application/json", "text/markdown", "text/plain"),
+    "confluence": ("text/markdown", "text/plain", "application/json"),
     "github": ("*/*",),
-    "gmail": ("application/json", "text/html", "text/plain"),
-    "notion": ("application/json", "text/markdown"),
+    "gmail": ("application/json", "text/plain", "text/html"),
+    "notion": ("text/markdown", "application/json"),
     "postgresql": ("application/json", "text/csv"),
     "rss": ("application/atom+xml", "application/rss+xml", "application/xml", "text/xml"),
     "s3": ("*/*",),

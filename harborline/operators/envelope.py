@@ -30,9 +30,13 @@ def envelope(df: DataFrame, *, connector_id: Column | str, instance_id: Column,
              version: Column | None = None, cursor_value: Column | None = None,
              cursor_type: str = "timestamp", tags: list[Column | str] = (),
              metadata: Column | None = None, acquired_at: Column | None = None,
-             workspace_id: Column | None = None) -> DataFrame:
+             workspace_id: Column | None = None, withheld: Column | None = None) -> DataFrame:
     """Project landed rows to `RAW_DOCUMENTS`.
 
+    `withheld` counts bytes that belong to a document but weren't gathered,
+    because it is above the document limit anyway.  They count in its size, so
+    validation rejects it, with that size, instead of storing what is left.
+
     `content` may be text or binary; derived fields (id, size, checksum) are
     computed here and nowhere else.  One narrow projection, no shuffle.
     """
@@ -51,6 +55,7 @@ def envelope(df: DataFrame, *, connector_id: Column | str, instance_id: Column,
          else F.array().cast("array<string>")).alias("tags"),
         (workspace_id if workspace_id is not None else F.lit(None)).cast("string")
         .alias("workspace_id"),
+        (F.coalesce(withheld, F.lit(0)) if withheld is not None else F.lit(0)).cast("bigint").alias("_withheld"),
     )
     cursor = F.when(F.col("_pos").isNotNull(),
                     cursor_of(F.col("_pos"), cursor_type, F.col("_connector"), F.col("_instance")))
@@ -60,7 +65,7 @@ def envelope(df: DataFrame, *, connector_id: Column | str, instance_id: Column,
         F.struct(F.col("_connector").alias("connector_id"), F.col("_instance").alias("instance_id"),
                  F.col("_uri").alias("uri"), F.col("_version").alias("version")).alias("source_ref"),
         "content", "content_type",
-        F.octet_length("content").cast("bigint").alias("size_bytes"),
+        (F.octet_length("content") + F.col("_withheld")).alias("size_bytes"),
         checksum(F.col("content")).alias("checksum"),
         "acquired_at", "source_metadata", cursor.alias("cursor"), "tags", "workspace_id")
 

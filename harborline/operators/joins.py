@@ -27,8 +27,9 @@ def nest(parents: DataFrame, children: DataFrame, keys: list[str], item: Column,
     One parent may own any share of the children, but a document above
     `max_bytes` is rejected by validation anyway.  So children are measured
     first, with a map-side combined sum, and gathered only for parents that
-    can still become a document; for the others `name` is null and the bytes
-    say why.  The children, stripped to what is nested, are written to the
+    can still become a document; for the others `name` is null, and `withheld`
+    carries their bytes into the document's size, so that validation rejects
+    it.  Their children stay where they landed.  The children, stripped to what is nested, are written to the
     shared folder once, so that parsing them is not repeated; when no parent
     is too large, which one aggregate tells, the filter is left out.
 
@@ -60,20 +61,27 @@ def nest(parents: DataFrame, children: DataFrame, keys: list[str], item: Column,
             .withColumn(name, F.when(F.col(f"{name}_count") == 0, none).otherwise(F.col(name))))
 
 
-def thread_replies(messages: DataFrame) -> DataFrame:
-    """Thread parents with their replies (at most 199, in time order).
+def withheld(*names: str) -> Column:
+    """Bytes of children that `nest` left out of a row."""
+    return reduce(lambda a, b: a + b, [F.when(F.col(n).isNull(), F.col(f"{n}_bytes")).otherwise(0) for n in names])
 
-    The cap is the remote listing's own; it is applied as a per-key limit, so
-    an endless thread ships 199 rows per task.
+
+def thread_replies(messages: DataFrame, max_replies: int | None = None) -> DataFrame:
+    """Thread parents with their replies in time order.
+
+    All landed replies are kept.  `max_replies` keeps the first so many, as a
+    remote listing would; it is a per-key limit, so an endless thread ships
+    that many rows per task.
     """
     parent = messages.where((F.col("thread_ts") == F.col("ts")) & (F.col("reply_count") > 0))
     reply = messages.where(F.col("thread_ts").isNotNull() & (F.col("thread_ts") != F.col("ts")))
-    kept = limit_per_key(reply, ["channel_id", "thread_ts"], ["ts"], V.MAX_THREAD_REPLIES)
+    kept = reply if max_replies is None else limit_per_key(
+        reply, ["channel_id", "thread_ts"], ["ts"], max_replies)
     item = F.struct(F.coalesce("user", F.lit("")).alias("user"),
                     F.coalesce("text", F.lit("")).alias("text"), F.col("ts").alias("ts"))
     rows = kept.select("channel_id", "thread_ts", F.col("ts").alias("_ts"), item.alias("_v"))
     return nest(parent, rows, ["channel_id", "thread_ts"], F.col("_v"), ["_ts"], "replies",
-                bounded=True)
+                bounded=max_replies is not None)
 
 
 def file_blobs(entries: DataFrame, blobs: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ of rows, whatever the group's share of the data is.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F
 
@@ -28,7 +29,7 @@ def running(rows: DataFrame, group: list[str], order: str,
 
     `values` maps a new column to (kind, expression); kind is `sum`, `max` or
     `last` (last non-null).  With `inclusive=False` a row does not see itself.
-    `order` must be unique within a group; groups must not be null.  `inside`
+    `order` must be unique within a group; a null group is a group.  `inside`
     adds columns over the ordered chunk alone, on the same partitioning.
     """
     fold = {
@@ -57,13 +58,14 @@ def running(rows: DataFrame, group: list[str], order: str,
         for n, (kind, _) in values.items()])
     within = W.partitionBy(*keys).orderBy(order)
     frame = within.rowsBetween(W.unboundedPreceding, 0 if inclusive else -1)
-    done = cut.join(carry, keys)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    done = cut.join(carry.withColumnsRenamed({k: f"_k_{k}" for k in keys}), same)
     for n, (kind, _) in values.items():
         done = done.withColumn(n, merge[kind](F.col(f"_c_{n}"),
                                               scan[kind](F.col(f"_in_{n}")).over(frame)))
     for n, column in (inside or {}).items():
         done = done.withColumn(n, column(within))
-    drop = ["_chunk"] + [f"_{p}_{n}" for n in values for p in ("in", "c")]
+    drop = ["_chunk", *[f"_k_{k}" for k in keys]] + [f"_{p}_{n}" for n in values for p in ("in", "c")]
     return done.drop(*drop)
 
 

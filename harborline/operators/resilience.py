@@ -1,15 +1,12 @@
-"""Retry schedule and circuit state as data."""
+"""Retry schedule and runs of failures as data."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from harborline.catalog import values as V
 from harborline.functions.classify import retryable
-from harborline.operators.ordered import running, seq_chunk
+from harborline.operators.ordered import running
 
 
 def _policy(name: Column, field: int) -> Column:
@@ -47,100 +44,16 @@ def retry_due(failures: DataFrame, op: str = "op_id", order: str = "seq",
             .withColumn("next_attempt_at", due).drop("_before", "_growing"))
 
 
-CIRCUIT_FIELDS = "state string, previous_state string, failure_count bigint, blocked boolean"
-
-
-class Breaker:
-    """State of one resource's breaker over an ordered call log.
-
-    `failures` counts consecutive failures while closed and keeps counting
-    through trips; only a closed success or a confirmed recovery clears it.
-    """
-
-    def __init__(self, threshold=V.BREAKER_FAILURES, recovery_s=V.BREAKER_RECOVERY_S,
-                 probes=V.BREAKER_PROBES, state="CLOSED", failures=0, opened=None, passed=0):
-        self.threshold, self.recovery_s, self.probes = threshold, recovery_s, probes
-        self.state, self.failures, self.opened, self.passed = state, failures, opened, passed
-
-    def feed(self, at_s: float, ok: bool) -> tuple[str, str, int, bool]:
-        """(state after, state before, failure count, blocked) of one call."""
-        before = self.state
-        if before == "OPEN":
-            if at_s - self.opened < self.recovery_s:
-                return before, before, self.failures, True
-            self.state, self.passed = "HALF_OPEN", 0
-        if ok:
-            if self.state == "CLOSED":
-                self.failures = 0
-            else:
-                self.passed += 1
-                if self.passed >= self.probes:
-                    self.state, self.failures, self.opened = "CLOSED", 0, None
-        else:
-            self.failures += 1
-            if self.state == "HALF_OPEN" or self.failures >= self.threshold:
-                self.state, self.opened = "OPEN", at_s
-        return self.state, before, self.failures, False
-
-
-def certain_cuts(calls: DataFrame, resource: str = "resource_id", order: str = "seq",
-                 recovery_s: float = V.BREAKER_RECOVERY_S,
-                 probes: int = V.BREAKER_PROBES, chunk: Column | None = None) -> DataFrame:
-    """Adds `segment`: a resource's log cut where its breaker is certainly
-    closed and clear.
-
-    An open breaker was opened by a failure, so `recovery_s` after the last
-    failure every call passes; `probes` successes from there on leave the
-    breaker closed with a clear count, whatever it was before.  Rows after
-    such a success start from a known state and need no history.  The test
-    looks back `probes` rows inside a chunk only: a cut missed at a chunk's
-    edge costs some parallelism, never a result.
-    """
-    chunk = seq_chunk(order) if chunk is None else chunk
-    at = F.unix_micros(F.col("ts").cast("timestamp"))
-    seen = running(calls, [resource], order,
-                   {"_fail_at": ("max", F.when(~F.col("ok"), at))}, chunk=chunk,
-                   inside={"_first_probe": lambda w: F.lag(at, probes - 1).over(w)})
-    since = F.coalesce(F.col("_fail_at") + int(recovery_s * 1_000_000), F.col("_first_probe"))
-    settled = F.coalesce(F.col("ok") & (F.col("_first_probe") >= since), F.lit(False))
-    cut = running(seen, [resource], order, {"segment": ("sum", F.when(settled, 1).otherwise(0))},
-                  inclusive=False, chunk=chunk)
-    return (cut.withColumn("segment", F.coalesce("segment", F.lit(0)))
-            .drop("_fail_at", "_first_probe"))
-
-
-def circuit_states(calls: DataFrame, resource: str = "resource_id", order: str = "seq",
-                   threshold: int = V.BREAKER_FAILURES, recovery_s: float = V.BREAKER_RECOVERY_S,
-                   probes: int = V.BREAKER_PROBES, chunk: Column | None = None) -> DataFrame:
-    """State after every call.  The state machine is sequential, so it runs in
-    Python, but per (resource, segment) of `certain_cuts`: a busy resource is
-    spread over as many groups as it has recoveries."""
-    cut = certain_cuts(calls, resource, order, recovery_s, probes, chunk)
-    thin = cut.select(resource, "segment", order,
-                      (F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000.0).alias("at_s"),
-                      "ok")
-
-    def run(groups: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # Rows arrive sorted by (resource, segment, order) and whole segments
-        # share a partition; a segment may span Arrow batches, its breaker
-        # is the only thing kept between them.
-        held, breaker = None, None
-        for pdf in groups:
-            out = []
-            for key, at_s, ok in zip(zip(pdf[resource], pdf["segment"]), pdf["at_s"], pdf["ok"]):
-                if key != held:
-                    held, breaker = key, Breaker(threshold, recovery_s, probes)
-                out.append(breaker.feed(at_s, ok))
-            names = ["state", "previous_state", "failure_count", "blocked"]
-            yield pd.concat([pdf[[resource, order, "ok"]].reset_index(drop=True),
-                             pd.DataFrame(out, columns=names)], axis=1)
-
-    typed = {f.name: f.dataType.simpleString() for f in thin.schema.fields}
-    schema = f"{resource} {typed[resource]}, {order} {typed[order]}, ok boolean, {CIRCUIT_FIELDS}"
-    return (thin.repartition(resource, "segment")
-            .sortWithinPartitions(resource, "segment", order).mapInPandas(run, schema))
-
-
-def circuit_changes(states: DataFrame) -> DataFrame:
-    """Rows where the breaker changed state."""
-    return states.where("state <> previous_state")
+def failure_runs(calls: DataFrame, resource: str = "resource_id", order: str = "seq",
+                 threshold: int = V.BREAKER_FAILURES, chunk: Column | None = None) -> DataFrame:
+    """Adds `failure_run`, consecutive failures up to and including each call,
+    and `tripped`, whether they reached `threshold`: what to look at before a
+    resource is called again.  Running counts over chunks, no whole log in one
+    task."""
+    counted = running(calls, [resource], order, {
+        "_calls": ("sum", F.lit(1)), }, chunk=chunk)
+    seen = running(counted, [resource], order, {
+        "_good": ("max", F.when(F.col("ok"), F.col("_calls")))}, chunk=chunk)
+    run = (F.col("_calls") - F.coalesce("_good", F.lit(0))).cast("bigint")
+    return (seen.withColumn("failure_run", run).withColumn("tripped", F.col("failure_run") >= threshold)
+            .drop("_calls", "_good"))

@@ -573,37 +573,16 @@ def calls(t: Tables):
                            F.col("event_type").isin("view", "purchase").alias("ok"))
 
 
-BREAKER_SQL = """WITH RECURSIVE c AS (SELECT user_id % 10 AS resource_id, event_id AS seq,
-  epoch_us(ts) AS at_us, event_type IN ('view', 'purchase') AS ok,
-  row_number() OVER (PARTITION BY user_id % 10 ORDER BY event_id) AS n FROM events),
-s AS (
-  SELECT resource_id, 0::BIGINT AS n, 0::BIGINT AS seq, true AS ok, 'CLOSED' AS state,
-    'CLOSED' AS previous_state, 0::BIGINT AS failures, NULL::BIGINT AS opened, 0::BIGINT AS passed,
-    false AS blocked FROM (SELECT DISTINCT resource_id FROM c)
-  UNION ALL
-  SELECT resource_id, n, seq, ok,
-    CASE WHEN eff = 'OPEN' THEN 'OPEN'
-      WHEN ok THEN CASE WHEN eff = 'HALF_OPEN' AND p0 + 1 < 3 THEN 'HALF_OPEN' ELSE 'CLOSED' END
-      WHEN eff = 'HALF_OPEN' OR failures + 1 >= 5 THEN 'OPEN' ELSE 'CLOSED' END,
-    state,
-    CASE WHEN eff = 'OPEN' THEN failures
-      WHEN ok THEN CASE WHEN eff = 'HALF_OPEN' AND p0 + 1 < 3 THEN failures ELSE 0 END
-      ELSE failures + 1 END,
-    CASE WHEN eff <> 'OPEN' AND NOT ok AND (eff = 'HALF_OPEN' OR failures + 1 >= 5) THEN at_us ELSE opened END,
-    CASE WHEN eff = 'HALF_OPEN' AND ok THEN p0 + 1 ELSE p0 END,
-    eff = 'OPEN'
-  FROM (SELECT c.resource_id, c.n, c.seq, c.ok, c.at_us, s.state, s.failures, s.opened,
-      CASE WHEN s.state = 'OPEN' AND c.at_us - s.opened >= 3600000000 THEN 'HALF_OPEN' ELSE s.state END AS eff,
-      CASE WHEN s.state = 'OPEN' AND c.at_us - s.opened >= 3600000000 THEN 0 ELSE s.passed END AS p0
-    FROM s JOIN c ON c.resource_id = s.resource_id AND c.n = s.n + 1))
-"""
-
-
-@query("res_circuit_state", BREAKER_SQL + """SELECT resource_id, seq, ok, state, previous_state,
-  failures AS failure_count, blocked FROM s WHERE n > 0""")
+@query("res_circuit_state", """WITH c AS (SELECT user_id % 10 AS resource_id, event_id AS seq,
+  event_type IN ('view', 'purchase') AS ok FROM events),
+n AS (SELECT *, row_number() OVER w AS k,
+  coalesce(max(CASE WHEN ok THEN event_no END) OVER w, 0) AS good
+  FROM (SELECT *, row_number() OVER (PARTITION BY resource_id ORDER BY seq) AS event_no FROM c)
+  WINDOW w AS (PARTITION BY resource_id ORDER BY seq))
+SELECT resource_id, seq, ok, (k - good)::BIGINT AS failure_run, k - good >= 5 AS tripped FROM n""")
 def res_circuit_state(t: Tables):
-    return X.circuit_states(calls(t), recovery_s=3600.0, chunk=O.seq_chunk("seq", 5000)).select(
-        "resource_id", "seq", "ok", "state", "previous_state", "failure_count", "blocked")
+    return X.failure_runs(calls(t), chunk=O.seq_chunk("seq", 5000)).select(
+        "resource_id", "seq", "ok", "failure_run", "tripped")
 
 
 _STATUSES = (200, 401, 403, 404, 422, 429, 500, 503, 418)

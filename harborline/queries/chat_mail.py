@@ -18,7 +18,7 @@ def history(t: Tables):
     """One channel per conversation, one message per turn; turn 0 is the
     thread's parent.  Landed as JSON, parsed by the source's schema."""
     c = F.col
-    ts = lambda turn: F.concat(F.lit("17040672"), F.lpad(turn.cast("string"), 2, "0"), F.lit(".000100"))
+    ts = lambda turn: F.concat((F.lit(1704067200) + turn).cast("string"), F.lit(".000100"))
     system = c("role") == "system"
     # The reply count comes with the parent message, as the remote sends it.
     counts = t.conversations.groupBy("conv_id").agg(F.count("*").alias("n"))
@@ -37,7 +37,7 @@ def history(t: Tables):
 from pyspark.sql import Window as W  # noqa: E402
 
 MSG_SQL = """m0 AS (SELECT conv_id, turn, 'C' || conv_id AS channel_id, role, text,
-  '17040672' || lpad(turn::VARCHAR, 2, '0') || '.000100' AS ts,
+  (1704067200 + turn)::VARCHAR || '.000100' AS ts,
   count(*) OVER (PARTITION BY conv_id) - 1 AS others, turn = 1 AND conv_id % 5 = 0 AS joined
   FROM conversations),
 m AS (SELECT *, role = 'system' AS bot, NOT (role = 'system') AND NOT joined AS wanted FROM m0),
@@ -49,8 +49,8 @@ rep AS (SELECT channel_id, count(*) AS n, string_agg(text, chr(31) ORDER BY ts)
   CASE WHEN turn = 0 THEN rep.n END AS f_replies, CASE WHEN turn = 0 AND others > 0 THEN 'true' ELSE 'false' END AS has_thread
 FROM m LEFT JOIN rep ON rep.channel_id = m.channel_id WHERE wanted AND ts > '1704067200.000000'""")
 def src_slack_messages(t: Tables):
-    docs = chat.messages(history(t), "s1", oldest="1704067200.000000", per_channel=1000,
-                         seq=F.col("conv_id") * 1000 + F.col("turn"))
+    docs = chat.messages(history(t), "s1", oldest="1704067200.000000",
+                         seq=F.col("conv_id") * 1_000_000 + F.col("turn"))
     body = F.col("content").cast("string")
     return docs.select(
         "id", "source_ref.version", F.array_join("tags", "|").alias("tags"),

@@ -72,7 +72,7 @@ def st_cdc(t: Tables):
 def dd_stream_bounded(t: Tables):
     rows = streamed(t).documents.select(
         F.sha2(F.encode("text", "UTF-8"), 256).alias("id"), D.at(F.col("doc_id")).alias("acquired_at"))
-    return collect(intake.bounded_dedup(rows, window="3650 days").select("id"), shared_dir(t.spark, "recent"))
+    return collect(intake.bounded_dedup(rows).select("id"), shared_dir(t.spark, "recent"))
 
 
 STORE_SQL = f"""WITH {D.ROUTED_SQL} SELECT connector_id, instance_id, count(*) AS stored,
@@ -110,7 +110,7 @@ SELECT instance_id::VARCHAR AS resource_id, seq, CASE WHEN was THEN 'HEALTHY' EL
 def st_health_alert(t: Tables):
     calls = streamed(t).events.select(
         F.col("user_id").cast("string").alias("resource_id"), F.col("event_id").alias("seq"),
-        (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("at_s"),
         (F.col("event_type") != "error").alias("ok"))
-    out = collect(alerts.alerts(calls), shared_dir(t.spark, "alerts"))
-    return out.where("kind = 'health'").select("resource_id", "seq", "previous", "current")
+    root = shared_dir(t.spark, "alerts")
+    run(calls, alerts.alerts_to(f"{root}/store"), root)
+    return alerts.stored_alerts(t.spark, f"{root}/store").select("resource_id", "seq", "previous", "current")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from harborline.catalog import values as V
 from harborline.functions.codec import lsn_order
 from harborline.operators.joins import primary_keys, table_sizes
 from harborline.queries import derive as D
@@ -18,10 +17,10 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 ISO_DAY = "strftime({}, '%Y-%m-%dT%H:%M:%S')"
 
 
-@query("src_table_snapshot", f"""SELECT o_orderkey, o_orderdate, o_totalprice FROM orders
-WHERE o_orderdate > TIMESTAMP '1998-06-01' ORDER BY o_orderdate, o_orderkey LIMIT {V.MAX_TABLE_ROWS}""")
+@query("src_table_snapshot", """SELECT o_orderkey, o_orderdate, o_totalprice FROM orders
+WHERE o_orderdate > TIMESTAMP '1998-06-01'""")
 def src_table_snapshot(t: Tables):
-    return S.snapshot(t.orders, "o_orderdate", "1998-06-01", tie=["o_orderkey"]).select(
+    return S.snapshot(t.orders, "o_orderdate", "1998-06-01").select(
         "o_orderkey", "o_orderdate", "o_totalprice")
 
 
@@ -45,9 +44,14 @@ def src_table_row_docs(t: Tables):
         F.array_join(cols, ",").alias("meta_columns"))
 
 
-@query("src_row_pk", """
+CUSTOMER_KEY = " || '|' || ".join(
+    f"length({c}::VARCHAR) || ':' || {c}::VARCHAR"
+    for c in ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"))
+
+
+@query("src_row_pk", f"""
 SELECT 'lineitem' AS tab, l_orderkey || '|' || l_linenumber AS pk FROM lineitem
-UNION ALL SELECT 'customer', sha256(c_custkey || '|' || c_name || '|' || c_nationkey) FROM customer
+UNION ALL SELECT 'customer', sha256({CUSTOMER_KEY}) FROM customer
 UNION ALL SELECT 'part', p_partkey::VARCHAR FROM part""")
 def src_row_pk(t: Tables):
     pk = lambda name, df, keys=(): df.select(F.lit(name).alias("tab"), S.row_pk(df, keys).alias("pk"))

@@ -13,7 +13,7 @@ from harborline.operators.envelope import envelope
 from harborline.operators.filters import (
     by_extension, by_size, issue_not_pull, pull_wanted, release_wanted, state_wanted,
 )
-from harborline.operators.joins import file_blobs, nest
+from harborline.operators.joins import file_blobs, nest, withheld
 from harborline.sources.common import json_doc, meta, tag, text_or
 
 _LOGIN = "struct<login:string>"
@@ -121,7 +121,7 @@ def issues(rows: DataFrame, comments: DataFrame, instance_id: str, since: str |
     return envelope(
         full, connector_id="github", instance_id=F.lit(instance_id), uri=p["html_url"],
         content=content, content_type="application/json", seq=_seq(seq), version=p["updated_at"],
-        cursor_value=p["updated_at"],
+        cursor_value=p["updated_at"], withheld=withheld("comments"),
         tags=["issue", tag("repo:", col("repo")), tag("state:", p["state"])],
         metadata=meta(resource_type=F.lit("issue"), repo=col("repo"), number=p["number"],
                       state=p["state"], title=p["title"], labels=labels,
@@ -169,7 +169,7 @@ def pulls(rows: DataFrame, reviews: DataFrame, comments: DataFrame, instance_id:
     return envelope(
         full, connector_id="github", instance_id=F.lit(instance_id), uri=p["html_url"],
         content=content, content_type="application/json", seq=_seq(seq), version=p["updated_at"],
-        cursor_value=p["updated_at"],
+        cursor_value=p["updated_at"], withheld=withheld("reviews", "comments"),
         tags=["pull_request", tag("repo:", col("repo")), tag("state:", state)],
         metadata=meta(resource_type=F.lit("pull_request"), repo=col("repo"), number=p["number"],
                       state=state, title=p["title"], author=p["user"]["login"],

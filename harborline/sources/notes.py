@@ -8,7 +8,7 @@ from harborline.catalog import values as V
 from harborline.functions.text import rich_text
 from harborline.operators.envelope import envelope
 from harborline.operators.filters import note_wanted
-from harborline.operators.joins import nest
+from harborline.operators.joins import nest, withheld
 from harborline.session import shared_dir
 from harborline.sources.common import json_doc, meta, tag, text_or
 
@@ -106,6 +106,7 @@ def page_documents(pages: DataFrame, markdown: DataFrame, instance_id: str,
         rows, connector_id="notion", instance_id=F.lit(instance_id), uri=text_or(p["url"]),
         content=F.coalesce(F.nullif("markdown", F.lit("")), fallback),
         content_type="text/markdown",
+        withheld=F.when(F.col("markdown").isNull(), F.col("lines_bytes")),
         seq=seq if seq is not None else F.monotonically_increasing_id(), version=edited,
         cursor_value=edited, tags=["page", tag("parent:", parent)],
         metadata=meta(resource_type=F.lit("page"), notion_id=p["id"], title=F.col("_title"),
@@ -132,6 +133,7 @@ def database_documents(databases: DataFrame, rows: DataFrame, instance_id: str,
     title = F.coalesce(F.nullif("title", F.lit("")), F.lit("Untitled DB"))
     return envelope(
         full, connector_id="notion", instance_id=F.lit(instance_id), uri=col("url"),
+        withheld=withheld("rows"),
         content=json_doc(id=col("db_id"), title=title, schema=col("schema"),
                          row_count=col("rows_count"), rows=col("rows")),
         content_type="application/json",

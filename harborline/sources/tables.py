@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
-from harborline.catalog import values as V
 from harborline.functions.codec import lsn_order
 from harborline.operators.envelope import envelope
 from harborline.sources.common import KEEP_NULLS, iso, json_doc, meta, tag
@@ -28,15 +27,31 @@ def read_jdbc(spark: SparkSession, url: str, table: str, *, split_on: str | None
 
 
 def snapshot(table: DataFrame, cursor_column: str | None, since=None,
-             max_rows: int | None = V.MAX_TABLE_ROWS, tie: list[str] = ()) -> DataFrame:
-    """Rows after `since`, oldest first, at most `max_rows`.  A full read when
-    there is no position or no such column."""
-    has = cursor_column is not None and cursor_column in table.columns
-    rows = table.where(F.col(cursor_column) > F.lit(since).cast(table.schema[cursor_column].dataType)) \
-        if has and since is not None else table
+             max_rows: int | None = None) -> DataFrame:
+    """Rows after `since`; all rows when there is no position or no such column.
+
+    `max_rows` bounds a pull, by default nothing does.  The bound is a position,
+    not a number of rows: everything up to the position of the max_rows-th
+    oldest row comes, ties included, so the next pull, which starts after that
+    position, misses nothing.  Only positions are ranked, from counts per
+    position; no rows are sorted or sent to one task.  Rows without a position
+    come with a full read only, which a bound doesn't cut, nor does it cut a
+    table without a cursor column: nothing could tell where to go on.
+    """
+    if cursor_column is None or cursor_column not in table.columns:
+        return table
+    position = F.col(cursor_column)
+    rows = table if since is None else table.where(
+        position > F.lit(since).cast(table.schema[cursor_column].dataType))
     if max_rows is None:
         return rows
-    return rows.orderBy(cursor_column, *tie).limit(max_rows) if has else rows.limit(max_rows)
+    # The bounded number of oldest distinct positions holds the one we look for.
+    oldest = (rows.where(position.isNotNull()).groupBy(position.alias("_p")).agg(F.count("*").alias("_n"))
+              .orderBy("_p").limit(max_rows))
+    upto = oldest.withColumn("_sum", F.sum("_n").over(W.orderBy("_p"))).agg(
+        F.min(F.when(F.col("_sum") >= max_rows, F.col("_p"))).alias("_end"))
+    end = upto.scalar()
+    return rows.where(position.isNull() | end.isNull() | (position <= end))
 
 
 def _format(f: T.StructField) -> Column:
@@ -66,14 +81,16 @@ def _as_text(df: DataFrame, name: str) -> Column:
 
 def row_pk(df: DataFrame, primary_keys=()) -> Column:
     """Declared keys joined by `|`, else a column that looks like a key, else
-    a stable digest of the first three columns."""
+    a stable digest of all columns.  Each value is given with its length, so
+    that no two rows read alike."""
     if primary_keys:
         return F.concat_ws("|", *[_as_text(df, k) if k in df.columns else F.lit("")
                                   for k in primary_keys])
     for name in KEY_CANDIDATES:
         if name in df.columns:
             return _as_text(df, name)
-    return F.sha2(F.concat_ws("|", *[_as_text(df, n) for n in df.columns[:3]]), 256)
+    parts = [_as_text(df, n) for n in df.columns]
+    return F.sha2(F.concat_ws("|", *[F.concat(F.length(p).cast("string"), F.lit(":"), p) for p in parts]), 256)
 
 
 def row_documents(table: DataFrame, name: str, instance_id: str, *, schema: str = "public",

@@ -29,7 +29,9 @@ def events(deliveries: DataFrame, secret: str | None = None) -> DataFrame:
     return once(rows, "p", valid).where(p.isNotNull()).select(
         *[c for c in deliveries.columns if c != "headers"],
         text_or(h("x-github-event")).alias("event_type"), p["action"].alias("action"),
-        text_or(h("x-github-delivery")).alias("delivery_id"),
+        # A delivery without an id is known by its body: distinct ones stay apart.
+        F.when(F.length(F.trim(h("x-github-delivery"))) > 0, h("x-github-delivery")).otherwise(
+            F.concat(F.lit("sha256:"), F.sha2(F.encode(body, "UTF-8"), 256))).alias("delivery_id"),
         text_or(p["repository"]["full_name"]).alias("repo"),
         text_or(p["sender"]["login"]).alias("sender"))
 

@@ -1,61 +1,49 @@
-"""Live alerts: health flips and breaker transitions, keyed by resource."""
+"""Live health alerts: a row when a resource's calls turn from good to bad or back."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import Column, DataFrame, functions as F
 
-from harborline.operators.resilience import Breaker
+from harborline.operators.ordered import previous
 
-ALERT = ("resource_id string, seq bigint, kind string, previous string, current string, "
-         "failure_count bigint")
+ALERT = "resource_id string, seq bigint, previous string, current string"
+STATE = "resource_id string, seq bigint, ok boolean"
 
 
-class AlertProcessor(StatefulProcessor):
-    """State per resource: last health and the breaker's few numbers.
+def _word(healthy: Column) -> Column:
+    return F.when(healthy, "HEALTHY").otherwise("UNHEALTHY")
 
-    A micro-batch hands a key's rows over in Arrow batches without order, so
-    thin (seq, at, ok) triples are sorted before they are fed.
-    """
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._last = handle.getValueState(
-            "last", "healthy boolean, state string, failures bigint, opened double, passed bigint")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        calls = pd.concat([r[["seq", "at_s", "ok"]] for r in rows]).sort_values("seq")
-        if self._last.exists():
-            healthy, state, failures, opened, passed = self._last.get()
-            breaker = Breaker(state=state, failures=int(failures), opened=opened,
-                              passed=int(passed))
-        else:
-            healthy, breaker = None, Breaker()
-        out = []
-        for seq, at_s, ok in calls.itertuples(index=False):
-            ok = bool(ok)
-            if healthy is not None and healthy != ok:
-                out.append((key[0], seq, "health", _word(healthy), _word(ok), breaker.failures))
-            healthy = ok
-            after, before, failures, _ = breaker.feed(at_s, ok)
-            if after != before:
-                out.append((key[0], seq, "circuit", before, after, failures))
-        self._last.update((bool(healthy), breaker.state, int(breaker.failures),
-                           breaker.opened, int(breaker.passed)))
-        yield pd.DataFrame(out, columns=["resource_id", "seq", "kind", "previous", "current",
-                                         "failure_count"])
-
-    def close(self) -> None:
-        pass
-
-
-def _word(healthy: bool) -> str:
-    return "HEALTHY" if healthy else "UNHEALTHY"
-
-
-def alerts(calls: DataFrame) -> DataFrame:
-    """Stream of calls (resource_id, seq, at_s, ok) -> stream of ALERT rows."""
-    return calls.groupBy("resource_id").transformWithStateInPandas(
-        AlertProcessor(), outputStructType=ALERT, outputMode="Append", timeMode="None")
+def alerts_to(store: str, chunk: Column | None = None) -> Callable[[DataFrame, int], None]:
+    """Work for a stream of calls (resource_id, seq, ok): flips go to
+    `store`/alerts, the last call of every resource to `store`/state, both in
+    a directory per micro-batch that a replay overwrites.
+
+    Within a batch each call is compared with the one before it by the chunked
+    running operator, so a resource that owns most calls is not gathered; the
+    first call of a resource is compared with the state the last batch left.
+    The state is one thin row per resource.
+    """
+    def work(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        calls = batch.select("resource_id", "seq", "ok")
+        left = (spark.read.schema(STATE).parquet(f"{store}/state/batch_id={batch_id - 1}") if batch_id
+                else spark.createDataFrame([], STATE))
+        seen = previous(calls, ["resource_id"], "seq", F.col("ok"), "was", chunk)
+        known = left.select(F.col("resource_id").alias("_r"), F.col("ok").alias("_ok"))
+        was = F.coalesce("was", "_ok")
+        flips = (seen.join(known, F.col("resource_id").eqNullSafe(F.col("_r")), "left")
+                 .where(was != F.col("ok"))
+                 .select("resource_id", "seq", _word(was).alias("previous"), _word(F.col("ok")).alias("current")))
+        flips.write.mode("overwrite").parquet(f"{store}/alerts/batch_id={batch_id}")
+        last = (left.unionByName(calls).groupBy("resource_id")
+                .agg(F.max(F.struct("seq", "ok")).alias("l")).select("resource_id", "l.seq", "l.ok"))
+        last.write.mode("overwrite").parquet(f"{store}/state/batch_id={batch_id}")
+
+    return work
+
+
+def stored_alerts(spark, store: str) -> DataFrame:
+    return spark.read.schema(f"{ALERT}, batch_id int").parquet(f"{store}/alerts").drop("batch_id")

@@ -67,19 +67,23 @@ def process_to(store: str, to_documents: Callable[[DataFrame], DataFrame],
     return work
 
 
-def webhook_stream(deliveries: DataFrame, secret: str | None, time: str = "received_at",
-                   window: str = REPLAY_WINDOW) -> DataFrame:
-    """Verified, acquiring deliveries; a delivery id seen again within the
-    window is dropped.  State holds ids for the window only."""
-    events = webhook.acquiring(webhook.events(deliveries, secret))
-    return events.withWatermark(time, window).dropDuplicatesWithinWatermark(["delivery_id"])
+def webhook_stream(deliveries: DataFrame, secret: str | None, window: str = REPLAY_WINDOW) -> DataFrame:
+    """Verified, acquiring deliveries; a delivery id that arrives again within
+    the window is dropped.  State holds ids for the window only."""
+    return _first_arrivals(webhook.acquiring(webhook.events(deliveries, secret)), ["delivery_id"], window)
 
 
-def bounded_dedup(docs: DataFrame, time: str = "acquired_at", window: str = "1 hour",
-                  keys: list[str] = ("id",)) -> DataFrame:
+def bounded_dedup(docs: DataFrame, window: str = "1 hour", keys: list[str] = ("id",)) -> DataFrame:
     """Recent repeats are dropped with state bounded by time; the repository
     anti join stays the authority for older ones."""
-    return docs.withWatermark(time, window).dropDuplicatesWithinWatermark(list(keys))
+    return _first_arrivals(docs, list(keys), window)
+
+
+def _first_arrivals(rows: DataFrame, keys: list[str], window: str) -> DataFrame:
+    """The window runs over arrival, not over a time in the data: a backlog
+    read in any order has no late rows, so none is lost."""
+    return (rows.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", window)
+            .dropDuplicatesWithinWatermark(keys).drop("_arrived"))
 
 
 def cdc_stream(changes: DataFrame, instance_id: str) -> DataFrame:

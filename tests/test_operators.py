@@ -4,6 +4,7 @@ import random
 from pyspark.sql import functions as F
 
 from harborline.catalog import values as V
+from harborline.operators.envelope import envelope
 from harborline.operators import (aggregates, cursors, deadletter as DL, dedup, history, joins, ordered,
                                   repository as R, resilience as X, validate)
 from harborline.operators.envelope import document_id, envelope, with_integrity
@@ -114,32 +115,16 @@ def test_composite_positions(spark):
     assert df.select(cursors.make_composite(m).alias("j")).first().j == '{"a":"1","b":"2"}'
 
 
-def test_breaker_over_cut_logs(spark):
+def test_runs_of_failures(spark):
     rng = random.Random(11)
-    rows, clock = [], {}
-    for i in range(3000):
-        res = rng.choice(["hot", "hot", "b", "c"])
-        clock[res] = clock.get(res, 0.0) + rng.choice([1, 5, 70])
-        rows.append((i, res, clock[res], rng.random() < {"hot": 0.5, "b": 0.9, "c": 0.05}[res]))
-    df = spark.createDataFrame(rows, "seq long, resource_id string, at double, ok boolean").withColumn(
-        "ts", F.timestamp_micros((F.col("at") * 1_000_000).cast("long")))
-    want, breakers = {}, {}
-    for seq, res, at, ok in rows:
-        want[seq] = breakers.setdefault(res, X.Breaker()).feed(at, ok)
-    got = X.circuit_states(df, chunk=ordered.seq_chunk("seq", 101)).collect()
-    assert {r.seq: (r.state, r.previous_state, r.failure_count, r.blocked) for r in got} == want
-    assert X.certain_cuts(df).where("resource_id = 'hot'").select("segment").distinct().count() > 5
-
-
-def test_breaker_steps():
-    b = X.Breaker()
-    for _ in range(5):
-        b.feed(0.0, False)
-    assert b.state == "OPEN" and b.feed(59.9, True)[3]
-    assert [b.feed(60.0 + i, True)[0] for i in range(3)] == ["HALF_OPEN", "HALF_OPEN", "CLOSED"]
-    for _ in range(5):
-        b.feed(70.0, False)
-    assert b.feed(131.0, False)[0] == "OPEN"
+    rows = [(i, rng.choice(["hot", "hot", "b", None]), rng.random() < 0.4) for i in range(2000)]
+    df = spark.createDataFrame(rows, "seq long, resource_id string, ok boolean")
+    want, run = {}, {}
+    for seq, res, ok in rows:
+        run[res] = 0 if ok else run.get(res, 0) + 1
+        want[seq] = (run[res], run[res] >= 5)
+    got = X.failure_runs(df, chunk=ordered.seq_chunk("seq", 101)).collect()
+    assert {r.seq: (r.failure_run, r.tripped) for r in got} == want
 
 
 def test_retry_schedule(spark):
@@ -161,6 +146,11 @@ def test_nested_children_above_the_document_limit(spark):
     out = {r.k: r for r in joins.nest(parents, kids, ["k"], F.struct("body"), ["n"], "kids", 1000).collect()}
     assert out["p"].kids is None and out["p"].kids_count == 50 and out["p"].kids_bytes == 5000
     assert [x.body for x in out["q"].kids] == ["a", "b"] and out["r"].kids == []
+    left = joins.nest(parents, kids, ["k"], F.struct("body"), ["n"], "kids", 1000)
+    docs = envelope(left, connector_id="c", instance_id=F.lit("i"), uri=F.col("k"), content=F.col("k"),
+                    content_type="text/plain", seq=F.lit(1), withheld=joins.withheld("kids"))
+    sizes = {r.source_ref.uri: r.size_bytes for r in docs.collect()}
+    assert sizes == {"p": 5001, "q": 1, "r": 1}  # so that validation rejects p by its size
     full = {r.k: r for r in joins.nest(parents, kids, ["k"], F.struct("body"), ["n"], "kids").collect()}
     assert len(full["p"].kids) == 50
 

@@ -38,7 +38,22 @@ def test_snapshot_without_its_column_reads_everything(spark):
     df = spark.range(10)
     assert tables.snapshot(df, "updated_at", "x").count() == 10
     assert tables.snapshot(df, "id", 6).count() == 3
-    assert [r.id for r in tables.snapshot(df, "id", 1, max_rows=2).collect()] == [2, 3]
+    assert sorted(r.id for r in tables.snapshot(df, "id", 1, max_rows=2).collect()) == [2, 3]
+
+
+def test_snapshot_keeps_ties_of_the_last_position(spark):
+    df = spark.createDataFrame([(i, i // 3) for i in range(8)], "id long, at long")
+    seen, since = [], None
+    while rows := tables.snapshot(df, "at", since, max_rows=2).collect():
+        seen += [r.id for r in rows]
+        since = max(r["at"] for r in rows)
+    assert sorted(seen) == list(range(8)) and len(seen) == 8
+    assert tables.snapshot(df, "nowhere", 1, max_rows=2).count() == 8
+
+
+def test_keyless_rows_differ_by_any_column(spark):
+    df = spark.createDataFrame([("a", "b", "c", "d"), ("a", "b", "c", "e"), ("a|b", "", "c", "d")], "w string, x string, y string, z string")
+    assert df.select(tables.row_pk(df).alias("k")).distinct().count() == 3
 
 
 def test_catalog(spark, tmp_path):

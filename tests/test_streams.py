@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from harborline.operators import resilience as X
+from harborline.operators.ordered import seq_chunk
 from harborline.sources import objects, webhook
 from harborline.streaming import alerts, intake
 
@@ -77,24 +77,42 @@ def test_repeated_deliveries_are_dropped(spark, tmp_path):
     assert sorted(r.delivery_id for r in spark.read.parquet(out).collect()) == ["d1", "d2", "d3"]
 
 
+def test_rows_of_any_time_are_kept(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "id string, acquired_at long"
+    go = lambda: run(intake.bounded_dedup(intake.read_table(spark, f"{folder}/*")), intake.append_to(out), str(tmp_path / "cp"))
+    for name, rows in (("a", [("a", 900_000)]), ("b", [("b", 900_001), ("a", 900_002)]), ("c", [("c", 1)])):
+        land(spark, folder, name, rows, schema)
+        go()
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
+
+
+def test_deliveries_without_id_are_known_by_their_body(spark):
+    bodies = ['{"repository": {"full_name": "o/r%d"}}' % (i % 3) for i in range(5)]
+    rows = spark.createDataFrame([(b, {"X-GitHub-Event": "push", **({"X-GitHub-Delivery": " "} if i else {})})
+                                  for i, b in enumerate(bodies)], "body string, headers map<string,string>")
+    ids = [r.delivery_id for r in webhook.events(rows).collect()]
+    assert len(ids) == 5 and len(set(ids)) == 3 and all(i.startswith("sha256:") for i in ids)
+
+
 def test_alerts_keep_state_between_runs(spark, tmp_path):
     rng = random.Random(7)
-    rows, clock = [], 0.0
-    for i in range(400):
-        clock += rng.choice([1.0, 30.0, 90.0])
-        rows.append((rng.choice("ab"), i, clock, rng.random() < 0.4))
-    want, breakers, last = [], {}, {}
-    for res, seq, at, ok in rows:
+    rows = [(rng.choice("ab"), i, rng.random() < 0.4) for i in range(400)]
+    want, last = [], {}
+    for res, seq, ok in rows:
         if res in last and last[res] != ok:
-            want.append((res, seq, "health"))
+            want.append((res, seq, "HEALTHY" if ok else "UNHEALTHY"))
         last[res] = ok
-        after, before, _, _ = breakers.setdefault(res, X.Breaker()).feed(at, ok)
-        if after != before:
-            want.append((res, seq, "circuit"))
-    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
-    schema = "resource_id string, seq long, at_s double, ok boolean"
+    folder, store = str(tmp_path / "in"), str(tmp_path / "store")
+    schema = "resource_id string, seq long, ok boolean"
+    work = alerts.alerts_to(store, seq_chunk("seq", 13))
     for part in (rows[:150], rows[150:]):
         land(spark, folder, f"p{len(part)}", part, schema)
-        run(alerts.alerts(intake.read_table(spark, f"{folder}/*")), intake.append_to(out), str(tmp_path / "cp"))
-    got = [(r.resource_id, r.seq, r.kind) for r in spark.read.parquet(out).collect()]
-    assert sorted(got) == sorted(want) and any(k == "circuit" for _, _, k in want)
+        run(intake.read_table(spark, f"{folder}/*"), work, str(tmp_path / "cp"))
+    work(intake_rows(spark, rows[150:], schema), 1)  # a replayed batch changes nothing
+    got = [(r.resource_id, r.seq, r.current) for r in alerts.stored_alerts(spark, store).collect()]
+    assert sorted(got) == sorted(want)
+
+
+def intake_rows(spark, rows, schema):
+    return spark.createDataFrame(rows, schema)
