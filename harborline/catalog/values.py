@@ -13,14 +13,7 @@ MAX_DOCUMENT_BYTES = 100 * 1024 * 1024
 MAX_OBJECT_BYTES = 50 * 1024 * 1024
 MAX_CODE_FILE_BYTES = 1024 * 1024
 MAX_ATTACHMENT_BYTES = 5 * 1024 * 1024
-MAX_TABLE_ROWS = 100_000
-MAX_CHANNEL_MESSAGES = 1000
-MAX_THREAD_REPLIES = 199
-MAX_COMMIT_FILES = 50
-MAX_PAGE_LINKS = 50
 MAX_CRAWL_DEPTH = 3
-MAX_CRAWL_PAGES = 1000
-MAX_BLOCK_DEPTH = 5
 SIGNATURE_WINDOW_S = 300
 DEGRADED_LATENCY_MS = 500.0
 LOW_QUOTA = 100

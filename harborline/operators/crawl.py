@@ -46,12 +46,12 @@ def resolve_links(base: Column, links: Column) -> Column:
 
 
 def page_links(pages: DataFrame, domains=None, allow_ext=V.CRAWL_EXTENSIONS,
-               max_links: int = V.MAX_PAGE_LINKS) -> DataFrame:
+               max_links: int | None = None) -> DataFrame:
     """(page columns, pos, link): each page's links in first-seen order.
 
     `domains` is a list of hosts, or None for the page's own host.  All of it
-    -- resolving, filtering, distinct, the first `max_links` -- happens inside
-    the page's row: no shuffle, and at most `max_links` rows per page.
+    -- resolving, filtering, distinct, the first `max_links` if given -- happens
+    inside the page's row: no shuffle.
     """
     raw = F.regexp_extract_all("html", F.lit(V.HREF_PATTERN), 1)
     wanted = F.filter(F.transform(raw, strip),
@@ -69,7 +69,8 @@ def page_links(pages: DataFrame, domains=None, allow_ext=V.CRAWL_EXTENSIONS,
     key = [c for c in pages.columns if c != "html"]
     rows = pages.select(*key, wanted.alias("_wanted"))
     rows = rows.select(*key, resolve_links(F.col("url"), F.col("_wanted")).alias("_links"))
-    first = F.slice(F.array_distinct(F.filter("_links", fits)), 1, max_links)
+    first = F.array_distinct(F.filter("_links", fits))
+    first = first if max_links is None else F.slice(first, 1, max_links)
     return (rows.select(*key, F.posexplode(first).alias("pos", "link"))
             .withColumn("pos", F.col("pos") + 1))
 

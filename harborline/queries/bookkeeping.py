@@ -490,14 +490,14 @@ def cur_snapshot_unchanged(t: Tables):
 
 
 @query("jn_cursor_lookup", """WITH s AS (SELECT o_orderpriority AS k, max(o_orderdate) AS since FROM orders
-  WHERE o_orderstatus = 'F' AND o_orderkey < 500 GROUP BY 1)
+  WHERE o_orderstatus = 'F' AND o_orderdate < TIMESTAMP '1998-06-01' GROUP BY 1)
 SELECT o_orderkey, k AS cursor_key FROM orders JOIN s ON k = o_orderpriority
 WHERE o_orderdate > since""")
 def jn_cursor_lookup(t: Tables):
     day = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
     o = t.orders.select(F.lit("i1").alias("instance_id"), "o_orderkey", "o_orderpriority",
                         "o_orderstatus", day.alias("day"))
-    stored = (o.where("o_orderstatus = 'F' and o_orderkey < 500")
+    stored = (o.where("o_orderstatus = 'F' and day < '1998-06-01'")
               .groupBy("instance_id", F.col("o_orderpriority").alias("cursor_key"))
               .agg(F.max("day").alias("value")))
     return C.lookup(o, stored, F.col("o_orderpriority"), "day").select("o_orderkey", "cursor_key")

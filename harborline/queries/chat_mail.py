@@ -163,7 +163,7 @@ def mailbox(t: Tables):
     some with attachments, one attachment kind above the size limit."""
     k, s = F.col("doc_id"), lambda c: c.cast("string")
     b64 = lambda c: F.translate(F.regexp_replace(F.base64(F.encode(c, "UTF-8")), r"[\r\n=]", ""), "+/", "-_")
-    text = F.substring("text", 1, 120)
+    text = F.col("text")
     leaf = lambda mime, name, data, size: F.struct(
         F.lit(mime).alias("mimeType"), name.alias("filename"),
         F.struct(data.alias("data"), size.cast("bigint").alias("size")).alias("body"))
@@ -195,7 +195,7 @@ def mailbox(t: Tables):
     return landed(t.documents.select(k, "text", whole.alias("payload")), mail.MESSAGE)
 
 
-MAIL_SQL = """mb AS (SELECT doc_id, 'm' || doc_id AS id, substr(text, 1, 120) AS body, doc_id % 3 AS kind,
+MAIL_SQL = """mb AS (SELECT doc_id, 'm' || doc_id AS id, text AS body, doc_id % 3 AS kind,
   CASE WHEN doc_id % 4 = 0 THEN '(no subject)' ELSE 'S' || doc_id END AS subject,
   'a' || doc_id || '@x.test' AS sender, 1704067200000 + doc_id * 1000 AS ms,
   doc_id % 2 = 0 AS work, doc_id % 9 = 0 AS spam FROM documents)"""

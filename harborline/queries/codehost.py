@@ -269,7 +269,7 @@ def commits(t: Tables):
 @query("src_code_commits", """SELECT sha256('h1:https://github.com/o/r/commit/' || c_custkey) AS id,
   md5(c_custkey::VARCHAR) AS version, strftime(TIMESTAMP '2024-01-01' + to_seconds(
     c_custkey + CASE WHEN c_custkey % 5 = 0 THEN 60 ELSE 0 END), '%Y-%m-%dT%H:%M:%SZ') AS cursor_value,
-  c_name AS message, least(c_custkey % 80 + 1, 50)::INT AS n_files, md5((c_custkey - 1)::VARCHAR) AS parent,
+  c_name AS message, (c_custkey % 80 + 1)::INT AS n_files, md5((c_custkey - 1)::VARCHAR) AS parent,
   (c_custkey % 80 + 1)::VARCHAR AS total FROM customer""")
 def src_code_commits(t: Tables):
     docs = S.commits(commits(t), "h1", seq=F.col("c_custkey"))

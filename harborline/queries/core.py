@@ -234,12 +234,12 @@ def dd_content_hash(t: Tables):
 
 @query("ext_deduplicator", f"""WITH {D.CLEAN_SQL}
 SELECT seq, uri FROM clean QUALIFY row_number() OVER (
-  PARTITION BY upper(substr(text, 1, 40)), content_type ORDER BY seq) = 1""")
+  PARTITION BY upper(text), content_type ORDER BY seq) = 1""")
 def ext_deduplicator(t: Tables):
     rows = D.clean_documents(t).select(
         "seq", "source_ref.uri", "content_type",
-        F.upper(F.substring(F.col("content").cast("string"), 1, 40)).alias("opening"))
-    return dedup.keep_first(rows, ["opening", "content_type"]).select("seq", "uri")
+        F.upper(F.col("content").cast("string")).alias("spelling"))
+    return dedup.keep_first(rows, ["spelling", "content_type"]).select("seq", "uri")
 
 
 @query("jn_mime_route", f"""WITH {D.CLEAN_SQL},

@@ -57,10 +57,9 @@ items AS (
 
 @query("src_api_items", f"""WITH {API_SQL} SELECT sha256('w1:https://api.test/v1/' || substr(endpoint, 5)
   || '/' || item_id) AS id, 'https://api.test' || endpoint || '/' || item_id AS uri,
-  'api_item|endpoint:' || endpoint AS tags, item_id AS meta_item, status FROM items
-QUALIFY row_number() OVER (PARTITION BY endpoint ORDER BY page_no, item_no) <= 4000""")
+  'api_item|endpoint:' || endpoint AS tags, item_id AS meta_item, status FROM items""")
 def src_api_items(t: Tables):
-    items = web.api_items(api_answers(t), "data.items", per_endpoint=4000)
+    items = web.api_items(api_answers(t), "data.items")
     docs = web.api_documents(items, "https://api.test/", "w1", seq=F.col("page_no") * 2 + F.col("item_no"))
     return docs.select(
         "id", "source_ref.uri", F.array_join("tags", "|").alias("tags"),
@@ -92,7 +91,7 @@ def landed_feeds(t: Tables):
              .when(k % 4 == 2, F.date_format(when, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
              .otherwise(F.concat(F.date_format(when, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("-05:00"))))
     stamp = F.when(k % 13 == 5, "soon").otherwise(stamp)
-    body = F.concat(F.lit("<![CDATA["), F.regexp_replace(F.substring("text", 1, 80), r"[^\p{L} ]", ""),
+    body = F.concat(F.lit("<![CDATA["), F.regexp_replace("text", r"[^\p{L} ]", ""),
                     F.lit("]]>"))
     link = F.concat(F.lit("https://blog.test/"), k)
     rss_link = F.when(k % 6 == 0, "").otherwise(F.concat(F.lit("<link>"), link, F.lit("</link>")))
@@ -112,7 +111,7 @@ def landed_feeds(t: Tables):
 
 FEED_SQL = """f AS (SELECT doc_id, 'https://blog.test/feed/' || doc_id AS feed_url, 'T' || doc_id AS title,
   doc_id % 3 = 1 AS is_atom, 'https://blog.test/' || doc_id AS href,
-  regexp_replace(substr(text, 1, 80), '[^\\p{L} ]', '', 'g') AS content,
+  regexp_replace(text, '[^\\p{L} ]', '', 'g') AS content,
   CASE WHEN doc_id % 13 = 5 THEN 0 ELSE 1704067200 + doc_id * 3600 +
     CASE doc_id % 4 WHEN 0 THEN -7200 WHEN 3 THEN 18000 ELSE 0 END END::DOUBLE AS published_ts
   FROM documents),
@@ -172,7 +171,7 @@ def fn_html_to_text(t: Tables):
 def wiki_markup(t: Tables):
     """Storage-format pages derived from documents."""
     k = F.col("doc_id")
-    text = F.regexp_replace(F.substring("text", 1, 200), r"[^\p{L} .]", "")
+    text = F.regexp_replace("text", r"[^\p{L} .]", "")
     html = F.concat(
         F.lit("<h2>"), F.concat(F.lit("Head "), k), F.lit("</h2><p>"), text,
         F.lit(' <strong>bold</strong> and <em>it</em></p><ul><li>one</li><li><code>x'), k,
@@ -182,7 +181,7 @@ def wiki_markup(t: Tables):
     return t.documents.select(k, "text", "source", "lang", html.alias("html"))
 
 
-MARKDOWN_SQL = r"""m AS (SELECT doc_id, source, lang, regexp_replace(substr(text, 1, 200), '[^\p{L} .]', '', 'g') AS body
+MARKDOWN_SQL = r"""m AS (SELECT doc_id, source, lang, regexp_replace(text, '[^\p{L} .]', '', 'g') AS body
   FROM documents),
 md AS (SELECT doc_id, source, lang, body, '## Head ' || doc_id || body || ' **bold** and *it*' || chr(10) ||
   '- one- `x' || doc_id || '`' || chr(10) || '[link](/d/' || doc_id || ')```' || chr(10) || 'a = ' || doc_id ||
@@ -204,8 +203,7 @@ l2 AS (SELECT page_id, url, host, origin || trim(href) AS link, min(n) AS n FROM
   WHERE NOT contains(split_part(href, '/', -1), '.') OR '.' || lower(split_part(href, '.', -1)) IN (
     '.html', '.htm', '.php', '.asp', '.aspx', '.pdf', '.md', '.txt', '.rst', '.doc', '.docx', '.json',
     '.xml', '.csv') GROUP BY ALL),
-links AS (SELECT page_id, url, host, link, row_number() OVER (PARTITION BY page_id ORDER BY n) AS pos FROM l2
-  QUALIFY pos <= 50)"""
+links AS (SELECT page_id, url, host, link, row_number() OVER (PARTITION BY page_id ORDER BY n) AS pos FROM l2)"""
 
 
 @query("fn_extract_links", f"WITH {LINKS_SQL} SELECT page_id, pos, link FROM links")
@@ -237,39 +235,35 @@ def crawl_link_graph(t: Tables):
     return K.link_graph(t.pages)
 
 
-def web_edges(t: Tables):
-    """The pages' links fanned out over the site: orders stand for pages, each
-    order links to the parts of its lines and to the next orders."""
-    l = t.lineitem
-    src = F.concat(F.lit("u"), F.col("l_orderkey") % 4000)
-    dst = F.concat(F.lit("u"), (F.col("l_partkey") * 7 + F.col("l_suppkey")) % 4000)
-    return l.select(src.alias("src"), dst.alias("dst")).distinct()
-
-
-EDGES_SQL = """edges AS (SELECT DISTINCT 'u' || (l_orderkey % 4000) AS src,
-  'u' || ((l_partkey * 7 + l_suppkey) % 4000) AS dst FROM lineitem),
+EDGES_SQL = f"""{LINKS_SQL}, edges AS (SELECT DISTINCT url AS src, link AS dst FROM links
+WHERE NOT regexp_matches(link, '\\.(png|jpg|jpeg|gif|ico|svg|webp|mp4|mp3|avi|zip|tar|gz|exe|bin)$')
+  AND NOT regexp_matches(link, '/(login|logout|signin|signup|register|auth)')
+  AND NOT regexp_matches(link, '[?&](utm_|fbclid|gclid)')),
 walk AS (
-  SELECT DISTINCT 'u' || s_suppkey AS url, 0 AS depth FROM supplier WHERE s_suppkey <= 2
+  SELECT DISTINCT url, 0 AS depth FROM pages WHERE page_id % 10 = 0
   UNION
   SELECT e.dst, w.depth + 1 FROM walk w JOIN edges e ON e.src = w.url WHERE w.depth < 3),
 reached AS (SELECT url, min(depth)::INT AS depth FROM walk GROUP BY url)"""
 
 
 def seeds(t: Tables):
-    return t.supplier.where("s_suppkey <= 2").select(F.concat(F.lit("u"), "s_suppkey").alias("url"))
+    return t.pages.where("page_id % 10 = 0").select("url")
 
 
 @query("crawl_bfs_depth", f"WITH RECURSIVE {EDGES_SQL} SELECT url, depth FROM reached")
 def crawl_bfs_depth(t: Tables):
-    return K.bfs_depth(web_edges(t), seeds(t))
+    return K.bfs_depth(K.link_graph(t.pages), seeds(t))
 
 
-@query("crawl_frontier", f"""WITH RECURSIVE {EDGES_SQL}, r2 AS (SELECT * FROM reached WHERE depth <= 1)
+@query("crawl_frontier", f"""WITH RECURSIVE {EDGES_SQL}, r2 AS (SELECT * FROM reached WHERE depth <= 1),
+fetched AS (SELECT url FROM reached WHERE depth = 0)
 SELECT e.dst AS url, (min(depth) + 1)::INT AS depth FROM r2 JOIN edges e ON e.src = r2.url
-WHERE e.dst NOT IN (SELECT url FROM r2) GROUP BY 1""")
+WHERE e.dst NOT IN (SELECT url FROM fetched) GROUP BY 1""")
 def crawl_frontier(t: Tables):
-    reached = K.bfs_depth(web_edges(t), seeds(t), max_depth=1)
-    return K.frontier(web_edges(t), reached, reached)
+    """Seeds are fetched, what they link to is known but not fetched yet."""
+    edges = K.link_graph(t.pages)
+    reached = K.bfs_depth(edges, seeds(t), max_depth=1)
+    return K.frontier(edges, reached, reached.where("depth = 0"))
 
 
 @query("crawl_changed", """SELECT page_id, url, CASE WHEN page_id % 5 = 0 THEN 'new' ELSE 'changed' END AS change

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from harborline.catalog import values as V
 from harborline.functions.codec import body_signature_valid, hmac_sha256
 from harborline.functions.names import branch_of_ref
 from harborline.operators.filters import delivery_acquires, unknown_event_types

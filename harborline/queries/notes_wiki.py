@@ -104,10 +104,12 @@ def note_pages(t: Tables):
 
 
 def note_blocks(t: Tables):
-    """A chain of blocks seven deep on every even page, two siblings a level."""
+    """A chain of blocks seven deep on every page, two siblings a level; each
+    has a fourteenth of the document's words."""
     k = F.col("doc_id")
-    words = F.split(F.regexp_replace(F.substring("text", 1, 300), r"[^\p{L} ]", ""), " +")
-    rows = t.documents.where(k % 2 == 0).select(k, words.alias("w"), F.explode(F.sequence(F.lit(0), F.lit(13))).alias("i"))
+    words = F.split(F.regexp_replace("text", r"[^\p{L} ]", ""), " +")
+    rows = t.documents.select(k, words.alias("w"), F.explode(F.sequence(F.lit(0), F.lit(13))).alias("i"))
+    part = F.ceil(F.size("w") / 14).cast("int")
     level, side = F.floor(F.col("i") / 2), F.col("i") % 2
     own = F.concat(F.lit("n"), k, F.lit("b"), F.col("i"))
     above = F.when(level == 0, F.concat(F.lit("n"), k)).otherwise(
@@ -115,17 +117,18 @@ def note_blocks(t: Tables):
     kind = F.element_at(F.array(*map(F.lit, BLOCK_TYPES)), ((k + F.col("i")) % len(BLOCK_TYPES) + 1).cast("int"))
     # Landed as a table: the tree walk reads it once per level.
     return materialize(rows.select(own.alias("block_id"), above.alias("parent_id"), side.cast("int").alias("ordinal"),
-                       kind.alias("type"), F.coalesce(F.get("w", F.col("i")), F.lit("")).alias("text"),
+                       kind.alias("type"), F.array_join(F.slice("w", F.col("i") * part + 1, part), " ").alias("text"),
                        ((side == 0) & (level < 6)).alias("has_children")), "landed-blocks")
 
 
-# Levels 0 to 5 are read.  The chain nests under the first sibling of each
+# The chain nests under the first sibling of each
 # level, so reading order is: firsts down the chain, then seconds back up.
 BLOCK_SQL = f"""nb AS (SELECT doc_id, i, i // 2 AS depth, i % 2 AS side,
   'n' || doc_id || 'b' || i AS block_id,
   ({list(BLOCK_TYPES)})[((doc_id + i) % {len(BLOCK_TYPES)})::INT + 1] AS type,
-  coalesce(string_split_regex(regexp_replace(substr(text, 1, 300), '[^\\p{{L}} ]', '', 'g'), ' +')[i + 1], '') AS text
-  FROM documents, range(12) r(i) WHERE doc_id % 2 = 0),
+  array_to_string(w[i * part + 1:(i + 1) * part], ' ') AS text
+  FROM (SELECT doc_id, w, ceil(len(w) / 14)::INT AS part FROM (SELECT doc_id,
+    string_split_regex(regexp_replace(text, '[^\\p{{L}} ]', '', 'g'), ' +') AS w FROM documents)), range(14) r(i)),
 placed AS (SELECT *, CASE WHEN side = 0 THEN depth ELSE 20 - depth END AS pos FROM nb),
 lines AS (SELECT doc_id, pos, CASE type WHEN 'heading_1' THEN '# ' || text WHEN 'heading_2' THEN '## ' || text
   WHEN 'heading_3' THEN '### ' || text

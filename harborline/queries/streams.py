@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from harborline.catalog import values as V
 from harborline.operators import validate
 from harborline.plans import batch
 from harborline.queries import derive as D, intake as I

@@ -194,7 +194,7 @@ def src_object_prefixes(t: Tables):
 @query("src_resource_discovery", """WITH r AS (
   SELECT DISTINCT 'github' AS connector_id, 'https://github.com/' || source || '/' || lang AS resource FROM documents
   UNION ALL SELECT DISTINCT 'slack', 'slack://channel/' || conv_id || '/room-' || conv_id FROM conversations
-  UNION ALL SELECT 'web', url FROM pages WHERE page_id % 10 = 0
+  UNION ALL SELECT 'web', url FROM pages
   UNION ALL SELECT 'postgresql', 'postgresql://public/' || t FROM (
     SELECT DISTINCT 'events_' || event_type AS t FROM events)),
 k AS (SELECT *, count(*) OVER (PARTITION BY connector_id) AS total,
@@ -209,7 +209,7 @@ def src_resource_discovery(t: Tables):
     found = discovery.resources([
         ("github", repos, F.concat(lit("https://github.com/"), col("full_name"))),
         ("slack", channels, F.concat(lit("slack://channel/"), col("conv_id"), lit("/room-"), col("conv_id"))),
-        ("web", t.pages.where("page_id % 10 = 0"), col("url")),
+        ("web", t.pages, col("url")),
         ("postgresql", t.events.select("event_type").distinct(),
          F.concat(lit("postgresql://public/events_"), col("event_type")))])
     return discovery.listed(found, 40)

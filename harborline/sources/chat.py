@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from harborline.catalog import values as V
 from harborline.functions.names import mime_by_object_key
 from harborline.operators.envelope import envelope
 from harborline.operators.filters import file_present, member_active, message_wanted

@@ -201,12 +201,15 @@ def releases(rows: DataFrame, instance_id: str, since_id: int | None = None,
                       published_at=p["published_at"]))
 
 
-def commits(rows: DataFrame, instance_id: str, seq: Column | None = None) -> DataFrame:
+def commits(rows: DataFrame, instance_id: str, seq: Column | None = None,
+            max_files: int | None = None) -> DataFrame:
+    """Commits with all their files, or the first `max_files` of them."""
     p, col = F.col("p"), F.col
     zero = lambda c: F.coalesce(c, F.lit(0))
     author, committer = p["commit"]["author"], p["commit"]["committer"]
+    files = F.coalesce(p["files"], F.array())
     changed = F.transform(
-        F.slice(F.coalesce(p["files"], F.array()), 1, V.MAX_COMMIT_FILES), lambda f: F.struct(
+        files if max_files is None else F.slice(files, 1, max_files), lambda f: F.struct(
             text_or(f["filename"]).alias("filename"), text_or(f["status"]).alias("status"),
             zero(f["additions"]).alias("additions"), zero(f["deletions"]).alias("deletions"),
             text_or(f["patch"]).alias("patch")))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from harborline.catalog import values as V
 from harborline.functions.text import rich_text
 from harborline.operators.envelope import envelope
 from harborline.operators.filters import note_wanted
@@ -34,10 +35,10 @@ def icon_of(icon: Column) -> Column:
 
 
 def block_paths(pages: DataFrame, blocks: DataFrame,
-                max_depth: int = V.MAX_BLOCK_DEPTH) -> DataFrame:
+                max_depth: int | None = None) -> DataFrame:
     """Blocks (block_id, parent_id, ordinal, type, text, has_children) placed
     in their page's tree: page_id, depth and the ordinal path that sorts them
-    in reading order.
+    in reading order, down to the deepest level or to `max_depth`.
 
     One equi-join per level.  A level is written to the shared folder and the
     next one starts from it, so no level repeats the joins above it; what is
@@ -48,7 +49,7 @@ def block_paths(pages: DataFrame, blocks: DataFrame,
     above = pages.select(F.col("id").alias("parent_id"), F.col("id").alias("page_id"),
                          F.array().cast("array<int>").alias("_path"))
     schema = None
-    for depth in range(max_depth + 1):
+    for depth in itertools.count():
         level = (blocks.join(above, "parent_id")
                  .withColumn("path", F.concat("_path", F.array(F.col("ordinal").cast("int"))))
                  .drop("_path"))
@@ -57,6 +58,8 @@ def block_paths(pages: DataFrame, blocks: DataFrame,
         above = (spark.read.schema(level.schema).parquet(f"{base}/depth={depth}")
                  .where("has_children").select(F.col("block_id").alias("parent_id"), "page_id",
                                                F.col("path").alias("_path")))
+        if depth == max_depth or above.isEmpty():
+            break
     return spark.read.schema(schema.add("depth", T.IntegerType())).parquet(base)
 
 
