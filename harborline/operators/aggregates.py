@@ -3,7 +3,9 @@ aggregates only."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import Window as W, Column, DataFrame, functions as F
 
 from harborline.catalog import values as V
 from harborline.schema import TERMINAL_JOB_STATUSES
@@ -55,25 +57,51 @@ def counter_by_labels(observations: DataFrame, labels: list[str],
             .select(*labels, "value", "is_total"))
 
 
+MARKS = (0.5, 0.95, 0.99)
+_CUTS = 200
+
+
 def histogram(observations: DataFrame, labels: list[str], value: str = "value",
               accuracy: int | None = None) -> DataFrame:
     """Observation count and p50 / p95 / p99 per label set.
 
-    Exact by default: equal observations are counted before the shuffle, so
-    the percentile only sees distinct values.  For continuous values at scale
-    give `accuracy` to switch to the mergeable sketch.
+    Exact by default, by ranks: equal observations are counted before the
+    shuffle, each label's values are cut at approximate quantiles, so that a
+    label that owns most values is spread over some 200 groups, and ranks run
+    on from one group to the next.  `accuracy` switches to the mergeable
+    sketch.  Nulls count as observations and have no rank.
     """
-    marks = [0.5, 0.95, 0.99]
     if accuracy:
         out = observations.groupBy(*labels).agg(
             F.count("*").alias("observations"),
-            F.percentile_approx(value, marks, accuracy).alias("p"))
-    else:
-        counted = observations.groupBy(*labels, value).agg(F.count("*").alias("_n"))
-        out = counted.groupBy(*labels).agg(F.sum("_n").alias("observations"),
-                                           F.percentile(value, marks, F.col("_n")).alias("p"))
-    return out.select(*labels, "observations", F.col("p")[0].alias("p50"),
-                      F.col("p")[1].alias("p95"), F.col("p")[2].alias("p99"))
+            F.percentile_approx(value, list(MARKS), accuracy).alias("p"))
+        return out.select(*labels, "observations", *[F.col("p")[i].alias(n) for i, n in enumerate(("p50", "p95", "p99"))])
+    counted = observations.groupBy(*labels, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_n"))
+    head = counted.groupBy(*labels).agg(
+        F.sum("_n").alias("observations"), F.coalesce(F.sum(F.when(F.col("_v").isNotNull(), F.col("_n"))), F.lit(0)).alias("_all"),
+        F.percentile_approx("_v", [i / _CUTS for i in range(1, _CUTS)], 10 * _CUTS).alias("_cuts"))
+    head = head.withColumnsRenamed({k: f"_h_{k}" for k in labels})
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in labels])
+    placed = counted.join(head, same).drop(*[f"_h_{k}" for k in labels]).withColumn(
+        "_c", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))).drop("_cuts")
+    group = [*labels, "_c"]
+    before = W.partitionBy(*labels).orderBy("_c").rowsBetween(W.unboundedPreceding, -1)
+    base = placed.where("_v is not null").groupBy(*group).agg(F.sum("_n").alias("_t")).withColumn(
+        "_base", F.coalesce(F.sum("_t").over(before), F.lit(0))).drop("_t").withColumnsRenamed({k: f"_b_{k}" for k in group})
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in group])
+    within = W.partitionBy(*group).orderBy("_v").rowsBetween(W.unboundedPreceding, -1)
+    ranked = placed.join(base, same, "left").withColumn(
+        "_from", F.col("_base") + F.coalesce(F.sum("_n").over(within), F.lit(0)))
+    at = lambda rank: F.max(F.when((F.col("_from") <= rank) & (rank < F.col("_from") + F.col("_n"))
+                                   & F.col("_v").isNotNull(), F.col("_v")))
+    place = lambda q: F.lit(q) * (F.col("_all") - 1)
+    found = ranked.groupBy(*labels, "observations", "_all").agg(
+        *[at(kind(place(q))).alias(f"_{side}{i}") for i, q in enumerate(MARKS)
+          for side, kind in (("lo", F.floor), ("hi", F.ceil))])
+    between = lambda i, q: F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (place(q) - F.floor(place(q)))
+    return found.select(*labels, "observations", *[
+        between(i, q).alias(n) for i, (q, n) in enumerate(zip(MARKS, ("p50", "p95", "p99")))])
+
 
 
 def metrics_snapshot(observations: DataFrame, names: list[str]) -> DataFrame:

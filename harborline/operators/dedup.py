@@ -21,7 +21,10 @@ def fresh_winners(rows: DataFrame, keys: list[str], known: DataFrame | None = No
     first = (rows.groupBy(*keys).agg(F.min(value).alias(order))
              .where(F.col(order).isNotNull()))
     if known is not None:
-        first = first.join(known.select(*keys), keys, "left_anti")
+        # Known keys are first reduced to those of this batch, which is the side that may be sent
+        # to all tasks: a small batch doesn't shuffle all that was ever stored.
+        met = known.select(*keys).join(first.select(*keys), keys, "left_semi")
+        first = first.join(met, keys, "left_anti")
     return first.select(order)
 
 

@@ -80,8 +80,3 @@ def unknown_event_types(events: DataFrame, column: str = "event_type") -> DataFr
     """Delivered types outside the supported set, with their counts."""
     return (events.where(~F.col(column).isin(*V.WEBHOOK_EVENT_TYPES))
             .groupBy(column).agg(F.count("*").alias("deliveries")))
-
-
-def mime_keys(content_type: Column) -> Column:
-    """The three allow-list entries that would admit a type."""
-    return F.array(content_type, mime_major(content_type), F.lit("*/*"))

@@ -106,13 +106,17 @@ def table_sizes(tables: DataFrame, classes: DataFrame, schema: str) -> DataFrame
             .select("table_name", "estimated_rows", "size_bytes"))
 
 
+_WAYS = 64
+
+
 def mime_routes(docs: DataFrame, manifest: DataFrame) -> DataFrame:
     """Documents x connectors that accept their MIME type.
 
     The manifest (connector_id, mime) is first reduced to entries that cannot
     overlap -- `*/*` makes a connector's other entries moot, `major/*` its
     exact ones -- so an equi-join on three keys per document yields each pair
-    once and no distinct is needed.
+    once and no distinct is needed.  `*/*` would be one key for all documents,
+    so it is spread over `_WAYS` by the task that reads a document.
     """
     flags = manifest.groupBy("connector_id").agg(F.collect_set("mime").alias("all"))
     lean = (flags.withColumn("mime", F.explode("all"))
@@ -120,7 +124,10 @@ def mime_routes(docs: DataFrame, manifest: DataFrame) -> DataFrame:
                    | (~F.array_contains("all", F.lit("*/*"))
                       & (F.endswith("mime", F.lit("/*"))
                          | ~F.array_contains(F.col("all"), mime_major(F.col("mime"))))))
-            .select("connector_id", "mime"))
+            .select("connector_id", "mime")
+            .withColumn("_way", F.explode(F.when(F.col("mime") == "*/*", F.sequence(F.lit(0), F.lit(_WAYS - 1)))
+                                          .otherwise(F.array(F.lit(0))))))
     keyed = docs.withColumn("mime", F.explode(F.array_distinct(F.array(
-        F.col("content_type"), mime_major(F.col("content_type")), F.lit("*/*")))))
-    return keyed.join(lean, "mime").drop("mime")
+        F.col("content_type"), mime_major(F.col("content_type")), F.lit("*/*"))))) \
+        .withColumn("_way", F.when(F.col("mime") == "*/*", F.spark_partition_id() % _WAYS).otherwise(0))
+    return keyed.join(lean, ["mime", "_way"]).drop("mime", "_way")

@@ -7,6 +7,7 @@ so running a batch again changes nothing.
 
 from __future__ import annotations
 
+from harborline.session import materialize
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from harborline.operators import deadletter
@@ -75,10 +76,12 @@ def run_batch(docs: DataFrame, store: str, batch_id: int,
     """Process `docs` (RAW_DOCUMENTS; `seq` unique and reproducible) into the
     tables under `store`; returns the one-row cycle result.
 
-    Content is read and hashed once for validation, then read again for the
-    rows written; what is shuffled in between are thin rows.
+    The documents are landed in the shared folder first: sources are parsed
+    once, and `seq`, by which rows are found again, can't change between reads.
+    What is shuffled in between are thin rows.
     """
     spark, store = docs.sparkSession, store.rstrip("/")
+    docs = materialize(docs, "landed")
     repo = Repository(spark, f"{store}/repository")
     table = lambda name: f"{store}/{name}/batch_id={batch_id}"
 

@@ -10,7 +10,7 @@ from harborline.plans import batch
 from harborline.queries import derive as D, intake as I
 from harborline.queries.bookkeeping import HEALTH_SQL
 from harborline.queries.registry import Tables, query
-from harborline.queries.tables import CDC_FIELDS_SQL, CHANGES_SQL, cdc_fields, changes
+from harborline.queries.tables import CDC_FIELDS_SQL, CHANGES_SQL, TABLES, cdc_fields, changes
 from harborline.session import shared_dir
 from harborline.sources import objects
 from harborline.streaming import alerts, intake
@@ -46,13 +46,13 @@ def st_polling(t: Tables):
     return collect(rows, shared_dir(t.spark, "polling"))
 
 
-@query("st_file_drop", None)
+@query("st_file_drop", f"""SELECT 's3://drop/' || table_name || '.parquet' AS uri, 'application/octet-stream' AS content_type
+FROM information_schema.tables WHERE table_name IN {TABLES}""")
 def st_file_drop(t: Tables):
-    """The table files themselves are the drop."""
+    """The table files themselves are the drop; of any size, as nothing of the content is asked for."""
     drop = intake.read_drop(t.spark, t.root, glob="*.parquet")
-    docs = objects.object_scan(objects.listing(drop, t.root), "drop", "d1", seq=F.lit(0))
-    return collect(docs.select("id", "source_ref.uri", "size_bytes", "checksum"),
-                   shared_dir(t.spark, "drop"))
+    docs = objects.object_scan(objects.listing(drop, t.root), "drop", "d1", max_bytes=1 << 40, seq=F.xxhash64("key"))
+    return collect(docs.select("source_ref.uri", "content_type"), shared_dir(t.spark, "drop"))
 
 
 @query("st_webhook", f"WITH {I.HOOK_SQL} SELECT DISTINCT event_id, event_type, delivery_id FROM ev WHERE {I.ACQUIRE_SQL}")

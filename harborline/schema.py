@@ -43,37 +43,9 @@ DOCUMENT_STATUS_LOG = T.StructType([
     T.StructField("updated_at", T.TimestampType()),
 ])
 
-CURSORS = T.StructType([
-    T.StructField("connector_id", T.StringType()),
-    T.StructField("instance_id", T.StringType()),
-    T.StructField("cursor_key", T.StringType()),
-    T.StructField("value", T.StringType()),
-    T.StructField("source_type", T.StringType()),
-    T.StructField("batch_id", T.LongType()),
-])
-
-HEALTH_LOG = T.StructType([
-    T.StructField("connector_id", T.StringType()),
-    T.StructField("instance_id", T.StringType()),
-    T.StructField("healthy", T.BooleanType()),
-    T.StructField("latency_ms", T.DoubleType()),
-    T.StructField("error", T.StringType()),
-    T.StructField("checked_at", T.TimestampType()),
-])
-
-CALL_LOG = T.StructType([
-    T.StructField("resource_id", T.StringType()),
-    T.StructField("ts", T.TimestampType()),
-    T.StructField("ok", T.BooleanType()),
-    T.StructField("error_type", T.StringType()),
-])
-
 # Names other systems exchange with ours.
 JOB_STATUSES = ("PENDING", "RUNNING", "COMPLETED", "FAILED", "CANCELLED")
 TERMINAL_JOB_STATUSES = ("COMPLETED", "FAILED", "CANCELLED")
-JOB_TRIGGERS = ("SCHEDULED", "WEBHOOK", "STREAMING", "QUEUE", "FILE_EVENT", "MANUAL")
-CHANNEL_TYPES = ("POLLING", "WEBHOOK", "STREAMING", "QUEUE", "FILE_DROP", "MANUAL")
 DOCUMENT_STATUSES = ("PENDING", "PROCESSING", "DONE", "FAILED", "SKIPPED")
 FAILURE_TYPES = ("VALIDATION", "NETWORK", "AUTH", "RATE_LIMIT", "DEDUPLICATION",
                  "REPOSITORY", "UNEXPECTED")
-CURSOR_SOURCE_TYPES = ("timestamp", "sequence", "token", "etag", "offset", "page")

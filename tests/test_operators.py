@@ -1,6 +1,8 @@
 import json
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from harborline.catalog import values as V
@@ -235,3 +237,17 @@ def test_dead_letters(spark, docs):
     assert DL.listing(full, DL.DeadLetterFilters(instance_id="inst-2")).count() == 1
     total = DL.stats(full).where("failure_type is null and connector_id is null").first()
     assert total.entries == 3 and total.oldest.second == 2
+
+
+def test_histogram_by_ranks(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    rows = [("hot", float(v)) for v in rng.normal(size=3000).round(2)] + [("one", 5.0), ("two", 1.0), ("two", 2.0), ("none", None)]
+    rows += [(None, 7.0), (None, 8.0), ("hot", None)]
+    got = {r.k: r for r in aggregates.histogram(spark.createDataFrame(rows, "k string, value double"), ["k"]).collect()}
+    for k in {k for k, _ in rows}:
+        values = [v for n, v in rows if n == k and v is not None]
+        assert got[k].observations == sum(n == k for n, _ in rows)
+        want = np.quantile(values, [0.5, 0.95, 0.99]) if values else [None] * 3
+        assert [got[k].p50, got[k].p95, got[k].p99] == [w if w is None else pytest.approx(w) for w in want]
