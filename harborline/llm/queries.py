@@ -71,7 +71,23 @@ def op3(spark, root):
     return katz.scored(table(spark, root, "documents"), remainder(7) == 2)
 
 
-@query("op4_minhash_near_dedup")
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query("op4_minhash_near_dedup", rf"""WITH RECURSIVE d AS (SELECT doc_id,
+  regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS shingle
+  FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) t(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (shingle)
+  WHERE a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM common JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y
+  WHERE 100 * c >= 85 * (p.n + q.n - c)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(doc_id, low) AS (SELECT doc_id, doc_id FROM d
+  UNION SELECT e.y, r.low FROM reach r JOIN edges e ON e.x = r.doc_id WHERE r.low < e.y)
+SELECT doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(low) AS component_id,
+  min(low) = doc_id AS kept FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id""")
 def op4(spark, root):
     return neardup.near_duplicates(table(spark, root, "documents"))
 
@@ -90,7 +106,22 @@ def op6(spark, root):
     return wavelet.encoded_documents(table(spark, root, "documents"), vocabulary("word_bpe_49k.json"))
 
 
-@query("op7_benchmark_decontamination")
+_NORMAL = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query("op7_benchmark_decontamination", f"""WITH d AS (SELECT doc_id, {_NORMAL} AS w FROM documents),
+b AS (SELECT item_id, {_NORMAL} AS w FROM benchmark WHERE item_id IS NOT NULL),
+p AS (SELECT DISTINCT item_id, least(13, len(w)) AS n, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') AS pattern
+  FROM b, unnest(range(1, greatest(len(w) - 12, 1) + 1)) t(i) WHERE len(w) > 0),
+x AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS pattern
+  FROM d, (SELECT DISTINCT n FROM p) sizes, unnest(range(1, len(w) - n + 2)) t(i)),
+hits AS (SELECT DISTINCT doc_id, i, n, item_id FROM x JOIN p USING (pattern, n)),
+words AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM hits, unnest(range(i, i + n)) t(k) GROUP BY 1),
+items AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS digest
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  coalesce(digest, sha256('')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""")
 def op7(spark, root):
     return contaminated(table(spark, root, "documents"), table(spark, root, "benchmark"))
 
