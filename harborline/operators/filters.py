@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from harborline.catalog import values as V
-from harborline.functions.names import extension, mime_major
+from harborline.functions.names import extension
 
 
 def by_extension(path: Column, deny=(), allow=()) -> Column:

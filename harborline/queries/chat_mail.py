@@ -34,8 +34,6 @@ def history(t: Tables):
     return parsed.select("conv_id", "turn", "channel_id", "p.*")
 
 
-from pyspark.sql import Window as W  # noqa: E402
-
 MSG_SQL = """m0 AS (SELECT conv_id, turn, 'C' || conv_id AS channel_id, role, text,
   (1704067200 + turn)::VARCHAR || '.000100' AS ts,
   count(*) OVER (PARTITION BY conv_id) - 1 AS others, turn = 1 AND conv_id % 5 = 0 AS joined

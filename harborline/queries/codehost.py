@@ -8,7 +8,7 @@ from harborline.functions.classify import pull_state
 from harborline.operators.filters import issue_not_pull, pull_wanted, release_wanted
 from harborline.operators.joins import file_blobs
 from harborline.queries import derive as D
-from harborline.queries.core import EXTS, PATHS_SQL, paths
+from harborline.queries.core import PATHS_SQL, paths
 from harborline.queries.registry import Tables, query
 from harborline.sources import codehost as S
 from harborline.sources.common import iso, landed

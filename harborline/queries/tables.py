@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from harborline.functions.codec import lsn_order
 from harborline.operators.joins import primary_keys, table_sizes
 from harborline.queries import derive as D
-from harborline.queries.core import EXTS, PATHS_SQL, paths
+from harborline.queries.core import PATHS_SQL, paths
 from harborline.queries.registry import Tables, query
 from harborline.sources import discovery, objects, tables as S
 from harborline.sources.common import iso

@@ -9,7 +9,7 @@ from harborline.catalog import values as V
 from harborline.operators.envelope import envelope
 from harborline.operators import (aggregates, cursors, deadletter as DL, dedup, history, joins, ordered,
                                   repository as R, resilience as X, validate)
-from harborline.operators.envelope import document_id, envelope, with_integrity
+from harborline.operators.envelope import envelope, with_integrity
 from harborline.plans import batch, route
 
 
