@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from harborline.llm import decontaminate, langid, neardup, packing, pii
 from harborline.llm.queries import remainder, table, vocabulary
-from harborline.session import prepare, shared_dir
+from harborline.llm.runtime import prepare
+from harborline.session import shared_dir
 
 #: A document whose best language has a lower calibrated probability is rejected.
 LEAST_SCORE = 0.5

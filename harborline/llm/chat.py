@@ -24,7 +24,8 @@ import pyarrow as pa
 
 from pyspark.sql import DataFrame, functions as F
 
-from harborline.session import prepare, shared_dir
+from harborline.llm.runtime import prepare
+from harborline.session import shared_dir
 
 #: Tokens (runs of non-space characters, and one mark per turn) in a window.
 BUDGET = 1024

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from harborline.llm.words import IS_MARK, LOWER
-from harborline.session import prepare
+from harborline.llm.runtime import prepare
 
 WINDOW = 13
 BLOCK_BYTES = 32 << 20
@@ -102,24 +102,27 @@ def contamination(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id",
     size = items.agg(F.coalesce(F.sum(F.octet_length("body")), F.lit(0))).first()[0]
     blocks = max(1, -(-size // block_bytes))
     names = keep or [id_col]
-    out = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(names)], F.col(text_col).alias("body"))
+    # A text among the kept columns passes through Python once.
+    body = f"k{names.index(text_col)}" if text_col in names else "body"
+    out = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(names)],
+                      *([] if body != "body" else [F.col(text_col).alias("body")]))
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in out.schema if f.name != "body")
     hits_type = "array<struct<item: string, first: long, last: long>>"
     for b in range(blocks):
         part = items.where(F.pmod(F.crc32(F.col("item").cast("binary")), F.lit(blocks)) == b)
         sent = spark.sparkContext.broadcast([(r.item, bytes(r.body)) for r in part.collect()])
         last = b == blocks - 1
-        scan = _scanner(sent, uuid.uuid4().hex, window, last)
+        scan = _scanner(sent, uuid.uuid4().hex, window, last, body)
         out = out.mapInArrow(scan, f"{kept}, " + (
-            SCHEMA if last else f"body string, hits {hits_type}"))
+            SCHEMA if last else ("body string, " if body == "body" else "") + f"hits {hits_type}"))
     return out.withColumnsRenamed({f"k{i}": c for i, c in enumerate(names)})
 
 
-def _scanner(sent, key: str, window: int, last: bool):
+def _scanner(sent, key: str, window: int, last: bool, body: str):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, machine = _automaton(key, sent.value, window)
         for batch in batches:
-            texts = batch.column("body").cast(pa.large_binary()).to_pylist()
+            texts = batch.column(body).cast(pa.large_binary()).to_pylist()
             before = (batch.column("hits").to_pylist() if "hits" in batch.schema.names
                       else [[]] * len(texts))
             passed = [c for c in batch.schema.names if c not in ("body", "hits")]
@@ -131,8 +134,9 @@ def _scanner(sent, key: str, window: int, last: bool):
                         for t, old in zip(texts, before)]
                 kind = pa.list_(pa.struct([("item", pa.string()), ("first", pa.int64()),
                                            ("last", pa.int64())]))
-                yield pa.RecordBatch.from_arrays([*ids, batch.column("body"), pa.array(hits, kind)],
-                                                 [*passed, "body", "hits"])
+                more = [] if body != "body" else ["body"]
+                yield pa.RecordBatch.from_arrays([*ids, *map(batch.column, more), pa.array(hits, kind)],
+                                                 [*passed, *more, "hits"])
                 continue
             rows = [_result(t or b"", *_found(t or b"", vocabulary, machine,
                                               [(h["item"], h["first"], h["last"]) for h in old]))

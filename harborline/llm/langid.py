@@ -21,7 +21,7 @@ import pyarrow as pa
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from harborline.session import prepare
+from harborline.llm.runtime import prepare
 
 UNKNOWN = "und"
 DIMENSIONS = 1 << 16
@@ -157,6 +157,7 @@ def train(docs: DataFrame, *, text_col: str = "text", label_col: str = "lang",
     most 65 536 rows reach the driver.  Sample: rows whose hash falls below
     sample / rows, at most 2 * sample of them.
     """
+    prepare(docs.sparkSession)
     rows = docs.select(F.col(text_col).alias("t"), F.col(label_col).cast("string").alias("y")) \
         .where("t is not null and y is not null and t rlike '\\\\p{L}'")
     found = (rows.select("t").mapInArrow(_frequencies, "gram long, n long")
@@ -185,8 +186,10 @@ def predict(docs: DataFrame, model: Model, *, text_col: str = "text",
     """
     spark = prepare(docs.sparkSession)
     sent = spark.sparkContext.broadcast(model)
-    rows = docs.select(*(keep if keep is not None else [F.col(c) for c in docs.columns]),
-                       F.col(text_col).alias("__text"))
+    # Without `keep` the text passes through once, as a column of the rows.
+    own = keep is None
+    rows = docs if own else docs.select(*keep, F.col(text_col).alias("__text"))
+    text = text_col if own else "__text"
     names = [c for c in rows.columns if c != "__text"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema
                        if f.name != "__text")
@@ -194,7 +197,7 @@ def predict(docs: DataFrame, model: Model, *, text_col: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         for batch in batches:
-            got = [m.predict(t) for t in batch.column("__text").to_pylist()]
+            got = [m.predict(t) for t in batch.column(text).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in names], pa.array([g[0] for g in got], pa.string()),
                  pa.array([g[1] for g in got], pa.float64())], [*names, "lang_pred", "score"])

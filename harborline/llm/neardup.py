@@ -28,7 +28,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from harborline.llm.components import components
 from harborline.llm.words import buffer, chunks, combine, hash_spans, mix, spans, texts_of
-from harborline.session import materialize, prepare
+from harborline.llm.runtime import prepare
+from harborline.session import materialize
 
 SHINGLE = 5
 #: 25 bands of 6 rows: a pair of similarity 0.85 is missed with probability 7e-6.

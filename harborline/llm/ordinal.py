@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from harborline.llm.words import IS_MARK, IS_SPACE, buffer, chunks, hash_spans, mix, spans, texts_of
-from harborline.session import prepare
+from harborline.llm.runtime import prepare
 
 BITS = 18
 #: Rated documents the weights are fitted on, about; at most twice as many.
@@ -129,6 +129,7 @@ def train(rated: DataFrame, *, text_col: str = "text", grade_col: str = "grade",
     """The model of rows with a text and a whole grade from 0 up; None if
     there are fewer than two grades.  The sample is chosen by a hash of text
     and grade: about `sample` rows, at most twice as many."""
+    prepare(rated.sparkSession)
     rows = rated.select(F.col(text_col).alias("body"), F.col(grade_col).cast("int").alias("grade")).where(
         "body is not null and grade >= 0")
     total = rows.count()

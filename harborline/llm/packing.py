@@ -23,7 +23,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from harborline.llm.encode import encoder, with_end
 from harborline.llm.words import texts_of
-from harborline.session import materialize, prepare
+from harborline.llm.runtime import prepare
+from harborline.session import materialize
 
 CAPACITY = 1024
 END = 2

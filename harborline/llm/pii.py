@@ -17,7 +17,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from harborline.session import materialize, once, prepare
+from harborline.llm.runtime import prepare
+from harborline.session import materialize, once
 
 KINDS = ("email", "ip", "card", "phone")
 #: A pattern adds candidates from this confidence and so many distinct seeds on.

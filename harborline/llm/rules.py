@@ -15,7 +15,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from harborline.session import materialize, prepare
+from harborline.llm.runtime import prepare
+from harborline.session import materialize
 
 BUCKETS = 1 << 16
 #: Weight of the raw multinomial in the target's, in n-grams: ten per bucket.

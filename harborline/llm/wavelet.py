@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from harborline.llm.encode import encoder, with_end
 from harborline.llm.words import texts_of
-from harborline.session import materialize, prepare, shared_dir
+from harborline.llm.runtime import prepare
+from harborline.session import shared_dir
 
 END = 2
 #: Text bytes in a shard, about, and the most ids that one file holds.
