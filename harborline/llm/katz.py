@@ -30,24 +30,25 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from harborline.llm.words import buffer, chunks, combine, hash_spans, mix, spans, texts_of
-from harborline.session import materialize, prepare, shared_dir
+from harborline.llm.runtime import prepare
+from harborline.session import shared_dir
 
 K = 5
 END, START = np.uint64(1), np.uint64(2)
 #: Text bytes whose tokens make a bucket, about, and tokens that are cut into buckets at a time.
-BUCKET_BYTES = 24 << 20
-FLUSH = 4_000_000
+BUCKET_BYTES = 8 << 20
+FLUSH = 1_500_000
 #: Share of tokens from which a word is split, and how many ways; estimated on one document of `SAMPLED`.
 HOT, WAYS, SAMPLED = 0.002, 64, 16
 
 _U = np.uint64
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -156,16 +157,18 @@ def _bits(fields: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _rows(kind: str, key, a=None, b=None, c=None, x=None, y=None, d=None, e=None) -> pd.DataFrame:
+def _rows(kind: str, key, a=None, b=None, c=None, x=None, y=None, d=None, e=None, data=None) -> pa.Table:
     n = len(key)
-    zero = np.zeros(n, np.int64)
-    return pd.DataFrame({
-        "kind": kind, "key": key, "a": zero if a is None else a, "b": zero if b is None else b,
-        "c": zero if c is None else c, "d": zero if d is None else d, "e": zero if e is None else e, "x": np.zeros(n) if x is None else x,
-        "y": np.zeros(n) if y is None else y, "data": None})
+    whole, real = pa.repeat(pa.scalar(0, pa.int64()), n), pa.repeat(pa.scalar(0.0), n)
+    given = lambda v, none, t: none if v is None else pa.array(v, t)
+    return pa.table({
+        "kind": pa.repeat(pa.scalar(kind), n), "key": pa.array(key, pa.int64()),
+        **{name: given(v, whole, pa.int64()) for name, v in zip("abcde", (a, b, c, d, e))},
+        "x": given(x, real, pa.float64()), "y": given(y, real, pa.float64()),
+        "data": pa.array([data] * n, pa.binary()) if data is not None else pa.nulls(n, pa.binary())})
 
 
-def _split_rows(kind: str, key, fields_a, fields_b, c, d, e, x, y) -> pd.DataFrame:
+def _split_rows(kind: str, key, fields_a, fields_b, c, d, e, x, y) -> pa.Table:
     """Rows with their packed fields; what is over 4095 goes to further rows,
     as everything is summed later."""
     out = []
@@ -178,7 +181,7 @@ def _split_rows(kind: str, key, fields_a, fields_b, c, d, e, x, y) -> pd.DataFra
         c = d = e = np.zeros(len(key), np.int64)
         x = y = np.zeros(len(key))
         fields_a, fields_b = [f[more] for f in fields_a], [f[more] for f in fields_b]
-    return pd.concat(out, ignore_index=True) if out else _rows(kind, np.zeros(0, np.int64))
+    return pa.concat_tables(out) if out else _rows(kind, np.zeros(0, np.int64))
 
 
 def _classes(count: np.ndarray, group: np.ndarray, n: int, weight=None) -> list[np.ndarray]:
@@ -188,14 +191,15 @@ def _classes(count: np.ndarray, group: np.ndarray, n: int, weight=None) -> list[
 
 
 def _count(hot: np.ndarray, hot_counts: np.ndarray):
-    def count(frame: pd.DataFrame) -> pd.DataFrame:
-        parts, base = [], 0
-        for data in frame["data"]:
+    def count(table: pa.Table) -> pa.Table:
+        parts, base, bucket = [], 0, table.column("bucket")[0].as_py()
+        for data in table.column("data").to_pylist():
             wv, runs, hv, hn, dn, keys, train = _unpack(data, ["u", "u", "u", "u", "u", "i", "u"])
             w = np.repeat(np.cumsum(wv, dtype=np.uint64), runs)
-            parts.append((w, np.cumsum(hv, dtype=np.uint64)[hn], dn.astype(np.int64) + base, keys, train))
+            parts.append((w, np.cumsum(hv, dtype=np.uint64)[hn], dn.astype(np.int32) + np.int32(base), keys, train))
             base += len(keys)
         w, h, doc, keys, train = (np.concatenate(x) for x in zip(*parts))
+        del parts
         order = np.lexsort((h, w))
         w, h, doc = w[order], h[order], doc[order]
         learn = train[doc].astype(np.int64)
@@ -242,15 +246,13 @@ def _count(hot: np.ndarray, hot_counts: np.ndarray):
                 np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), np.zeros(n)))
             # the bigram table: words, how many histories each has, histories, counts
             ww = w[first][kept]
-            table = _rows("bigram", np.array([int(frame["bucket"].iloc[0])]), np.array([len(kept)]),
-                          x=np.zeros(1))
             runs = np.diff(np.append(np.flatnonzero(np.concatenate(([True], ww[1:] != ww[:-1]))), len(ww)))
-            table["data"] = [_pack(np.unique(ww), runs.astype(np.uint32), h[first][kept], own.astype(np.uint32))]
-            out.append(table)
+            out.append(_rows("bigram", np.array([bucket]), np.array([len(kept)]), data=_pack(
+                np.unique(ww), runs.astype(np.uint32), h[first][kept], own.astype(np.uint32))))
             r = np.minimum(own, K + 2)
             counts = np.bincount(r, minlength=K + 3)[1:K + 2]
             out.append(_rows("bigram_counts", np.arange(1, K + 2), counts))
-        return pd.concat(out, ignore_index=True)
+        return pa.concat_tables(out)
     return count
 
 
@@ -336,8 +338,14 @@ def scored(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id", text_co
     hot, hot_counts = _hot_words(rows)
     model = shared_dir(spark, "katz")
     cut = rows.select("body", "key", "train").mapInArrow(_cut(buckets, hot), "bucket int, data binary")
-    cut.groupBy("bucket").applyInPandas(_count(hot, hot_counts), _OUT) \
-        .write.partitionBy("kind").parquet(model)
+    # The tokens' shuffle files go as soon as the tables are written, not when the driver collects garbage.
+    kept = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        cut.groupBy("bucket").applyInArrow(_count(hot, hot_counts), _OUT) \
+            .write.partitionBy("kind").parquet(model)
+    finally:
+        spark.conf.set(_CLEANUP, kept)
     # every kind may be missing if there is nothing of it
     stored = spark.read.schema(_OUT).parquet(model)
 
