@@ -16,6 +16,9 @@ from harborline.session import shared_dir
 
 #: A document whose best language has a lower calibrated probability is rejected.
 LEAST_SCORE = 0.5
+#: Documents of this similarity in percent are near-duplicates.  30 bands of 5
+#: rows: a pair of exactly that similarity is missed with probability 7e-6.
+ALIKE, BANDS, ROWS = 80, 30, 5
 #: Ids sent to all tasks, at most; beyond that they are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -35,7 +38,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group, once: rows that repeat
     an id are reduced to one.  Rows without id stay."""
-    gone = neardup.near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    gone = neardup.near_duplicates(docs, percent=ALIKE, bands=BANDS, rows=ROWS).where("not kept").select("doc_id").distinct()
     left = docs.join(_checked(gone), "doc_id", "left_anti")
     often = _checked(docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"))
     once = left.join(often, "doc_id", "left_anti")

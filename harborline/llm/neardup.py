@@ -95,7 +95,7 @@ def sketch(w: np.ndarray, bounds: np.ndarray, size: int = BANDS * ROWS) -> np.nd
     return out.reshape(n, size)
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sign(batches: Iterator[pa.RecordBatch], count: int, rows: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = texts_of(batch.column("body"))
         for lo, hi in chunks(texts):
@@ -103,12 +103,12 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size = np.diff(bounds)
             total = np.concatenate(([_U(0)], np.cumsum(mix(w), dtype=np.uint64)))
             other = np.concatenate(([_U(0)], np.cumsum(mix(w ^ _U(0xA5A5A5A5A5A5A5A5)), dtype=np.uint64)))
-            s = sketch(w, bounds).reshape(hi - lo, BANDS, ROWS)
-            key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (hi - lo, BANDS)).copy()
-            for r in range(ROWS):
+            s = sketch(w, bounds, count * rows).reshape(hi - lo, count, rows)
+            key = np.broadcast_to(np.arange(count, dtype=np.uint64), (hi - lo, count)).copy()
+            for r in range(rows):
                 key = combine(key, s[:, :, r])
             flat = pa.array(key.reshape(-1).view(np.int64))
-            bands = pa.ListArray.from_arrays(pa.array(np.arange(hi - lo + 1, dtype=np.int32) * BANDS), flat)
+            bands = pa.ListArray.from_arrays(pa.array(np.arange(hi - lo + 1, dtype=np.int32) * count), flat)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id").slice(lo, hi - lo), pa.array(size.astype(np.int64)),
                  pa.array((total[bounds[1:]] - total[bounds[:-1]]).view(np.int64)),
@@ -116,7 +116,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["id", "n", "f", "g", "bands"])
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compare(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         left, right = texts_of(batch.column("ta")), texts_of(batch.column("tb"))
         linked = np.zeros(len(left), bool)
@@ -126,13 +126,13 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for k in range(m):
                 x, y = w[b[k]:b[k + 1]], w[b[m + k]:b[m + k + 1]]
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                linked[lo + k] = 100 * both >= PERCENT * (len(x) + len(y) - both)
+                linked[lo + k] = 100 * both >= percent * (len(x) + len(y) - both)
         keep = pa.array(linked)
         yield pa.RecordBatch.from_arrays(
             [batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
 
-def _across(frame: pd.DataFrame) -> pd.DataFrame:
+def _across(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
     """Links between members of a bucket that are in different components, one
     per pair of components that has any.  Common shingles are counted through
     an index from shingle to members."""
@@ -153,17 +153,19 @@ def _across(frame: pd.DataFrame) -> pd.DataFrame:
         if not len(a):
             continue
         common = np.bincount(np.concatenate([listed[i:j] for i, j in zip(a, z)]), minlength=m)
-        linked = (100 * common >= PERCENT * (size[x] + size - common)) & (component != component[x])
+        linked = (100 * common >= percent * (size[x] + size - common)) & (component != component[x])
         for y in np.flatnonzero(linked).tolist():
             key = (min(component[x], component[y]), max(component[x], component[y]))
             out.setdefault(key, (max(ids[x], ids[y]), min(ids[x], ids[y])))
     return pd.DataFrame(list(out.values()), columns=["a", "b"])
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+                    percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per document row: `id_col`, n_shingles (distinct five-word
     shingles; fewer words are one shingle), component_id (smallest id linked by
-    a chain of pairs of similarity 0.85 or more, itself included), kept.
+    a chain of pairs of similarity `percent` / 100 or more, itself included), kept.
+    A pair of similarity s is missed with probability (1 - s ** rows) ** bands.
 
     Null or wordless texts have no shingles and link with nothing.  Rows
     without id are linked with nothing, have a null component and are kept.
@@ -174,7 +176,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body"))
     kind = texts.schema["id"].dataType.simpleString()
     signed = materialize(texts.mapInArrow(
-        _sign, f"id {kind}, n long, f long, g long, bands array<long>"), "signed")
+        lambda batches: _sign(batches, bands, rows), f"id {kind}, n long, f long, g long, bands array<long>"), "signed")
     classes = materialize(
         signed.where("id is not null and n > 0").groupBy("n", "f", "g")
         .agg(F.min("id").alias("head"), F.first("bands").alias("bands")), "classes")
@@ -196,11 +198,12 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
               .select(F.greatest("head", "pivot").alias("a"), F.least("head", "pivot").alias("b")).distinct()
               .join(weigh.select(F.col("head").alias("a"), F.col("n").alias("na")), "a")
               .join(weigh.select(F.col("head").alias("b"), F.col("n").alias("nb")), "b")
-              .where(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)").select("a", "b").distinct())
+              .where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b").distinct())
     links = materialize(
         tested.join(bodies.select(F.col("id").alias("a"), F.col("body").alias("ta")), "a")
         .join(bodies.select(F.col("id").alias("b"), F.col("body").alias("tb")), "b")
-        .select("a", "b", "ta", "tb").mapInArrow(_compare, f"a {kind}, b {kind}").distinct(), "links")
+        .select("a", "b", "ta", "tb").mapInArrow(
+            lambda batches: _compare(batches, percent), f"a {kind}, b {kind}").distinct(), "links")
 
     # Buckets whose members are still in different components, in blocks of bounded size.
     own = components(links).withColumnRenamed("node", "head")
@@ -213,7 +216,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
              .select("band", "key", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"),
                      F.col("head").alias("id"), "component")
              .join(bodies, "id"))
-    more = apart.groupBy("band", "key", "lo", "hi").applyInPandas(_across, f"a {kind}, b {kind}")
+    more = apart.groupBy("band", "key", "lo", "hi").applyInPandas(
+        lambda frame: _across(frame, percent), f"a {kind}, b {kind}")
     links = links.union(materialize(more.distinct(), "links"))
     alike = signed.where("id is not null and n > 0").join(
         classes.select("n", "f", "g", "head"), ["n", "f", "g"]).where("id <> head") \

@@ -2,6 +2,7 @@
 
 import os
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -37,3 +38,24 @@ def test_odd_rows(spark, tmp_path):
             now = stage(spark, now, str(tmp_path))
         got = [r.doc_id for r in now.collect()]
         assert len(got) == len(set(got)) and set(got) <= {1, 4, None}
+
+
+def similarity(a, b):
+    x, y = ({tuple(w[k:k + 5]) for k in range(len(w) - 4)} for w in (a.split(), b.split()))
+    return len(x & y), len(x | y)
+
+
+def test_near_duplicates_from_four_fifths_on(spark):
+    rng, rows = np.random.default_rng(8), []
+    for i in range(40):  # ten to twelve words in a row are new: 132 / 160, 131 / 161 and 130 / 162
+        base = rng.integers(0, 1_000_000, 150)
+        other = base.copy()
+        at, n = rng.integers(5, 130), 10 + i % 5
+        other[at:at + n] = rng.integers(0, 1_000_000, n)
+        rows += [(2 * i, " ".join(map(str, base))), (2 * i + 1, " ".join(map(str, other)))]
+    alike = {a[0]: similarity(a[1], b[1]) for a, b in zip(rows[::2], rows[1::2])}
+    between = sum(80 * n <= 100 * both < 85 * n for both, n in alike.values())
+    assert 0 < between < len(alike)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, DATA).collect()}
+    assert got == {i for i, _ in rows if i % 2 == 0 or 100 * alike[i - 1][0] < 80 * alike[i - 1][1]}
