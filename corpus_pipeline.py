@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from harborline.llm import decontaminate, langid, neardup, packing, pii
 from harborline.llm.queries import remainder, table, vocabulary
 from harborline.llm.runtime import prepare
-from harborline.session import shared_dir
+from harborline.session import materialize, shared_dir
 
 #: A document whose best language has a lower calibrated probability is rejected.
 LEAST_SCORE = 0.5
@@ -21,6 +21,7 @@ LEAST_SCORE = 0.5
 ALIKE, BANDS, ROWS = 80, 30, 5
 #: Ids sent to all tasks, at most; beyond that they are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
+KEY = "__row"
 
 
 def _checked(ids: DataFrame) -> DataFrame:
@@ -36,14 +37,31 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group, once: rows that repeat
-    an id are reduced to one.  Rows without id stay."""
-    gone = neardup.near_duplicates(docs, percent=ALIKE, bands=BANDS, rows=ROWS).where("not kept").select("doc_id").distinct()
-    left = docs.join(_checked(gone), "doc_id", "left_anti")
-    often = _checked(docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"))
-    once = left.join(often, "doc_id", "left_anti")
-    again = left.join(often, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(again).select(*docs.columns)
+    """The row with the smallest id of each group of near copies.
+
+    Compared are rows, known by a hash of their id and text: an id that comes
+    with several texts keeps those that have no copy.  Rows without id take
+    part and come last in their group.  Ties go by the hash.  Rows that repeat
+    id and text are reduced to one; those with neither id nor words all stay.
+    """
+    keyed = docs.withColumn(KEY, F.xxhash64("doc_id", "text"))
+    found = materialize(neardup.near_duplicates(
+        keyed, id_col=KEY, percent=ALIKE, bands=BANDS, rows=ROWS), "found")
+    rows = materialize(keyed.groupBy(KEY).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("m")), "rows")
+    later = found.where("not kept").select(KEY, "component_id").distinct()
+    linked = materialize(later.union(later.select(F.col("component_id"), "component_id").distinct()), "linked")
+    # Minima are combined map-side: a group that owns most rows costs one row per task.
+    first = rows.select(KEY, "doc_id").join(_checked(linked), KEY).groupBy("component_id").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", KEY)).alias("top")).select(f"top.{KEY}")
+    gone = linked.select(KEY).join(first, KEY, "left_anti")
+    often = rows.where("m > 1 and doc_id is not null").select(KEY)
+    bare = _checked(rows.where("m > 1 and doc_id is null").select(KEY))
+    often = _checked(often.union(found.where("n_shingles > 0").select(KEY).join(bare, KEY, "left_semi").distinct()))
+    left = keyed.join(_checked(gone), KEY, "left_anti")
+    once = left.join(often, KEY, "left_anti")
+    again = left.join(often, KEY, "left_semi").groupBy(KEY).agg(
+        F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row")).select("row.*")
+    return once.select(*docs.columns).unionByName(again)
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -59,3 +59,15 @@ def test_near_duplicates_from_four_fifths_on(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, DATA).collect()}
     assert got == {i for i, _ in rows if i % 2 == 0 or 100 * alike[i - 1][0] < 80 * alike[i - 1][1]}
+
+
+def test_rows_that_share_an_id_are_judged_by_their_own_text(spark):
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcde")
+    rows = [(1, a, "p"), (1, b, "p"), (2, a, "p"), (3, c, "p"), (5, c + " more", "p"), (5, d, "p"), (5, d, "q"),
+            (None, a, "p"), (None, e, "p"), (None, e, "p"), (None, None, "p"), (None, None, "p"), (7, "", "p"), (8, "", "p")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = [tuple(r) for r in corpus_pipeline.drop_near_duplicates(spark, docs, DATA).collect()]
+    assert sorted((r[:2] for r in got), key=str) == sorted(
+        [(1, a), (1, b), (3, c), (5, d), (None, e), (None, None), (None, None), (7, ""), (8, "")], key=str)
+    other = corpus_pipeline.drop_near_duplicates(spark, docs.orderBy(docs.source.desc()).coalesce(1), DATA)
+    assert sorted(map(tuple, other.collect()), key=str) == sorted(got, key=str)
