@@ -10,6 +10,9 @@ split always falls and the pieces encoded on their own:
 A worker keeps the ids of the pieces it has met, keyed by 64-bit hashes (two
 million pieces at most, then it starts anew; a false match has a probability of
 about 1e-7 per worker), and looks up all pieces of a buffer at once.
+
+A text that spells out an added token such as <|endoftext|> gets its id, as by
+the plain call; it is encoded whole, as blanks before the token depend on it.
 """
 
 from __future__ import annotations
@@ -41,7 +44,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = [t.content.encode() for t in added]
         self.words = pieces == "words"
         self.mark = self._encode([" \x01"])[0]
         self._reset()
@@ -136,6 +140,17 @@ class Encoder:
     def encode(self, texts: list[bytes]):
         """Yields (first, last, ids, bounds) for runs of texts: all their ids
         in one array, and where each text's ids begin (with the end of the last)."""
+        lo = 0
+        whole = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
+        for i in [*whole, len(texts)]:
+            for first, last, ids, bounds in self._encode_pieces(texts[lo:i]):
+                yield lo + first, lo + last, ids, bounds
+            if i < len(texts):
+                ids = np.array(self._encode([texts[i].decode("utf-8")])[0], np.int32)
+                yield i, i + 1, ids, np.array([0, len(ids)])
+            lo = i + 1
+
+    def _encode_pieces(self, texts: list[bytes]):
         for lo, hi in chunks(texts):
             buf, at = buffer(texts[lo:hi], lower=False)
             starts, lengths, counts = self._pieces(buf, at)

@@ -46,6 +46,20 @@ def test_pieces_encode_like_whole_texts(texts):
         assert got == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", " ", "  ", "\t", "ab", "é"]),
+                         max_size=6).map("".join), max_size=5))
+def test_special_tokens_encode_like_the_plain_call(texts):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    for name, pieces in (("word_bpe_49k.json", "words"), ("byte_bpe_50k.json", "spaced")):
+        plain, got = Tokenizer.from_file(public_tokenizers.path(name)), []
+        for _, _, ids, bounds in encode.encoder(public_tokenizers.path(name), pieces).encode([t.encode() for t in texts]):
+            got += [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
+        assert got == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_with_end():
     ids, bounds = encode.with_end(np.array([5, 6, 7]), np.array([0, 2, 2, 3]), 2)
     assert ids.tolist() == [5, 6, 2, 2, 7, 2] and bounds.tolist() == [0, 3, 4, 6]
