@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from harborline.llm import chat, decontaminate, katz, langid, neardup, ordinal, packing, pii, rules, wavelet
+from harborline.llm import chat, decontaminate, katz, langid, neardup, ordinal, packing, periodic, pii, rules, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -146,3 +146,9 @@ def op9(spark, root):
 def op10(spark, root):
     trusted = table(spark, root, "labels").where("quality = 1 and toxic = 0").select("doc_id")
     return rules.judged(table(spark, root, "documents"), trusted)
+
+
+@query("op11_periodic_runs")
+def op11(spark, root):
+    docs = periodic.with_planted_runs(table(spark, root, "documents").select("doc_id", "text"))
+    return periodic.digest(periodic.periodic_runs(docs, keep=["doc_id"]))
