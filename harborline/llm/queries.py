@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from harborline.llm import chat, decontaminate, katz, langid, neardup, ordinal, packing, periodic, pii, rules, wavelet
+from harborline.llm import chat, decontaminate, katz, langid, neardup, ordinal, packing, periodic, pii, repair, rules, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -152,3 +152,9 @@ def op10(spark, root):
 def op11(spark, root):
     docs = periodic.with_planted_runs(table(spark, root, "documents").select("doc_id", "text"))
     return periodic.digest(periodic.periodic_runs(docs, keep=["doc_id"]))
+
+
+@query("op12_structure_repair")
+def op12(spark, root):
+    rows = repair.damaged(table(spark, root, "conversations"))
+    return repair.report(repair.repair(rows, gone="gone"), in_order=True)
