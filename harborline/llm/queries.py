@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from harborline.llm import chat, decontaminate, katz, langid, neardup, ordinal, packing, periodic, pii, repair, rules, wavelet
+from harborline.llm import chat, decontaminate, katz, langid, neardup, ordinal, packing, periodic, pii, repair, rules, secrets, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -158,3 +158,8 @@ def op11(spark, root):
 def op12(spark, root):
     rows = repair.damaged(table(spark, root, "conversations"))
     return repair.report(repair.repair(rows, gone="gone"), in_order=True)
+
+
+@query("op13_linked_secrets")
+def op13(spark, root):
+    return secrets.digest(secrets.spans(table(spark, root, "documents")))
