@@ -261,3 +261,83 @@ def fn_header_map(t: Tables):
 def fn_base64_urlsafe(t: Tables):
     coded = F.translate(F.regexp_replace(F.base64(F.encode("text", "UTF-8")), r"[\r\n=]", ""), "+/", "-_")
     return t.documents.select("doc_id", base64_urlsafe_text(coded).alias("decoded"))
+
+
+# -------------------------------------------------------------------- threads
+
+
+def threaded_mail(t: Tables):
+    """One message per document, and copies of some.  A third of all is one
+    thread with a chain of 120; then chains of seven, some of them below a lost
+    message or in a circle; then references alone, to lost messages, no
+    headers, no id, a reply to itself."""
+    k = F.col("doc_id")
+    mid = lambda n: F.concat(F.lit("<m"), n, F.lit("@x.test>"))
+    j, i, g = F.expr("doc_id div 3"), F.expr("doc_id % 21 div 3"), F.expr("doc_id div 21")
+    up = F.when(j <= 120, j - 1).otherwise(j % 120) * 3
+    first = F.when(g % 3 == 1, F.concat(F.lit("<gone"), g, F.lit("@x.test>"))).when(g % 3 == 2, mid(k + 18))
+    to = (F.when((k % 3 == 0) & (j > 0), mid(up)).when((k % 3 == 1) & (i > 0), mid(k - 3))
+          .when(k % 3 == 1, first).when(k % 10 == 5, mid(k)))
+    refs = (F.when((k % 3 == 0) & (j > 0), F.concat(F.lit("<m0@x.test>\r\n "), mid(up)))
+            .when((k % 3 == 2) & (k % 2 == 0), F.concat(
+                F.lit("<lost"), F.expr("doc_id div 30"), F.lit("@x.test> <nowhere"), k, F.lit("@x.test>"))))
+    b64 = F.translate(F.regexp_replace(F.base64(F.encode("text", "UTF-8")), r"[\r\n=]", ""), "+/", "-_")
+    headers = F.array_compact(F.array(*[
+        F.when(v.isNotNull(), F.struct(F.lit(n).alias("name"), v.alias("value"))) for n, v in (
+            ("Message-ID", F.when(k % 30 != 2, mid(k))), ("In-Reply-To", to), ("References", refs),
+            ("Subject", F.concat(F.lit("S"), k)), ("From", F.concat(F.lit("a"), k % 9, F.lit("@x.test"))))]))
+    rows = t.documents.select("doc_id", "text", F.explode(F.when(k % 40 == 0, F.array(F.lit(0), F.lit(1)))
+                                                          .otherwise(F.array(F.lit(0)))).alias("copy"))
+    payload = F.to_json(F.struct(
+        F.concat(F.when(F.col("copy") == 1, "c").otherwise("m"), k).alias("id"),
+        (F.lit(1704067200000) + k * 1000 + F.col("copy") * 5).cast("string").alias("internalDate"),
+        F.struct(F.lit("text/plain").alias("mimeType"), headers.alias("headers"),
+                 F.struct(b64.alias("data")).alias("body")).alias("payload")))
+    return landed(rows.select("doc_id", payload.alias("payload")), mail.MESSAGE)
+
+
+THREAD_SQL = """mm AS (SELECT doc_id AS k, text, doc_id // 3 AS j, doc_id % 21 // 3 AS i, doc_id // 21 AS g,
+  CASE WHEN doc_id % 30 = 2 THEN 'row:m' || doc_id ELSE 'm' || doc_id || '@x.test' END AS node FROM documents),
+mw AS (SELECT *, CASE
+    WHEN k % 3 = 0 AND j > 0 THEN ['m' || (CASE WHEN j <= 120 THEN j - 1 ELSE j % 120 END * 3) || '@x.test', 'm0@x.test']
+    WHEN k % 3 = 1 AND i > 0 THEN ['m' || (k - 3) || '@x.test']
+    WHEN k % 3 = 1 AND g % 3 = 1 THEN ['gone' || g || '@x.test']
+    WHEN k % 3 = 1 AND g % 3 = 2 THEN ['m' || (k + 18) || '@x.test']
+    WHEN k % 3 = 2 AND k % 2 = 0 THEN ['nowhere' || k || '@x.test', 'lost' || (k // 30) || '@x.test']
+    ELSE [] END AS ways FROM mm),
+mc AS (SELECT node, unnest(ways) AS way, generate_subscripts(ways, 1) AS rank FROM mw),
+mk AS (SELECT mc.node, min_by(way, rank) AS known FROM mc JOIN mm ON mm.node = mc.way GROUP BY 1),
+mp AS (SELECT mw.*, coalesce(known, ways[len(ways)]) AS parent FROM mw LEFT JOIN mk USING (node)),
+anc(node, up) AS (SELECT node, parent FROM mp WHERE parent IS NOT NULL
+  UNION SELECT a.node, p.parent FROM anc a JOIN mp p ON p.node = a.up WHERE p.parent IS NOT NULL),
+cut AS (SELECT node FROM anc a WHERE node IN (SELECT b.up FROM anc b WHERE b.node = a.node)
+  GROUP BY node HAVING node = min(up)),
+top AS (SELECT node AS root FROM mp WHERE parent IS NULL UNION SELECT node FROM cut
+  UNION SELECT parent FROM mp WHERE parent IS NOT NULL AND parent NOT IN (SELECT node FROM mp)),
+down(node, root, depth) AS (SELECT root, root, 0 FROM top
+  UNION ALL SELECT p.node, d.root, d.depth + 1 FROM down d JOIN mp p ON p.parent = d.node
+  WHERE p.node NOT IN (SELECT node FROM cut)),
+placed AS (SELECT p.*, root, depth, 'm' || k AS id, 1704067200000 + k * 1000 AS ms FROM mp p JOIN down USING (node))"""
+
+
+@query("jn_mail_replies", f"""WITH RECURSIVE {THREAD_SQL} SELECT node AS message_id,
+  CASE WHEN node NOT IN (SELECT node FROM cut) THEN parent END AS parent_id, root AS thread_id,
+  depth::BIGINT AS depth, id, ms AS sent FROM placed""")
+def jn_mail_replies(t: Tables):
+    return mail.replies(threaded_mail(t)).select("message_id", "parent_id", "thread_id", "depth", "id", "sent")
+
+
+@query("src_mail_threads", f"""WITH RECURSIVE {THREAD_SQL} SELECT sha256('g1:gmail://thread/' || root) AS id,
+  root AS thread_id, min_by(text_subject, depth * 100000000000000 + ms) AS subject, max(ms)::VARCHAR AS version,
+  count(*)::VARCHAR AS messages, max(depth)::VARCHAR AS max_depth, sha256(string_agg(id || ':' || sha256(text), ','
+  ORDER BY ms)) AS bodies FROM (SELECT *, 'S' || k AS text_subject FROM placed) GROUP BY root""")
+def src_mail_threads(t: Tables):
+    docs = mail.thread_documents(mail.replies(threaded_mail(t)), "g1")
+    text = F.col("content").cast("string")
+    each = F.from_json(F.get_json_object(text, "$.messages"), "array<struct<id:string,body_text:string>>")
+    m = lambda f: F.get_json_object("source_metadata", f"$.{f}")
+    return docs.select(
+        "id", m("thread_id").alias("thread_id"), m("subject").alias("subject"), "source_ref.version",
+        F.get_json_object(text, "$.message_count").alias("messages"), m("max_depth").alias("max_depth"),
+        F.sha2(F.array_join(F.transform(each, lambda x: F.concat(x["id"], F.lit(":"), F.sha2(x["body_text"], 256))), ","),
+               256).alias("bodies"))

@@ -73,6 +73,49 @@ def src_wiki_spaces(t: Tables):
         f("description").alias("f_description"))
 
 
+def wiki_comments(t: Tables):
+    """Every fourth document a page, the others comments: half of a third on one
+    page, replies to them, and chains of up to a hundred replies, some of which
+    run into a circle."""
+    k = F.col("doc_id")
+    page, talk = (lambda n: F.concat(F.lit("p"), n)), (lambda n: F.concat(F.lit("c"), n))
+    parent = (F.when(k % 8 == 1, page(F.lit(0))).when(k % 4 == 1, page(k - 1)).when(k % 4 == 2, talk(k - 1))
+              .when(k % 400 == 3, page(k - 3)).when(k % 400 == 203, talk(k + 8)).otherwise(talk(k - 4)))
+    pages = t.documents.where(k % 4 == 0).select(page(k).alias("id"))
+    rows = t.documents.where(k % 4 != 0).select(
+        k, talk(k).alias("comment_id"), parent.alias("parent_id"), F.concat(F.lit("u"), k % 7).alias("author"),
+        iso(D.at(k * 60), "Z").alias("created"), F.concat(F.lit("<p>"), F.regexp_replace("text", "[<>&\\s]+", " "), F.lit("</p>")).alias("html"))
+    return pages, rows
+
+
+COMMENT_SQL = r"""wc AS (SELECT doc_id, 'c' || doc_id AS comment_id, CASE WHEN doc_id % 8 = 1 THEN 'p0'
+    WHEN doc_id % 4 = 1 THEN 'p' || (doc_id - 1) WHEN doc_id % 4 = 2 THEN 'c' || (doc_id - 1)
+    WHEN doc_id % 400 = 3 THEN 'p' || (doc_id - 3) WHEN doc_id % 400 = 203 THEN 'c' || (doc_id + 8)
+    ELSE 'c' || (doc_id - 4) END AS parent_id,
+  trim(regexp_replace(text, '[<>&\s]+', ' ', 'g'), ' ') AS body FROM documents WHERE doc_id % 4 <> 0),
+wt(comment_id, page_id, depth, ancestors) AS (
+  SELECT comment_id, parent_id, 0::BIGINT, '' FROM wc
+  WHERE parent_id IN (SELECT 'p' || doc_id FROM documents WHERE doc_id % 4 = 0)
+  UNION ALL SELECT c.comment_id, w.page_id, w.depth + 1, CASE WHEN w.ancestors = '' THEN w.comment_id
+    ELSE w.ancestors || '/' || w.comment_id END FROM wt w JOIN wc c ON c.parent_id = w.comment_id)"""
+
+
+@query("jn_wiki_comments", f"""WITH RECURSIVE {COMMENT_SQL} SELECT * FROM wt""")
+def jn_wiki_comments(t: Tables):
+    return wiki.comment_paths(*wiki_comments(t)).select(
+        "comment_id", "page_id", "depth", F.array_join("ancestors", "/").alias("ancestors"))
+
+
+@query("src_wiki_comments", f"""WITH RECURSIVE {COMMENT_SQL} SELECT doc_id,
+  'https://wiki.test/pages/' || page_id || '#comment-' || comment_id AS uri, 'comment|page:' || page_id AS tags,
+  depth::VARCHAR AS depth, parent_id, body AS content FROM wt JOIN wc USING (comment_id) WHERE body <> ''""")
+def src_wiki_comments(t: Tables):
+    docs = wiki.comment_documents(wiki.comment_paths(*wiki_comments(t)), "https://wiki.test", "k1", seq=F.col("doc_id"))
+    m = lambda f: F.get_json_object("source_metadata", f"$.{f}").alias(f)
+    return docs.select(F.col("seq").alias("doc_id"), "source_ref.uri", F.array_join("tags", "|").alias("tags"),
+                       m("depth"), m("parent_id"), F.col("content").cast("string").alias("content"))
+
+
 # ---------------------------------------------------------------------- notes
 
 BLOCK_TYPES = ("heading_1", "heading_2", "heading_3", "paragraph", "bulleted_list_item",
@@ -108,16 +151,17 @@ def note_blocks(t: Tables):
     has a fourteenth of the document's words."""
     k = F.col("doc_id")
     words = F.split(F.regexp_replace("text", r"[^\p{L} ]", ""), " +")
-    rows = t.documents.select(k, words.alias("w"), F.explode(F.sequence(F.lit(0), F.lit(13))).alias("i"))
     part = F.ceil(F.size("w") / 14).cast("int")
+    parts = F.transform(F.sequence(F.lit(0), F.lit(13)), lambda i: F.array_join(F.slice("w", i * part + 1, part), " "))
+    rows = t.documents.select(k, words.alias("w")).select(k, F.posexplode(parts).alias("i", "text"))
     level, side = F.floor(F.col("i") / 2), F.col("i") % 2
     own = F.concat(F.lit("n"), k, F.lit("b"), F.col("i"))
     above = F.when(level == 0, F.concat(F.lit("n"), k)).otherwise(
         F.concat(F.lit("n"), k, F.lit("b"), (level - 1) * 2))
     kind = F.element_at(F.array(*map(F.lit, BLOCK_TYPES)), ((k + F.col("i")) % len(BLOCK_TYPES) + 1).cast("int"))
-    # Landed as a table: the tree walk reads it once per level.
+    # Landed as a table: the tree's thin columns and its texts are read apart.
     return materialize(rows.select(own.alias("block_id"), above.alias("parent_id"), side.cast("int").alias("ordinal"),
-                       kind.alias("type"), F.array_join(F.slice("w", F.col("i") * part + 1, part), " ").alias("text"),
+                       kind.alias("type"), "text",
                        ((side == 0) & (level < 6)).alias("has_children")), "landed-blocks")
 
 

@@ -11,6 +11,9 @@ from harborline.catalog import values as V
 from harborline.functions.codec import base64_urlsafe_text, header_map
 from harborline.operators.envelope import envelope
 from harborline.operators.filters import mail_labelled
+from harborline.operators.forest import ascend, lookup
+from harborline.operators.joins import nest, withheld
+from harborline.session import materialize
 from harborline.sources.common import KEEP_NULLS, json_doc, meta, tag, text_or
 
 PART = ("struct<mime:string,filename:string,size:bigint,data:string,attachment_id:string,"
@@ -132,3 +135,80 @@ def label_documents(rows: DataFrame, instance_id: str, seq: Column | None = None
         content=F.to_json(F.struct(*rows.columns), KEEP_NULLS), content_type="application/json",
         seq=seq if seq is not None else F.monotonically_increasing_id(), tags=["label"],
         metadata=F.struct(F.lit("label").alias("resource_type"), *[F.col(c) for c in rows.columns]))
+
+
+def _ids(header: Column) -> Column:
+    """Message ids of a header's text."""
+    return F.regexp_extract_all(text_or(header), F.lit(r"<([^<>\s]+)>"), 1)
+
+
+def replies(rows: DataFrame) -> DataFrame:
+    """Landed messages (`payload`, `p`) in their reply forest: message_id,
+    parent_id, thread_id, depth, id, sent (milliseconds), sender, subject, snippet,
+    body_text; one row per message id.
+
+    A message's parent is the first landed message among those it replies to
+    and, from the nearest on, those it refers to.  If none of them is landed,
+    the topmost missing one still is its parent, so that all replies to a lost message
+    share a thread.  Copies with the same message id are one message, the one
+    sent first; messages without id stand for themselves, a message that
+    replies to itself doesn't.  Where replies run in a circle, the smallest id
+    opens the thread.
+
+    References name a thread's first message in each of its messages, so these ids
+    are looked up without giving a popular one to a single task; the way
+    up is found by pointer jumping, in rounds that grow with the logarithm
+    of the longest chain.
+    """
+    p = F.col("p")
+    head = with_parts(rows, V.MAX_ATTACHMENT_BYTES).withColumn("h", header_map(p["payload"]["headers"]))
+    h = lambda name: F.try_element_at("h", F.lit(name))
+    own = F.coalesce(F.get(_ids(h("message-id")), F.lit(0)), F.concat(F.lit("row:"), text_or(p["id"])))
+    seen = head.select(
+        own.alias("message_id"), p["internalDate"].try_cast("bigint").alias("sent"), text_or(p["id"]).alias("id"),
+        F.array_distinct(F.concat(_ids(h("in-reply-to")), F.reverse(_ids(h("references"))))).alias("ways"),
+        text_or(h("from")).alias("sender"), text_or(h("subject"), "(no subject)").alias("subject"),
+        text_or(p["snippet"]).alias("snippet"), "body_text")
+    order = F.struct(F.col("sent").isNull(), "sent", "id")
+    mails = materialize(seen.groupBy("message_id").agg(F.min_by(F.struct(*seen.columns), order).alias("m"))
+                        .select("m.*").withColumn("ways", F.array_remove("ways", F.col("message_id"))), "mails")
+
+    landed_ids = mails.select(F.col("message_id").alias("way"))
+    asked = mails.select(F.col("message_id").alias("node"), F.posexplode("ways").alias("rank", "way"))
+    found = lookup(materialize(asked, "ways"), landed_ids, "way", "inner") \
+        .groupBy("node").agg(F.min_by("way", "rank").alias("known"))
+    links = materialize(mails.join(found, F.col("message_id") == F.col("node"), "left").select(
+        F.col("message_id").alias("node"),
+        F.coalesce("known", F.try_element_at("ways", F.lit(-1))).alias("parent")).where("parent is not null"), "replies")
+    placed = ascend(links).join(links, "node")
+    return mails.drop("ways").join(placed.withColumnRenamed("node", "message_id"), "message_id", "left").select(
+        "message_id", F.col("parent").alias("parent_id"), F.coalesce("root", "message_id").alias("thread_id"),
+        F.coalesce("depth", F.lit(0)).alias("depth"), "id", "sent", "sender", "subject", "snippet", "body_text")
+
+
+def thread_documents(messages: DataFrame, instance_id: str, seq: Column | None = None) -> DataFrame:
+    """Rows of `replies` -> one JSON document per thread, its messages by time.
+
+    The subject is that of the message nearest to the root.  A thread above the
+    document limit keeps its messages where they are; their bytes count in its
+    size, so validation rejects it.
+    """
+    messages = materialize(messages, "threads")
+    near = F.struct("depth", F.col("sent").isNull(), "sent", "id")
+    head = messages.groupBy("thread_id").agg(
+        F.min_by("subject", near).alias("subject"), F.max("depth").alias("max_depth"),
+        F.min("sent").alias("first_sent"), F.max("sent").alias("last_sent"))
+    item = F.struct(*[F.col(c) for c in ("id", "message_id", "parent_id", "depth", "sender", "subject", "sent", "body_text")])
+    full = nest(head, messages.select("thread_id", F.coalesce("sent", F.lit(0)).alias("_at"), F.col("id").alias("_id"),
+                                      item.alias("_v")), ["thread_id"], F.col("_v"), ["_at", "_id"], "messages")
+    col = F.col
+    return envelope(
+        full, connector_id="gmail", instance_id=F.lit(instance_id),
+        uri=F.concat(F.lit("gmail://thread/"), col("thread_id")), withheld=withheld("messages"),
+        content=json_doc(thread_id=col("thread_id"), subject=col("subject"), message_count=col("messages_count"),
+                         messages=col("messages")),
+        content_type="application/json", seq=seq if seq is not None else F.monotonically_increasing_id(),
+        version=col("last_sent"), cursor_value=col("last_sent"), cursor_type="sequence", tags=["thread"],
+        metadata=meta(resource_type=F.lit("thread"), thread_id=col("thread_id"), subject=col("subject"),
+                      message_count=col("messages_count"), max_depth=col("max_depth"),
+                      first_sent=col("first_sent"), last_sent=col("last_sent")))

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import itertools
-
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from harborline.functions.text import rich_text
 from harborline.operators.envelope import envelope
 from harborline.operators.filters import note_wanted
+from harborline.operators.forest import ascend, lookup
 from harborline.operators.joins import nest, withheld
-from harborline.session import shared_dir
+from harborline.session import materialize
 from harborline.sources.common import json_doc, meta, tag, text_or
 
 _RUNS = "array<struct<plain_text:string>>"
@@ -40,27 +39,25 @@ def block_paths(pages: DataFrame, blocks: DataFrame,
     in their page's tree: page_id, depth and the ordinal path that sorts them
     in reading order, down to the deepest level or to `max_depth`.
 
-    One equi-join per level.  A level is written to the shared folder and the
-    next one starts from it, so no level repeats the joins above it; what is
-    joined is the level's thin (block, page, path), never its text.
+    Pages and paths are found by pointer jumping over the thin (block, parent,
+    ordinal) of blocks that have children; the text is joined once, in the end.
+    Blocks that lead to no page, as those on a cycle, are left out.  A block id
+    that is repeated holds its children where it stands first, by parent and
+    ordinal; a page is a root wherever it is mentioned.
     """
-    spark = blocks.sparkSession
-    base = shared_dir(spark, "blocks")
-    above = pages.select(F.col("id").alias("parent_id"), F.col("id").alias("page_id"),
-                         F.array().cast("array<int>").alias("_path"))
-    schema = None
-    for depth in itertools.count():
-        level = (blocks.join(above, "parent_id")
-                 .withColumn("path", F.concat("_path", F.array(F.col("ordinal").cast("int"))))
-                 .drop("_path"))
-        level.write.parquet(f"{base}/depth={depth}")
-        schema = schema or level.schema
-        above = (spark.read.schema(level.schema).parquet(f"{base}/depth={depth}")
-                 .where("has_children").select(F.col("block_id").alias("parent_id"), "page_id",
-                                               F.col("path").alias("_path")))
-        if depth == max_depth or above.isEmpty():
-            break
-    return spark.read.schema(schema.add("depth", T.IntegerType())).parquet(base)
+    inner = blocks.where("has_children and parent_id is not null").groupBy("block_id").agg(
+        F.min(F.struct("parent_id", F.col("ordinal").cast("int").alias("ordinal"))).alias("at"))
+    links = inner.select(F.col("block_id").alias("node"), F.col("at.parent_id").alias("parent"),
+                         F.col("at.ordinal").alias("step")).join(pages.select(F.col("id").alias("node")), "node", "left_anti")
+    named = pages.select(F.col("id").alias("page_id")).distinct()
+    inside = ascend(links, path=True).withColumnRenamed("root", "page_id").join(named, "page_id", "left_semi")
+    above = named.select(F.col("page_id").alias("parent_id"), "page_id", F.lit(0).cast("long").alias("depth"),
+                         F.array().cast("array<int>").alias("_path")).unionByName(
+        inside.select(F.col("node").alias("parent_id"), "page_id", "depth", F.col("path").alias("_path")))
+    placed = lookup(blocks, materialize(above, "above"), "parent_id", "inner")
+    placed = placed.withColumn("path", F.concat("_path", F.array(F.col("ordinal").cast("int")))) \
+        .withColumn("depth", F.col("depth").cast("int")).drop("_path")
+    return placed if max_depth is None else placed.where(F.col("depth") <= max_depth)
 
 
 def block_line(kind: Column, text: Column, depth: Column) -> Column:

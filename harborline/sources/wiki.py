@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from harborline.functions.text import html_to_markdown, html_to_text
 from harborline.operators.envelope import envelope
+from harborline.operators.forest import ascend, lookup
+from harborline.session import materialize
 from harborline.sources.common import json_doc, meta, tag, text_or
 
 CONTENT = ("id string, title string, type string, version struct<number:int,when:string>, "
@@ -57,3 +59,43 @@ def space_documents(rows: DataFrame, base_url: str, instance_id: str,
         content_type="application/json",
         seq=seq if seq is not None else F.monotonically_increasing_id(), tags=["space"],
         metadata=meta(resource_type=F.lit("space"), space_key=key, name=name))
+
+
+def comment_paths(pages: DataFrame, comments: DataFrame) -> DataFrame:
+    """`comments` (comment_id, parent_id and more) with page_id, depth and
+    `ancestors`, the comments above from the page down.  A parent is a page (id)
+    or another comment, replies go to any depth.
+
+    Comments that lead to no page are left out, those on a circle among them.
+    Only comments that have replies take part in the walk, by pointer
+    jumping; a page or comment that owns most comments is looked up without
+    being one task's.  A repeated comment id holds its replies under its least parent.
+    """
+    comments = materialize(comments, "comments")
+    named = pages.select(F.col("id").alias("page_id")).distinct()
+    answered = comments.select(F.col("parent_id").alias("comment_id")).distinct()
+    links = comments.where("parent_id is not null").select("comment_id", "parent_id") \
+        .join(answered, "comment_id", "left_semi").groupBy(F.col("comment_id").alias("node")) \
+        .agg(F.min("parent_id").alias("parent"))
+    links = links.join(named.select(F.col("page_id").alias("node")), "node", "left_anti").withColumn("step", F.col("node"))
+    inside = ascend(links, path=True).withColumnRenamed("root", "page_id").join(named, "page_id", "left_semi")
+    above = named.select(F.col("page_id").alias("parent_id"), "page_id", F.lit(0).cast("long").alias("depth"),
+                         F.array().cast("array<string>").alias("ancestors")).unionByName(
+        inside.select(F.col("node").alias("parent_id"), "page_id", "depth", F.col("path").alias("ancestors")))
+    return lookup(comments, materialize(above, "above"), "parent_id", "inner")
+
+
+def comment_documents(placed: DataFrame, base_url: str, instance_id: str, seq: Column | None = None) -> DataFrame:
+    """Rows of `comment_paths` with author, created and html -> one plain-text
+    document each; blank ones are left out."""
+    col = F.col
+    ready = placed.withColumn("_text", html_to_text(text_or(col("html")))).where(col("_text").rlike(r"\S"))
+    return envelope(
+        ready, connector_id="confluence", instance_id=F.lit(instance_id),
+        uri=F.concat(F.lit(base_url.rstrip("/") + "/pages/"), col("page_id"), F.lit("#comment-"), col("comment_id")),
+        content=col("_text"), content_type="text/plain",
+        seq=seq if seq is not None else F.monotonically_increasing_id(), version=text_or(col("created")),
+        cursor_value=text_or(col("created")), tags=["comment", tag("page:", col("page_id"))],
+        metadata=meta(resource_type=F.lit("comment"), comment_id=col("comment_id"), page_id=col("page_id"),
+                      parent_id=col("parent_id"), depth=col("depth"), ancestors=col("ancestors"),
+                      author=text_or(col("author"))))

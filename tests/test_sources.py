@@ -213,8 +213,9 @@ def test_code_host(spark):
 
     commit = {"sha": "s", "commit": {"message": "m", "committer": {"name": "c", "date": "d2"}},
               "files": [{"filename": f"f{i}"} for i in range(60)]}
-    doc = codehost.commits(payloads(spark, [commit], codehost.COMMIT, repo="o/r"), "h").first()
-    assert doc.cursor.value == "d2" and len(json.loads(bytes(doc.content))["files_changed"]) == 50
+    for most, left in ((None, 60), (50, 50)):
+        doc = codehost.commits(payloads(spark, [commit], codehost.COMMIT, repo="o/r"), "h", max_files=most).first()
+        assert doc.cursor.value == "d2" and len(json.loads(bytes(doc.content))["files_changed"]) == left
     release = {"id": 9, "tag_name": "v1", "html_url": "h", "prerelease": True, "author": user}
     rows = payloads(spark, [release, {**release, "id": 10}], codehost.RELEASE, repo="o/r")
     assert codehost.releases(rows, "h", since_id=9).count() == 1
