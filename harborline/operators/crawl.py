@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from harborline.catalog import values as V
 from harborline.functions.names import extension, url_allowed, url_host
 from harborline.functions.text import strip
+from harborline.operators.forest import preorder
 from harborline.session import materialize, shared_dir
 
 
@@ -108,6 +109,28 @@ def bfs_depth(edges: DataFrame, seeds: DataFrame, max_depth: int = V.MAX_CRAWL_D
     return out.orderBy("depth", "url").limit(max_pages) if max_pages else out
 
 
+def spanning_forest(edges: DataFrame, seeds: DataFrame, max_depth: int = V.MAX_CRAWL_DEPTH) -> DataFrame:
+    """(url, depth, parent, pos): every reached url below the page that a crawl by
+    levels would have found it on: of those one link nearer, the least, by its first
+    link there.  `edges` has src, dst and pos.  A popular url is folded map-side."""
+    reached = materialize(bfs_depth(edges, seeds, max_depth), "reached")
+    above = edges.join(reached.select(F.col("url").alias("src"), "depth"), "src").groupBy(F.col("dst").alias("url")).agg(
+        F.min(F.struct("depth", "src", "pos")).alias("up"))
+    # a url that is linked only from the deepest level isn't reached; a seed has no parent
+    return reached.join(above, "url", "left").select(
+        "url", "depth", F.when(F.col("depth") > 0, F.col("up.src")).alias("parent"),
+        F.when(F.col("depth") > 0, F.col("up.pos")).alias("pos"))
+
+
+def dfs_order(edges: DataFrame, seeds: DataFrame, max_depth: int = V.MAX_CRAWL_DEPTH) -> DataFrame:
+    """(url, depth, parent, pos, place): the order of a depth-first crawl along
+    the spanning forest.  Seeds come by url, a page's links as they stand on
+    it.  An Euler tour ranked by pointer doubling (`preorder`), not a
+    stack: rounds grow with the logarithm of the number of urls."""
+    forest = spanning_forest(edges, seeds, max_depth).withColumnRenamed("url", "node")
+    return preorder(forest, ["pos"]).withColumnRenamed("node", "url")
+
+
 def frontier(edges: DataFrame, reached: DataFrame, fetched: DataFrame) -> DataFrame:
     """Linked but not yet fetched urls with the depth they would have."""
     step = edges.join(reached.select(F.col("url").alias("src"), "depth"), "src")

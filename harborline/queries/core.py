@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from harborline.functions.names import mime_by_extension
-from harborline.operators import dedup, envelope as env, validate
+from harborline.operators import dedup, envelope as env, policy, validate
 from harborline.operators.filters import by_extension, by_size
 from harborline.functions.names import matches_any_glob, mime_allowed
 from harborline.operators.joins import mime_routes
@@ -184,6 +184,70 @@ def val_error_report(t: Tables):
     return validate.error_report(validate.validated(D.landed_documents(t), _rule()))
 
 
+def content_policies(t: Tables):
+    """A policy per customer, of every kind that has a key, and one in a hundred
+    without; documents of 40 hosts below nine domains."""
+    k = F.col("c_custkey")
+    kind = k % 8
+    rows = t.customer.select(
+        k.alias("policy_id"), F.when(k % 5 == 0, "c1").otherwise("*").alias("scope"),
+        F.when(k % 100 == 7, F.element_at(F.array(*map(F.lit, ("uri", "uri", "size_bytes", "tag"))), (F.floor(k / 100) % 4 + 1).cast("int")))
+        .when(kind < 2, "domain").when(kind == 2, "content_type").when(kind == 3, "tag").when(kind == 4, "workspace_id")
+        .when(kind == 5, "extension").otherwise("domain").alias("field"),
+        F.when(k % 100 == 7, F.element_at(F.array(*map(F.lit, ("contains", "regex", "gt", "prefix"))), (F.floor(k / 100) % 4 + 1).cast("int")))
+        .when(kind == 4, "in").when(kind.isin(1, 6, 7), "suffix").otherwise("eq").alias("operator"),
+        F.when(k % 100 == 7, F.element_at(F.array(
+            F.concat(F.lit("/a"), k % 13, F.lit("/")), F.concat(F.lit("/[0-9]*"), k % 10, F.lit("[.]md[?]")),
+            (k * 3 + 9000).cast("string"), F.concat(F.lit("src:src"), k % 30)), (F.floor(k / 100) % 4 + 1).cast("int")))
+        .when(kind == 0, F.concat(F.lit("H"), k % 400, F.lit(".d"), k % 9, F.lit(".example.com")))
+        .when(kind == 1, F.concat(F.lit(".d"), k % 90, F.lit(".example.com")))
+        .when(kind == 2, F.when(k % 3 == 0, "text/html").otherwise("image/png"))
+        .when(kind == 3, F.concat(F.lit("src:src"), k % 40))
+        .when(kind == 4, F.concat(F.lit("src"), k % 70, F.lit(", src"), k % 90))
+        .when(kind == 5, F.when(k % 2 == 0, ".md").otherwise(".exe"))
+        .otherwise(F.concat(F.lit("x"), k, F.lit(".org"))).alias("value"),
+        F.when(k % 3 == 1, "allow").otherwise("reject").alias("action"), (k * 7 % 50).cast("int").alias("priority"))
+    return rows
+
+
+def policed_documents(t: Tables):
+    k = F.col("doc_id")
+    return env.envelope(
+        t.documents, connector_id=F.concat(F.lit("c"), k % 3), instance_id=F.col("lang"),
+        uri=F.concat(F.lit("https://h"), k % 40, F.lit(".d"), k % 9, F.lit(".Example.com:8080/a"), k % 17, F.lit("/"), k, F.lit(".md?q=.x")),
+        content=F.col("text"), content_type=F.when(k % 4 == 0, "text/html").otherwise("text/plain"), seq=k,
+        tags=["doc", F.concat(F.lit("src:"), F.col("source"))], workspace_id=F.col("source"))
+
+
+POLICY_SQL = r"""p AS (SELECT c_custkey AS policy_id, CASE WHEN c_custkey % 5 = 0 THEN 'c1' ELSE '*' END AS scope,
+  CASE WHEN c_custkey % 100 = 7 THEN 10 + c_custkey // 100 % 4 ELSE c_custkey % 8 END AS kind, c_custkey AS k,
+  CASE WHEN c_custkey % 3 = 1 THEN 'allow' ELSE 'reject' END AS action, (c_custkey * 7 % 50)::INT AS priority FROM customer),
+d AS (SELECT doc_id AS seq, 'c' || (doc_id % 3) AS connector, 'h' || (doc_id % 40) || '.d' || (doc_id % 9) || '.example.com' AS domain,
+  'https://h' || (doc_id % 40) || '.d' || (doc_id % 9) || '.Example.com:8080/a' || (doc_id % 17) || '/' || doc_id || '.md?q=.x' AS uri,
+  CASE WHEN doc_id % 4 = 0 THEN 'text/html' ELSE 'text/plain' END AS mime, source, octet_length(encode(text)) AS size FROM documents),
+hit AS (SELECT seq, policy_id, action, priority FROM d JOIN p ON (scope = '*' OR scope = connector) AND CASE kind
+  WHEN 0 THEN domain = 'h' || (k % 400) || '.d' || (k % 9) || '.example.com'
+  WHEN 1 THEN ends_with('.' || domain, '.d' || (k % 90) || '.example.com')
+  WHEN 2 THEN mime = CASE WHEN k % 3 = 0 THEN 'text/html' ELSE 'image/png' END
+  WHEN 3 THEN source = 'src' || (k % 40)
+  WHEN 4 THEN source IN ('src' || (k % 70), 'src' || (k % 90))
+  WHEN 5 THEN k % 2 = 0
+  WHEN 10 THEN contains(uri, '/a' || (k % 13) || '/')
+  WHEN 11 THEN regexp_matches(uri, '/[0-9]*' || (k % 10) || '[.]md[?]')
+  WHEN 12 THEN size > k * 3 + 9000
+  WHEN 13 THEN starts_with('src:' || source, 'src:src' || (k % 30))
+  ELSE false END)"""
+
+
+@query("val_policy", f"""WITH {POLICY_SQL}
+SELECT seq, policy_id, action, priority, CASE WHEN action = 'reject' THEN 'ContentPolicyError' END AS error_type,
+  CASE WHEN action = 'reject' THEN 'Content policy violation: policy ' || policy_id END AS message
+FROM (SELECT *, row_number() OVER (PARTITION BY seq ORDER BY priority DESC, policy_id) AS n FROM hit) WHERE n = 1""")
+def val_policy(t: Tables):
+    return policy.decisions(policed_documents(t), content_policies(t)).select(
+        "seq", "policy_id", "action", "priority", "error.error_type", "error.message")
+
+
 @query("ext_validator", f"""WITH {D.LANDED_SQL}
 SELECT seq, CASE WHEN instance_id = '' OR uri = '' OR content_type = '' THEN 'MissingRequiredFieldError'
     WHEN length(id) <> 64 THEN 'SchemaValidationError'

@@ -10,6 +10,7 @@ from harborline.functions.text import html_to_markdown, html_to_text
 from harborline.operators import crawl as K
 from harborline.queries import derive as D
 from harborline.queries.registry import Tables, query
+from harborline.session import materialize
 from harborline.sources import feeds, web
 
 URL_HOST_SQL = "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)"
@@ -255,6 +256,28 @@ def crawl_bfs_depth(t: Tables):
     return K.bfs_depth(K.link_graph(t.pages), seeds(t))
 
 
+@query("crawl_dfs_order", f"""WITH RECURSIVE {LINKS_SQL},
+ep AS (SELECT url AS src, link AS dst, min(pos) AS pos FROM links
+  WHERE NOT regexp_matches(link, '\\.(png|jpg|jpeg|gif|ico|svg|webp|mp4|mp3|avi|zip|tar|gz|exe|bin)$')
+    AND NOT regexp_matches(link, '/(login|logout|signin|signup|register|auth)')
+    AND NOT regexp_matches(link, '[?&](utm_|fbclid|gclid)') GROUP BY ALL),
+hop AS (SELECT DISTINCT url, 0 AS depth FROM pages WHERE page_id % 10 = 0
+  UNION SELECT e.dst, h.depth + 1 FROM hop h JOIN ep e ON e.src = h.url WHERE h.depth < 6),
+got AS (SELECT url, min(depth) AS depth FROM hop GROUP BY url),
+par AS (SELECT dst AS url, src AS parent, pos FROM (SELECT e.*, row_number() OVER (PARTITION BY dst
+  ORDER BY g.depth, src, pos) AS n FROM ep e JOIN got g ON g.url = e.src) WHERE n = 1),
+kid AS (SELECT url, depth, parent, pos FROM got LEFT JOIN par USING (url) WHERE depth > 0),
+tree(url, depth, parent, pos, path) AS (SELECT url, depth::INT, NULL::VARCHAR, NULL::INT, url FROM got WHERE depth = 0
+  UNION ALL SELECT k.url, k.depth::INT, k.parent, k.pos::INT, t.path || chr(1) || lpad(k.pos::VARCHAR, 9, '0') || chr(2) || k.url
+  FROM tree t JOIN kid k ON k.parent = t.url)
+SELECT url, depth, parent, pos, row_number() OVER (ORDER BY path) - 1 AS place FROM tree""")
+def crawl_dfs_order(t: Tables):
+    links = K.page_links(t.pages.select("url", "html"))
+    edges = links.where(url_allowed(F.col("link"), F.lit(True))).groupBy(F.col("url").alias("src"), F.col("link").alias("dst")).agg(
+        F.min("pos").alias("pos"))
+    return K.dfs_order(materialize(edges, "edges"), seeds(t), max_depth=6)
+
+
 @query("crawl_frontier", f"""WITH RECURSIVE {EDGES_SQL}, r2 AS (SELECT * FROM reached WHERE depth <= 1),
 fetched AS (SELECT url FROM reached WHERE depth = 0)
 SELECT e.dst AS url, (min(depth) + 1)::INT AS depth FROM r2 JOIN edges e ON e.src = r2.url

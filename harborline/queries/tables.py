@@ -191,6 +191,46 @@ def src_object_prefixes(t: Tables):
     return objects.object_prefixes(stored_objects(t), "lake")
 
 
+def object_versions(t: Tables):
+    """A version per document: a third of them of one object, the others of
+    objects with about seven; some at the same instant, every eleventh a
+    delete marker."""
+    k = F.col("doc_id")
+    return t.documents.select(
+        F.when(k % 3 == 0, "hot/a.txt").otherwise(F.concat(F.lit("src/o"), F.floor(k / 10), F.lit(".md"))).alias("key"),
+        D.at(k * 37 % 501 * 600).alias("at"), k.alias("seq"), (k % 11 == 5).alias("deleted"),
+        F.octet_length(F.encode("text", "UTF-8")).cast("long").alias("size"), F.md5(F.encode("text", "UTF-8")).alias("etag"),
+        F.encode("text", "UTF-8").alias("content"))
+
+
+VERSION_SQL = """ov AS (SELECT doc_id AS seq, CASE WHEN doc_id % 3 = 0 THEN 'hot/a.txt'
+    ELSE 'src/o' || (doc_id // 10) || '.md' END AS key, TIMESTAMP '2024-01-01' + to_seconds(doc_id * 37 % 501 * 600) AS since,
+  doc_id % 11 = 5 AS deleted, md5(text) AS etag, text FROM documents),
+oc AS (SELECT *, lead(since) OVER (PARTITION BY key ORDER BY since, seq) AS until FROM ov)"""
+
+
+@query("src_object_versions", f"""WITH {VERSION_SQL} SELECT seq, 's3://lake/' || key || '?versionId=' || seq AS uri,
+  etag AS version, sha256(text) AS checksum, strftime(since, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS valid_from,
+  strftime(until, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS valid_to, CASE WHEN until IS NULL THEN 'true' ELSE 'false' END AS is_latest
+FROM oc WHERE NOT deleted""")
+def src_object_versions(t: Tables):
+    docs = objects.version_documents(objects.version_chains(object_versions(t)), "lake", "i1", seq=F.col("seq"))
+    m = lambda f: F.get_json_object("source_metadata", f"$.{f}").alias(f)
+    return docs.select("seq", "source_ref.uri", "source_ref.version", "checksum", m("valid_from"), m("valid_to"), m("is_latest"))
+
+
+@query("jn_object_asof", f"""WITH {VERSION_SQL}, q AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'hot/a.txt'
+    ELSE 'src/o' || (event_id % 150) || '.md' END AS key, TIMESTAMP '2024-01-01' + to_seconds(event_id * 7919 % 400000) AS asked FROM events)
+SELECT event_id, q.key, v.seq AS version_seq, v.etag FROM q LEFT JOIN oc v
+  ON v.key = q.key AND v.since <= q.asked AND (v.until IS NULL OR q.asked < v.until) AND NOT v.deleted""")
+def jn_object_asof(t: Tables):
+    k = F.col("event_id")
+    asked = t.events.select(k, F.when(k % 3 == 0, "hot/a.txt").otherwise(F.concat(F.lit("src/o"), k % 150, F.lit(".md"))).alias("key"),
+                            D.at(k * 7919 % 400000).alias("at"))
+    return objects.versions_as_of(asked, object_versions(t).drop("content")).select(
+        "event_id", "key", F.col("found.seq").alias("version_seq"), "found.etag")
+
+
 @query("src_resource_discovery", """WITH r AS (
   SELECT DISTINCT 'github' AS connector_id, 'https://github.com/' || source || '/' || lang AS resource FROM documents
   UNION ALL SELECT DISTINCT 'slack', 'slack://channel/' || conv_id || '/room-' || conv_id FROM conversations
