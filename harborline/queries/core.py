@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from harborline.functions.names import mime_by_extension
-from harborline.operators import dedup, envelope as env, policy, validate
+from harborline.operators import dedup, envelope as env, policy, sketches, validate
 from harborline.operators.filters import by_extension, by_size
 from harborline.functions.names import matches_any_glob, mime_allowed
 from harborline.operators.joins import mime_routes
@@ -13,6 +13,7 @@ from harborline.plans import route
 from harborline.queries import derive as D
 from harborline.queries.registry import Tables, query
 from harborline.catalog import values as V
+from harborline.session import shared_dir
 
 REF = ["source_ref.connector_id", "source_ref.instance_id", "source_ref.uri"]
 
@@ -296,6 +297,28 @@ def dd_content_hash(t: Tables):
         .select("seq", "checksum", "is_first")
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query("dd_near_batches", rf"""WITH d AS (SELECT doc_id, doc_id % 2 AS batch,
+  regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, batch, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS shingle
+  FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) t(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS cc FROM s a JOIN s b USING (shingle)
+  WHERE (b.batch, b.doc_id) < (a.batch, a.doc_id) GROUP BY ALL)
+SELECT doc_id, batch::INT AS batch, doc_id IN (SELECT x FROM c JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y
+  WHERE 10 * cc >= 8 * (p.n + q.n - cc)) AS near_duplicate FROM d""")
+def dd_near_batches(t: Tables):
+    index = sketches.SketchIndex(t.spark, shared_dir(t.spark, "sketches"))
+    out = None
+    for batch in (0, 1):
+        docs = t.documents.where(F.col("doc_id") % 2 == batch).select(F.col("doc_id").alias("seq"), F.col("doc_id").alias("id"), "text")
+        told = index.add(docs, batch).select(F.col("seq").alias("doc_id"), F.lit(batch).alias("batch"), "near_duplicate")
+        out = told if out is None else out.unionByName(told)
+    return out
+
+
 @query("ext_deduplicator", f"""WITH {D.CLEAN_SQL}
 SELECT seq, uri FROM clean QUALIFY row_number() OVER (
   PARTITION BY upper(text), content_type ORDER BY seq) = 1""")

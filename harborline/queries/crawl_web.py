@@ -9,6 +9,7 @@ from harborline.functions.names import url_allowed, url_host
 from harborline.functions.text import html_to_markdown, html_to_text
 from harborline.operators import crawl as K
 from harborline.queries import derive as D
+from harborline.operators import robots
 from harborline.queries.registry import Tables, query
 from harborline.session import materialize
 from harborline.sources import feeds, web
@@ -228,6 +229,36 @@ def flt_url_allowed(t: Tables):
     return t.pages.where(ok).select("page_id", "url")
 
 
+# Rules of the hosts' robots.txt by the length of the host's name modulo 3: for all
+# agents, for ours, no file.
+ROBOTS = (
+    "User-agent: *\nDisallow: /en/\nAllow: /en/*5\nAllow: /en/9\nDisallow: /en/9\nDisallow: /*utm_\nDisallow: /*.html$\nAllow: /es\n",
+    "User-agent: *\nDisallow: /\n\nUser-agent: other\nUser-agent: harbor\nDisallow: /*?\nAllow: /*?page=2\nDisallow: /de/1 # tens\n"
+    "Disallow: /*/3$\n",
+)
+ROBOT_RULES = ((0, False, "/en/"), (0, True, "/en/*5"), (0, True, "/en/9"), (0, False, "/en/9"), (0, False, "/*utm_"),
+               (0, False, "/*.html$"), (0, True, "/es"), (1, False, "/*?"), (1, True, "/*?page=2"), (1, False, "/de/1"), (1, False, "/*/3$"))
+_RULE_ROWS = ", ".join(f"({n}, {str(allow).lower()}, '{x}', '^" + x.replace(".", "[.]").replace("?", "[?]").replace("*", ".*")
+                       + "')" for n, allow, x in ROBOT_RULES)
+
+
+@query("flt_robots", f"""WITH {LINKS_SQL},
+u AS (SELECT DISTINCT link AS url FROM links),
+ru AS (SELECT *, length(lower(regexp_extract(url, '://([^/?]*)', 1))) % 3 AS n,
+  regexp_replace(regexp_replace(url, '#.*$', ''), '^[a-z]+://[^/?]*', '') AS path FROM u),
+rr(n, allow, pattern, re) AS (VALUES {_RULE_ROWS}),
+rm AS (SELECT url, allow, pattern, row_number() OVER (PARTITION BY url ORDER BY length(pattern) DESC, allow DESC) AS k
+  FROM ru JOIN rr USING (n) WHERE regexp_matches(path, re))
+SELECT url, coalesce(allow, true) AS allowed, CASE WHEN allow THEN 'Allow: ' ELSE 'Disallow: ' END || pattern AS rule
+FROM u LEFT JOIN (FROM rm WHERE k = 1) USING (url)""")
+def flt_robots(t: Tables):
+    urls = materialize(K.page_links(t.pages.select("url", "html")).select(F.col("link").alias("url")).distinct(), "links")
+    host = F.lower(url_host(F.col("url")))
+    files = urls.select(host.alias("host")).distinct().where(F.length("host") % 3 < 2).select(
+        "host", F.when(F.length("host") % 3 == 0, ROBOTS[0]).otherwise(ROBOTS[1]).alias("body"))
+    return robots.allowed(urls, robots.rules(files, agent="harborline/1.0"))
+
+
 @query("crawl_link_graph", f"""WITH {LINKS_SQL} SELECT DISTINCT url AS src, link AS dst FROM links
 WHERE NOT regexp_matches(link, '\\.(png|jpg|jpeg|gif|ico|svg|webp|mp4|mp3|avi|zip|tar|gz|exe|bin)$')
   AND NOT regexp_matches(link, '/(login|logout|signin|signup|register|auth)')
