@@ -8,7 +8,7 @@ from harborline.functions.codec import base64_urlsafe_text, chat_signature_valid
 from harborline.operators.filters import file_present, mail_labelled, member_active, message_wanted
 from harborline.operators.joins import thread_replies
 from harborline.queries.registry import Tables, query
-from harborline.sources import chat, mail
+from harborline.sources import chat, mail, mime
 from harborline.sources.common import landed
 
 # ----------------------------------------------------------------------- chat
@@ -341,3 +341,46 @@ def src_mail_threads(t: Tables):
         F.get_json_object(text, "$.message_count").alias("messages"), m("max_depth").alias("max_depth"),
         F.sha2(F.array_join(F.transform(each, lambda x: F.concat(x["id"], F.lit(":"), F.sha2(x["body_text"], 256))), ","),
                256).alias("bodies"))
+
+
+# ---------------------------------------------------------------- raw messages
+
+
+def raw_mail(t: Tables):
+    """Raw messages: a text and its document attached; every third one forwards
+    a message that has an attachment and, itself forwarded, another message."""
+    k, nl = F.col("doc_id"), F.lit("\r\n")
+    cat = lambda *xs: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in xs])
+    coded = F.base64(F.encode("text", "UTF-8"))
+    file = lambda name: cat("Content-Type: text/plain; charset=utf-8\r\nContent-Transfer-Encoding: base64\r\n"
+                            "Content-Disposition: attachment;\r\n filename=\"", name, k, ".txt\"\r\n\r\n", coded, nl)
+    mixed = lambda b: cat("Subject: S", k, "\r\nContent-Type: multipart/mixed; boundary=\"", b, k, "\"\r\n\r\npreamble\r\n")
+    deepest = cat("Subject: last\r\n\r\nlast ", F.col("lang"), nl)
+    inner = cat(mixed("in"), "--in", k, "\r\n\r\nsee below\r\n--in", k, nl, file("inner"), "--in", k,
+                "\r\nContent-Type: message/rfc822\r\n\r\n", deepest, "--in", k, "--\r\n")
+    raw = cat(mixed("out"), "--out", k, "\r\nContent-Type: text/plain; charset=utf-8\r\n\r\n", F.col("source"), "\r\n--out", k, nl,
+              file("file"), F.when(k % 3 == 0, cat("--out", k, "\r\nContent-Type: message/rfc822\r\n\r\n", inner, nl)).otherwise(""),
+              "--out", k, "--\r\nepilogue")
+    return t.documents.select(k.alias("id"), F.encode(raw, "UTF-8").alias("raw"))
+
+
+RAW_SQL = """rp AS (SELECT doc_id AS id, '1' AS path, 'text/plain' AS content_type, NULL::VARCHAR AS filename, source AS body FROM documents
+  UNION ALL SELECT doc_id, '2', 'text/plain', 'file' || doc_id || '.txt', text FROM documents
+  UNION ALL SELECT doc_id, '3.1', 'text/plain', NULL, 'see below' FROM documents WHERE doc_id % 3 = 0
+  UNION ALL SELECT doc_id, '3.2', 'text/plain', 'inner' || doc_id || '.txt', text FROM documents WHERE doc_id % 3 = 0
+  UNION ALL SELECT doc_id, '3.3.1', 'text/plain', NULL, 'last ' || lang FROM documents WHERE doc_id % 3 = 0)"""
+
+
+@query("src_mail_raw_parts", f"""WITH {RAW_SQL} SELECT id, path, content_type, filename, filename IS NOT NULL AS attached,
+  octet_length(encode(body))::BIGINT AS size, sha256(body) AS sha256 FROM rp""")
+def src_mail_raw_parts(t: Tables):
+    return mime.message_parts(raw_mail(t)).drop("content")
+
+
+@query("src_mail_attachments", f"""WITH {RAW_SQL} SELECT sha256('g1:gmail://message/' || id || '/part/' || path) AS id,
+  'gmail://message/' || id || '/part/' || path AS uri, sha256(body) AS checksum, octet_length(encode(body))::BIGINT AS size_bytes,
+  'attachment|message:' || id AS tags, filename FROM rp WHERE filename IS NOT NULL""")
+def src_mail_attachments(t: Tables):
+    return mime.attachment_documents(mime.message_parts(raw_mail(t)), "g1").select(
+        "id", "source_ref.uri", "checksum", "size_bytes", F.array_join("tags", "|").alias("tags"),
+        F.get_json_object("source_metadata", "$.filename").alias("filename"))
