@@ -18,8 +18,6 @@ SIGNATURE_WINDOW_S = 300
 DEGRADED_LATENCY_MS = 500.0
 LOW_QUOTA = 100
 BREAKER_FAILURES = 5
-BREAKER_RECOVERY_S = 60.0
-BREAKER_PROBES = 3
 LISTING_LIMIT = 100
 
 # Extensions left out by an object scan and by a code scan.

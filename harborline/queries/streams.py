@@ -25,6 +25,39 @@ class Streamed(Tables):
         return intake.read_table(self.spark, path, schema=self.spark.read.parquet(self.path(name)).schema)
 
 
+class Arriving(Tables):
+    """A table that arrives in `PARTS` parts by the range of its id, one after the other.  Each
+    part repeats the last third of the one before, and a micro-batch takes one file."""
+
+    PARTS = 3
+
+    def __init__(self, t: Tables, name: str, key: str):
+        super().__init__(t.spark, t.root)
+        self.name, self.key, self.folder = name, key, shared_dir(t.spark, f"arriving-{name}")
+
+    def land(self, part: int):
+        rows = self.spark.read.parquet(f"{self.root}/{self.name}.parquet")
+        low, high = rows.agg(F.min(self.key), F.max(self.key)).first()
+        size = (high - low) // self.PARTS + 1
+        first = low + part * size
+        rows.where(F.col(self.key).between(first - size // 3, first + size - 1)).write.parquet(f"{self.folder}/{part}")
+
+    def __getattr__(self, name):
+        if name != self.name:
+            raise AttributeError(name)
+        schema = self.spark.read.parquet(f"{self.root}/{name}.parquet").schema
+        return intake.read_table(self.spark, f"{self.folder}/*", max_files=1, schema=schema)
+
+
+def run_with_restart(t: Arriving, stream, work, root: str):
+    """Two parts, then the stream ends; the last part arrives, and a new query goes on from
+    the checkpoint."""
+    for part in range(t.PARTS):
+        t.land(part)
+        if part:
+            run(stream(), work, root)
+
+
 def run(stream, work, root: str):
     intake.start(stream, work, f"{root}/checkpoint").awaitTermination()
 
@@ -57,8 +90,10 @@ def st_file_drop(t: Tables):
 
 @query("st_webhook", f"WITH {I.HOOK_SQL} SELECT DISTINCT event_id, event_type, delivery_id FROM ev WHERE {I.ACQUIRE_SQL}")
 def st_webhook(t: Tables):
-    hooks = intake.webhook_stream(I.deliveries(streamed(t)), I.SECRET)
-    return collect(hooks.select("event_id", "event_type", "delivery_id"), shared_dir(t.spark, "hooks"))
+    events, root = Arriving(t, "events", "event_id"), shared_dir(t.spark, "hooks")
+    hooks = lambda: intake.webhook_stream(I.deliveries(events), I.SECRET).select("event_id", "event_type", "delivery_id")
+    run_with_restart(events, hooks, intake.append_to(f"{root}/out"), root)
+    return t.spark.read.parquet(f"{root}/out").select("event_id", "event_type", "delivery_id")
 
 
 @query("st_cdc", f"WITH {CHANGES_SQL} {CDC_FIELDS_SQL}")
@@ -69,9 +104,22 @@ def st_cdc(t: Tables):
 
 @query("dd_stream_bounded", """SELECT DISTINCT sha256(text) AS id FROM documents""")
 def dd_stream_bounded(t: Tables):
-    rows = streamed(t).documents.select(
-        F.sha2(F.encode("text", "UTF-8"), 256).alias("id"), D.at(F.col("doc_id")).alias("acquired_at"))
-    return collect(intake.bounded_dedup(rows).select("id"), shared_dir(t.spark, "recent"))
+    return t.spark.read.parquet(f"{bounded(t)}/out").select("id")
+
+
+def bounded(t: Tables) -> str:
+    """Folder of a stream over documents that drops recent repeats."""
+    docs, root = Arriving(t, "documents", "doc_id"), shared_dir(t.spark, "recent")
+    rows = lambda: intake.bounded_dedup(docs.documents.select(
+        F.sha2(F.encode("text", "UTF-8"), 256).alias("id"), D.at(F.col("doc_id")).alias("acquired_at"))).select("id")
+    run_with_restart(docs, rows, intake.append_to(f"{root}/out"), root)
+    return root
+
+
+@query("st_dedup_state", """SELECT DISTINCT sha256(text) AS id FROM documents""")
+def st_dedup_state(t: Tables):
+    """What the stream remembers after its last micro-batch: every id once."""
+    return intake.remembered(t.spark, f"{bounded(t)}/checkpoint").select("key.id")
 
 
 STORE_SQL = f"""WITH {D.ROUTED_SQL} SELECT connector_id, instance_id, count(*) AS stored,
@@ -95,10 +143,11 @@ def pipe_batch(t: Tables):
 
 @query("st_process", STORE_SQL)
 def st_process(t: Tables):
-    """Each half of the stream repeats ids of the other; none is stored twice."""
-    root = shared_dir(t.spark, "process")
+    """Parts repeat documents of the one before; none is stored twice, also not across the
+    restart."""
+    docs, root = Arriving(t, "documents", "doc_id"), shared_dir(t.spark, "process")
     work = intake.process_to(f"{root}/store", lambda b: b, validate.default_rules(D.MAX_BYTES))
-    run(D.landed_documents(streamed(t)), work, root)
+    run_with_restart(docs, lambda: D.landed_documents(docs), work, root)
     return stored(t, f"{root}/store")
 
 

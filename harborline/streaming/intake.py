@@ -79,6 +79,12 @@ def bounded_dedup(docs: DataFrame, window: str = "1 hour", keys: list[str] = ("i
     return _first_arrivals(docs, list(keys), window)
 
 
+def remembered(spark: SparkSession, checkpoint: str, operator: int = 0) -> DataFrame:
+    """What a stream's stateful operator holds (key, value, partition_id), as its last
+    finished micro-batch left it: read from the checkpoint, without the stream."""
+    return spark.read.format("statestore").option("operatorId", operator).load(checkpoint)
+
+
 def _first_arrivals(rows: DataFrame, keys: list[str], window: str) -> DataFrame:
     """The window runs over arrival, not over a time in the data: a backlog
     read in any order has no late rows, so none is lost."""

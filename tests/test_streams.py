@@ -87,6 +87,26 @@ def test_rows_of_any_time_are_kept(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
 
 
+def test_state_crosses_batches_and_restarts(spark, tmp_path):
+    """One file a micro-batch; the stream ends after two and goes on from its
+    checkpoint; repeats of every earlier batch are dropped and remembered once."""
+    folder, out, checkpoint = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")
+    parts = [["a", "b"], ["b", "c", "a"], ["c", "d", "a", "e"]]
+    stream = lambda: intake.bounded_dedup(intake.read_table(spark, f"{folder}/*", max_files=1).select("id"))
+    for i, ids in enumerate(parts):
+        land(spark, folder, f"p{i}", [(x,) for x in ids], "id string")
+        if i:
+            run(stream(), intake.append_to(out), checkpoint)
+        if i == 1:
+            assert sorted(r.key.id for r in intake.remembered(spark, checkpoint).collect()) == ["a", "b", "c"]
+    got = sorted((r.batch_id, r.id) for r in spark.read.parquet(out).collect())
+    assert [x for _, x in got] == list("abcde") and [b for b, _ in got[:3]] == [0, 0, 1]
+    assert got[3][0] == got[4][0] > 1  # a batch without data may close the first run
+    assert sorted(r.key.id for r in intake.remembered(spark, checkpoint).collect()) == ["a", "b", "c", "d", "e"]
+    run(stream(), intake.append_to(out), checkpoint)  # nothing new, nothing changes
+    assert sorted((r.batch_id, r.id) for r in spark.read.parquet(out).collect()) == got
+
+
 def test_deliveries_without_id_are_known_by_their_body(spark):
     bodies = ['{"repository": {"full_name": "o/r%d"}}' % (i % 3) for i in range(5)]
     rows = spark.createDataFrame([(b, {"X-GitHub-Event": "push", **({"X-GitHub-Delivery": " "} if i else {})})
