@@ -9,6 +9,7 @@ from pyspark.sql import Window as W, Column, DataFrame, functions as F
 
 from harborline.catalog import values as V
 from harborline.schema import TERMINAL_JOB_STATUSES
+from harborline.session import materialize
 
 
 def n_status(status: str, column: str = "status") -> Column:
@@ -59,24 +60,33 @@ def counter_by_labels(observations: DataFrame, labels: list[str],
 
 MARKS = (0.5, 0.95, 0.99)
 _CUTS = 200
+#: Distinct (label, value) pairs up to which one aggregate holds a label's values.
+FEW_VALUES = 200_000
 
 
 def histogram(observations: DataFrame, labels: list[str], value: str = "value",
               accuracy: int | None = None) -> DataFrame:
     """Observation count and p50 / p95 / p99 per label set.
 
-    Exact by default, by ranks: equal observations are counted before the
-    shuffle, each label's values are cut at approximate quantiles, so that a
-    label that owns most values is spread over some 200 groups, and ranks run
-    on from one group to the next.  `accuracy` switches to the mergeable
-    sketch.  Nulls count as observations and have no rank.
+    Exact by default: equal observations are counted before the shuffle.  Few
+    distinct values are ranked by one aggregate.  Of many, each label's are cut at
+    approximate quantiles, so that a label that owns most values is spread over
+    some 200 groups, and ranks run on from one group to the next.  `accuracy`
+    switches to the mergeable sketch.  Nulls count as observations and have no rank.
     """
     if accuracy:
         out = observations.groupBy(*labels).agg(
             F.count("*").alias("observations"),
             F.percentile_approx(value, list(MARKS), accuracy).alias("p"))
         return out.select(*labels, "observations", *[F.col("p")[i].alias(n) for i, n in enumerate(("p50", "p95", "p99"))])
-    counted = observations.groupBy(*labels, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_n"))
+    counted = materialize(observations.groupBy(*labels, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_n")),
+                          "values")
+    if counted.count() <= FEW_VALUES:
+        known = F.when(F.col("_v").isNotNull(), F.col("_n")).otherwise(F.lit(0))
+        out = counted.groupBy(*labels).agg(
+            F.sum("_n").alias("observations"),
+            F.percentile(F.coalesce("_v", F.lit(0.0)), list(MARKS), known).alias("p"))
+        return out.select(*labels, "observations", *[F.col("p")[i].alias(n) for i, n in enumerate(("p50", "p95", "p99"))])
     head = counted.groupBy(*labels).agg(
         F.sum("_n").alias("observations"), F.coalesce(F.sum(F.when(F.col("_v").isNotNull(), F.col("_n"))), F.lit(0)).alias("_all"),
         F.percentile_approx("_v", [i / _CUTS for i in range(1, _CUTS)], 10 * _CUTS).alias("_cuts"))
@@ -103,6 +113,24 @@ def histogram(observations: DataFrame, labels: list[str], value: str = "value",
         between(i, q).alias(n) for i, (q, n) in enumerate(zip(MARKS, ("p50", "p95", "p99")))])
 
 
+def histogram_states(observations: DataFrame, labels: list[str], value: str = "value", k: int = 800) -> DataFrame:
+    """Per label set: how many observations, and a quantile sketch of the values
+    as a column (`state`), to be stored per batch.  A rank is off by about 1 / k of the values,
+    whatever their number; nulls have no rank.  A label that owns most rows is
+    sketched map-side."""
+    return observations.groupBy(*labels).agg(
+        F.count("*").alias("observations"), F.kll_sketch_agg_double(F.col(value).cast("double"), k).alias("state"))
+
+
+def merged_histogram(states: DataFrame, labels: list[str]) -> DataFrame:
+    """Stored `histogram_states` of any batches as one histogram.  The states are
+    merged, the observations aren't read again; labels without values have null marks."""
+    out = states.groupBy(*labels).agg(F.sum("observations").alias("observations"), F.kll_merge_agg_double("state").alias("state"))
+    some = F.kll_sketch_get_n_double("state") > 0
+    return out.select(*labels, "observations", *[
+        F.when(some, F.kll_sketch_get_quantile_double("state", F.lit(q))).alias(n)
+        for q, n in zip(MARKS, ("p50", "p95", "p99"))])
+
 
 def metrics_snapshot(observations: DataFrame, names: list[str]) -> DataFrame:
     """Named counter totals in one row; a metric never counted is 0."""

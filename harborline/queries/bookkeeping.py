@@ -13,6 +13,7 @@ from harborline.operators.dedup import keep_first
 from harborline.plans import batch, route
 from harborline.queries import derive as D
 from harborline.queries.registry import Tables, query
+from harborline.session import shared_dir
 from harborline.session import materialize
 
 # ---------------------------------------------------------------- repository
@@ -379,6 +380,22 @@ def agg_histogram(t: Tables):
                     *[F.round(c, 6).alias(c) for c in ("p50", "p95", "p99")])
 
 
+@query("agg_histogram_states", """SELECT event_type, count(*) AS observations, true AS ok50, true AS ok95, true AS ok99
+FROM events GROUP BY event_type""")
+def agg_histogram_states(t: Tables):
+    """Seven batches leave a state each; the marks of all of them must have ranks
+    within one per cent of those asked for."""
+    path = shared_dir(t.spark, "histogram")
+    batches = t.events.withColumn("batch_id", F.col("event_id") % 7)
+    A.histogram_states(batches, ["batch_id", "event_type"]).write.partitionBy("batch_id").parquet(path)
+    marks = A.merged_histogram(t.spark.read.parquet(path), ["event_type"])
+    rank = lambda c: F.count_if(F.col("value") <= F.col(c)) / F.count("value")
+    below = lambda c: F.count_if(F.col("value") < F.col(c)) / F.count("value")
+    seen = t.events.join(marks, "event_type").groupBy("event_type", "observations").agg(
+        *[((below(c) <= q + 0.01) & (rank(c) >= q - 0.01)).alias(f"ok{c[1:]}") for c, q in zip(("p50", "p95", "p99"), A.MARKS)])
+    return seen
+
+
 _METRIC_OF = {"view": "documents_acquired", "click": "documents_skipped",
               "error": "documents_failed", "signup": "retry_attempts", "purchase": "jobs_completed"}
 

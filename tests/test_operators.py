@@ -251,3 +251,41 @@ def test_histogram_by_ranks(spark):
         assert got[k].observations == sum(n == k for n, _ in rows)
         want = np.quantile(values, [0.5, 0.95, 0.99]) if values else [None] * 3
         assert [got[k].p50, got[k].p95, got[k].p99] == [w if w is None else pytest.approx(w) for w in want]
+
+
+def test_histogram_exact_by_either_way(spark, monkeypatch):
+    import numpy as np
+    from harborline.operators import aggregates as A
+
+    rng = np.random.default_rng(2)
+    rows = [("a", float(v)) for v in rng.integers(0, 40, 700)] + [("b", float(v)) for v in rng.normal(size=300)] + [
+        ("a", None), ("c", None), (None, 3.0)]
+    seen = spark.createDataFrame(rows, "label string, value double")
+    for few in (A.FEW_VALUES, 0):
+        monkeypatch.setattr(A, "FEW_VALUES", few)
+        got = {r.label: r for r in A.histogram(seen, ["label"]).collect()}
+        for label in ("a", "b", "c", None):
+            values = [v for k, v in rows if k == label and v is not None]
+            assert got[label].observations == sum(k == label for k, _ in rows)
+            for q, name in zip(A.MARKS, ("p50", "p95", "p99")):
+                assert got[label][name] is None if not values else abs(got[label][name] - np.quantile(values, q)) < 1e-9
+
+
+def test_merged_histogram_ranks(spark):
+    from harborline.operators import aggregates as A
+
+    seen = spark.range(200_000).selectExpr("cast(sqrt(id) * if(id % 3 = 0, -1, 1) as double) as value", "id % 11 as batch",
+                                           "if(id % 20 = 0, 'b', 'a') as label")
+    parts = [A.histogram_states(seen.where(f"batch = {i}"), ["label"]) for i in range(11)]
+    states = parts[0]
+    for p in parts[1:]:
+        states = states.unionByName(p)
+    states = states.unionByName(A.histogram_states(spark.createDataFrame([("n", None)], "label string, value double"), ["label"]))
+    got = {r.label: r for r in A.merged_histogram(states, ["label"]).collect()}
+    assert got["n"].observations == 1 and got["n"].p50 is None
+    for label in "ab":
+        values = sorted(r.value for r in seen.where(f"label = '{label}'").collect())
+        assert got[label].observations == len(values)
+        for q, name in zip(A.MARKS, ("p50", "p95", "p99")):
+            rank = sum(v <= got[label][name] for v in values) / len(values)
+            assert abs(rank - q) < 0.006
