@@ -53,7 +53,7 @@ def html_to_text(html: Column) -> Column:
 # A storage page as stretches: macros, headings, and what flows between them.
 # Possessive, so that a stretch of any length is read without recursion.
 _STRETCH = (r"(?s)<ac:structured-macro\b.*?</ac:structured-macro>|<h[1-6]\b.*?</h[1-6]>"
-            r"|(?:(?!<ac:structured-macro\b|<h[1-6]\b).)++|.")
+            r"|(?:[^<]++|<(?!ac:structured-macro\b|h[1-6]\b))++|.")
 _LINK = r'<a\s[^>]*?href="([^"]+)"[^>]*>(.*?)</a>'
 _FLOW_TOKEN = rf"(?s){_LINK.replace('(', '(?:').replace('(?:?', '(?')}|<[^>]*>|[^<]++|<"
 _TAG_NAME = r"^</?([A-Za-z][A-Za-z0-9:-]*)"

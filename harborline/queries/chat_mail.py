@@ -156,11 +156,17 @@ def fn_slack_signature(t: Tables):
 # ----------------------------------------------------------------------- mail
 
 
+def urlsafe(text):
+    """Text as unpadded URL-safe base64."""
+    coded = F.regexp_replace(F.base64(F.encode(text, "UTF-8")), r"[\r\n=]+", "")
+    return F.replace(F.replace(coded, F.lit("+"), F.lit("-")), F.lit("/"), F.lit("_"))
+
+
 def mailbox(t: Tables):
     """One message per document: flat, multipart, or nested two levels deep;
     some with attachments, one attachment kind above the size limit."""
     k, s = F.col("doc_id"), lambda c: c.cast("string")
-    b64 = lambda c: F.translate(F.regexp_replace(F.base64(F.encode(c, "UTF-8")), r"[\r\n=]", ""), "+/", "-_")
+    b64 = urlsafe
     text = F.col("text")
     leaf = lambda mime, name, data, size: F.struct(
         F.lit(mime).alias("mimeType"), name.alias("filename"),
@@ -281,7 +287,7 @@ def threaded_mail(t: Tables):
     refs = (F.when((k % 3 == 0) & (j > 0), F.concat(F.lit("<m0@x.test>\r\n "), mid(up)))
             .when((k % 3 == 2) & (k % 2 == 0), F.concat(
                 F.lit("<lost"), F.expr("doc_id div 30"), F.lit("@x.test> <nowhere"), k, F.lit("@x.test>"))))
-    b64 = F.translate(F.regexp_replace(F.base64(F.encode("text", "UTF-8")), r"[\r\n=]", ""), "+/", "-_")
+    b64 = urlsafe(F.col("text"))
     headers = F.array_compact(F.array(*[
         F.when(v.isNotNull(), F.struct(F.lit(n).alias("name"), v.alias("value"))) for n, v in (
             ("Message-ID", F.when(k % 30 != 2, mid(k))), ("In-Reply-To", to), ("References", refs),

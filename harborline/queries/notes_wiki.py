@@ -48,8 +48,10 @@ UNION ALL SELECT 'markdown', doc_id, uri, 'text/markdown', (doc_id % 9 + 1)::VAR
 UNION ALL SELECT 'storage', doc_id, uri, 'text/html', (doc_id % 9 + 1)::VARCHAR, modified,
   kind || '|space:' || space, 'Home/' || lang, NULL FROM w WHERE doc_id % 10 <> 0""")
 def src_wiki_content(t: Tables):
+    rows = materialize(wiki_content(t).drop("payload"), "wiki")
+
     def form(name):
-        docs = wiki.content_documents(wiki_content(t), "https://wiki.test/", "k1", name, seq=F.col("doc_id"))
+        docs = wiki.content_documents(rows, "https://wiki.test/", "k1", name, seq=F.col("doc_id"))
         up = F.from_json("source_metadata", "ancestors array<string>")["ancestors"]
         body = F.col("content").cast("string") if name != "storage" else F.lit(None).cast("string")
         return docs.select(

@@ -13,16 +13,18 @@ from harborline.operators.envelope import envelope
 from harborline.operators.filters import mail_labelled
 from harborline.operators.forest import ascend, lookup
 from harborline.operators.joins import nest, withheld
-from harborline.session import materialize
+from harborline.session import materialize, once
 from harborline.sources.common import KEEP_NULLS, json_doc, meta, tag, text_or
 
 PART = ("struct<mime:string,filename:string,size:bigint,data:string,attachment_id:string,"
         "within_file:boolean>")
 _BODY = "body:struct<data:string,size:bigint,attachmentId:string>"
-_LEAF = f"struct<mimeType:string,filename:string,{_BODY}>"
+# Two levels of parts are parsed; of a third it is only seen that there is one.
+_LEAF = f"struct<mimeType:string,filename:string,{_BODY},parts:array<struct<mimeType:string>>>"
+_NODE = f"struct<mimeType:string,filename:string,{_BODY},parts:array<{_LEAF}>>"
 MESSAGE = ("id string, threadId string, snippet string, internalDate string, "
            "labelIds array<string>, payload struct<mimeType:string,filename:string,"
-           f"headers:array<struct<name:string,value:string>>,{_BODY},parts:array<{_LEAF}>>")
+           f"headers:array<struct<name:string,value:string>>,{_BODY},parts:array<{_NODE}>>")
 
 
 def _walker(max_attachment: int):
@@ -61,17 +63,20 @@ def _flat(node: Column, inside: Column) -> Column:
 
 def parts(message_json: Column, parsed: Column,
           max_attachment: int = V.MAX_ATTACHMENT_BYTES) -> Column:
-    """All MIME parts, depth first.  Messages with at most one level of parts
+    """All MIME parts, depth first.  Messages with at most two levels of parts
     are flattened natively; only deeper trees go to Python."""
-    deep = F.size(F.regexp_extract_all(message_json, F.lit('"parts"'), 0)) > 1
     root = parsed["payload"]
-    hides = (F.length(text_or(root["filename"])) > 0) \
-        & (F.coalesce(root["body"]["size"], F.lit(0)) <= max_attachment)
+    deep = F.coalesce(F.exists(root["parts"], lambda p: F.exists(p["parts"], lambda q: F.size(q["parts"]) > 0)), F.lit(False))
+    hides = lambda node: (F.length(text_or(node["filename"])) > 0) \
+        & (F.coalesce(node["body"]["size"], F.lit(0)) <= max_attachment)
     none = F.array().cast(f"array<{PART}>")
-    flat = F.concat(F.array(_flat(root, F.lit(False))),
-                    F.coalesce(F.transform(root["parts"], lambda p: _flat(p, hides)), none))
+    below = lambda node, inside, child: F.coalesce(F.flatten(F.transform(
+        node["parts"], lambda p: child(p, inside | hides(node)))), none)
+    leaf = lambda p, inside: F.array(_flat(p, inside).cast(PART))
+    branch = lambda p, inside: F.concat(leaf(p, inside), below(p, inside, leaf))
+    flat = F.concat(leaf(root, F.lit(False)), below(root, F.lit(False), branch))
     tree = _walker(max_attachment)(F.when(deep, F.get_json_object(message_json, "$.payload")))
-    return F.when(deep, tree).otherwise(flat.cast(f"array<{PART}>"))
+    return F.when(deep, tree).otherwise(flat)
 
 
 def split_parts(part_list: Column, max_attachment: int = V.MAX_ATTACHMENT_BYTES) -> dict[str, Column]:
@@ -87,7 +92,7 @@ def split_parts(part_list: Column, max_attachment: int = V.MAX_ATTACHMENT_BYTES)
 def with_parts(rows: DataFrame, max_attachment: int = V.MAX_ATTACHMENT_BYTES) -> DataFrame:
     """Adds body_text, body_html, attachments to landed messages (`payload`
     JSON text, `p` parsed)."""
-    split = rows.withColumn("_parts", parts(F.col("payload"), F.col("p"), max_attachment))
+    split = once(rows, "_parts", parts(F.col("payload"), F.col("p"), max_attachment))
     return split.withColumns(split_parts(F.col("_parts"), max_attachment)).drop("_parts")
 
 
