@@ -12,13 +12,14 @@ a(h) is such that the sum over all seen words and one unknown word is exactly
 one.  The one added to c(h) and N keeps some mass to back off with where no
 count is small enough to be discounted.
 
-A token costs one shuffled entry.  Tasks cut their tokens into buckets by the
-word and send each bucket as compressed arrays (word, history, document).  A
-bucket then holds all of c(w) and c(h,w) of its words and all documents that
-ask for them, so it counts and evaluates at once.  What needs other buckets is
-additive: a document's sums, and per history the numbers that make up a(h).
-Words with more than `HOT` of all tokens are split further by history; their
-exact counts, a few hundred at most, are sent to all tasks.
+A token costs one shuffled entry.  Tasks number their documents, cut their tokens
+into buckets by the word and send each bucket as compressed arrays (word, history,
+document's number).  A bucket then holds all of c(w) and c(h,w) of its words and all
+documents that ask for them, so it counts and evaluates at once.  What needs other
+buckets is additive and leaves as compressed arrays, too: a document's sums, to its task's
+group; per history the numbers that make up a(h), and the documents that back off
+from it, to the history's group.  Words with more than `HOT` of all tokens are split
+further by history; their exact counts, a few hundred at most, are sent to all tasks.
 
 The model is written as tables partitioned by kind (unigram, bigram, history).
 Words are 64-bit hashes: two of a billion words meet with probability 0.03.
@@ -44,6 +45,8 @@ END, START = np.uint64(1), np.uint64(2)
 #: Text bytes whose tokens make a bucket, about, and tokens that are cut into buckets at a time.
 BUCKET_BYTES = 8 << 20
 FLUSH = 1_500_000
+#: Buckets whose histories make a group.
+HISTORY_BUCKETS = 8
 #: Share of tokens from which a word is split, and how many ways; estimated on one document of `SAMPLED`.
 HOT, WAYS, SAMPLED = 0.002, 64, 16
 
@@ -103,34 +106,42 @@ def _coded(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.diff(values, prepend=_U(0)), number.astype(small)
 
 
+def _small(x: np.ndarray) -> np.ndarray:
+    """Whole numbers from 0 on in as few bytes each as the largest needs."""
+    most = int(x.max()) if len(x) else 0
+    return x.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32 if most < 1 << 32 else np.uint64)
+
+
 def _cut(buckets: int, hot: np.ndarray):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size, flushes = [], 0, 0
 
-        def flush():
-            w, h, doc, keys, train = (np.concatenate(x) for x in (
-                [r[0] for r in held], [r[1] for r in held],
-                [r[2] + sum(len(q[3]) for q in held[:i]) for i, r in enumerate(held)],
-                [r[3] for r in held], [r[4] for r in held]))
+        def flush(task: int):
+            w, h, keys, train = (np.concatenate([r[i] for r in held]) for i in (0, 1, 3, 4))
+            base = np.concatenate(([0], np.cumsum([len(r[3]) for r in held])))
+            doc = np.concatenate([r[2] + base[i] for i, r in enumerate(held)])
+            name = (task << 24) + flushes
             part = _part(w, h, buckets, hot)
             order = np.argsort(part, kind="stable")
             edges = np.searchsorted(part[order], np.arange(buckets + 1))
-            rows = []
+            # who the documents are goes to a group of its own
+            rows = [(-1 - name, name, _pack(keys, train))]
+            learn = np.packbits(train)
             for b in range(buckets):
                 at = order[edges[b]:edges[b + 1]]
                 if len(at):
                     at = at[np.argsort(w[at], kind="stable")]
                     wv, wn = _coded(w[at])
                     hv, hn = _coded(h[at])
-                    own, dn = np.unique(doc[at], return_inverse=True)
-                    runs = np.bincount(wn).astype(np.uint32)
-                    dn = dn.astype(np.uint16 if len(own) <= 1 << 16 else np.uint32)
-                    rows.append((b, _pack(wv, runs, hv, hn, dn, keys[own], train[own])))
+                    runs = _small(np.bincount(wn))
+                    rows.append((b, name, _pack(wv, runs, hv, hn, _small(doc[at]), learn, _small(np.array([len(keys)])))))
             return pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())],
-                ["bucket", "data"])
+                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
+                 pa.array([r[2] for r in rows], pa.binary())], ["bucket", "flush", "data"])
 
+        task = 0
         for batch in batches:
+            task = batch.column("task")[0].as_py() if batch.num_rows else task
             texts = texts_of(batch.column("body"))
             keys = batch.column("key").to_numpy(zero_copy_only=False)
             train = batch.column("train").to_numpy(zero_copy_only=False).astype(np.uint8)
@@ -139,66 +150,47 @@ def _cut(buckets: int, hot: np.ndarray):
                 held.append((w, h, np.repeat(np.arange(hi - lo), counts), keys[lo:hi], train[lo:hi]))
                 size += len(w)
                 if size >= FLUSH:
-                    yield flush()
-                    held, size = [], 0
+                    yield flush(task)
+                    held, size, flushes = [], 0, flushes + 1
         if held:
-            yield flush()
+            yield flush(task)
     return cut
 
 
-_OUT = "kind string, key long, a long, b long, c long, d long, e long, x double, y double, data binary"
+_OUT = "kind string, key long, n long, data binary"
+#: What a document's sums, and the numbers of a history, are packed as.
+_SUMS = ["u"] * (4 + 2 * K) + ["f", "f"]
+_HISTORY = ["u"] * (2 + 2 * K)
 
 
-def _bits(fields: list[np.ndarray]) -> np.ndarray:
-    """Five whole numbers below 4096 in one long."""
-    out = np.zeros(len(fields[0]), np.int64)
-    for i, f in enumerate(fields):
-        out |= f.astype(np.int64) << (12 * i)
-    return out
+def _classes(count: np.ndarray, group: np.ndarray, n: int) -> list[np.ndarray]:
+    """Per group, how many have count 1, 2, ..., K."""
+    return [np.bincount(group[count == r], minlength=n) for r in range(1, K + 1)]
 
 
-def _rows(kind: str, key, a=None, b=None, c=None, x=None, y=None, d=None, e=None, data=None) -> pa.Table:
-    n = len(key)
-    whole, real = pa.repeat(pa.scalar(0, pa.int64()), n), pa.repeat(pa.scalar(0.0), n)
-    given = lambda v, none, t: none if v is None else pa.array(v, t)
-    return pa.table({
-        "kind": pa.repeat(pa.scalar(kind), n), "key": pa.array(key, pa.int64()),
-        **{name: given(v, whole, pa.int64()) for name, v in zip("abcde", (a, b, c, d, e))},
-        "x": given(x, real, pa.float64()), "y": given(y, real, pa.float64()),
-        "data": pa.array([data] * n, pa.binary()) if data is not None else pa.nulls(n, pa.binary())})
+def _count(hot: np.ndarray, hot_counts: np.ndarray, groups: int):
+    def count(table: pa.Table) -> pa.Table:
+        bucket, out = table.column("bucket")[0].as_py(), []
 
+        def row(kind: str, key: int, n: int = 0, data: bytes | None = None) -> None:
+            out.append((kind, int(key), int(n), data))
 
-def _split_rows(kind: str, key, fields_a, fields_b, c, d, e, x, y) -> pa.Table:
-    """Rows with their packed fields; what is over 4095 goes to further rows,
-    as everything is summed later."""
-    out = []
-    while len(key):
-        low_a, low_b = ([np.minimum(f, 4095) for f in g] for g in (fields_a, fields_b))
-        out.append(_rows(kind, key, _bits(low_a), _bits(low_b), c, x, y, d, e))
-        fields_a, fields_b = ([f - g for f, g in zip(p, q)] for p, q in ((fields_a, low_a), (fields_b, low_b)))
-        more = sum([*fields_a, *fields_b]) > 0
-        key = key[more]
-        c = d = e = np.zeros(len(key), np.int64)
-        x = y = np.zeros(len(key))
-        fields_a, fields_b = [f[more] for f in fields_a], [f[more] for f in fields_b]
-    return pa.concat_tables(out) if out else _rows(kind, np.zeros(0, np.int64))
-
-
-def _classes(count: np.ndarray, group: np.ndarray, n: int, weight=None) -> list[np.ndarray]:
-    """Per group, how many have count 1, 2, ..., K."""
-    return [np.bincount(group[count == r], weights=None if weight is None else weight[count == r],
-                        minlength=n).astype(np.int64) for r in range(1, K + 1)]
-
+        if bucket < 0:
+            row("docs", table.column("flush")[0].as_py(), 0, table.column("data")[0].as_py())
+        else:
+            evaluate(table, bucket, row)
+        return pa.table({name: pa.array(c, t) for name, c, t in zip(
+            ("kind", "key", "n", "data"), zip(*out), (pa.string(), pa.int64(), pa.int64(), pa.binary()))})
 
-def _count(hot: np.ndarray, hot_counts: np.ndarray):
-    def count(table: pa.Table) -> pa.Table:
-        parts, base, bucket = [], 0, table.column("bucket")[0].as_py()
+    def evaluate(table: pa.Table, bucket: int, row) -> None:
+        parts, base, flushes = [], [0], table.column("flush").to_pylist()
         for data in table.column("data").to_pylist():
-            wv, runs, hv, hn, dn, keys, train = _unpack(data, ["u", "u", "u", "u", "u", "i", "u"])
+            wv, runs, hv, hn, dn, learn, docs = _unpack(data, ["u"] * 7)
             w = np.repeat(np.cumsum(wv, dtype=np.uint64), runs)
-            parts.append((w, np.cumsum(hv, dtype=np.uint64)[hn], dn.astype(np.int32) + np.int32(base), keys, train))
-            base += len(keys)
-        w, h, doc, keys, train = (np.concatenate(x) for x in zip(*parts))
+            parts.append((w, np.cumsum(hv, dtype=np.uint64)[hn], dn.astype(np.int64) + base[-1],
+                          np.unpackbits(learn, count=int(docs[0]))))
+            base.append(base[-1] + int(docs[0]))
+        w, h, doc, train = (np.concatenate(x) for x in zip(*parts))
         del parts
         order = np.lexsort((h, w))
         w, h, doc = w[order], h[order], doc[order]
@@ -216,46 +208,124 @@ def _count(hot: np.ndarray, hot_counts: np.ndarray):
         c_hw = np.add.reduceat(learn, first)
         of_w, of = np.cumsum(new_w) - 1, np.cumsum(new) - 1
         cw, chw = c_w[of_w], c_hw[of]
-        m = len(keys)
+        m = base[-1]
         seen = chw > 0
-        # documents
-        unseen_known = ~seen & (cw > 0)
+        # documents: classes of the counts that are discounted, what is summed as it is
         log_cw1 = np.log10(cw + 1.0)
         x = np.where(seen & (chw > K), np.log10(np.maximum(chw, 1)), 0.0)
-        x -= np.where(w != END, log_cw1, 0.0)
-        x += np.where(unseen_known & (cw > K), np.log10(np.maximum(cw, 1)), 0.0)
-        docs = _split_rows(
-            "document", keys, _classes(chw, doc, m), _classes(np.where(seen, 0, cw), doc, m),
-            *(np.bincount(doc[part], minlength=m) for part in (slice(None), cw > 0, ~seen)),
-            np.bincount(doc, weights=x, minlength=m), np.bincount(doc, weights=log_cw1, minlength=m))
-        # events: tokens that back off, of known histories or not
-        out = [docs]
+        x += np.where(w == END, log_cw1, 0.0) + np.where(~seen & (cw > K), np.log10(np.maximum(cw, 1)), 0.0)
+        fields = [np.bincount(doc, minlength=m), np.bincount(doc[cw > 0], minlength=m), np.bincount(doc[~seen], minlength=m),
+                  *_classes(chw, doc, m), *_classes(np.where(seen, 0, cw), doc, m),
+                  np.bincount(doc, weights=x, minlength=m), np.bincount(doc, weights=log_cw1, minlength=m)]
+        for i, flush in enumerate(flushes):
+            cut = [f[base[i]:base[i + 1]] for f in fields]
+            met = np.flatnonzero(cut[0])
+            row("sums", flush, 0, _pack(_small(np.diff(met, prepend=0)), *[
+                f[met] if f.dtype.kind == "f" else _small(f[met]) for f in cut]))
+        # tokens that back off, of known histories or not, to the history's group
         off = np.flatnonzero(~seen)
-        out.append(_rows("event", keys[doc[off]], h[off].view(np.int64), c=np.ones(len(off), np.int64)))
+        place = mix(h[off]) % _U(groups)
+        for g in np.unique(place).tolist():
+            at = off[place == g]
+            at = at[np.argsort(h[at], kind="stable")]
+            hv, hn = _coded(h[at])
+            source = np.searchsorted(base, doc[at], side="right") - 1
+            row("event", g, 0, _pack(hv, _small(np.bincount(hn)), np.array(flushes, np.uint64), _small(source),
+                                     _small(doc[at] - np.array(base)[source])))
         # unigrams
         mine = (c_w > 0) & ~is_hot
-        out.append(_rows("unigram", w[first_w][mine].view(np.int64), c_w[mine]))
+        row("unigram", bucket, c_w[mine].sum(), _pack(np.diff(w[first_w][mine], prepend=_U(0)), _small(c_w[mine])))
+        numbers = np.bincount(np.minimum(c_w[mine], K + 2), minlength=K + 3)
+        for r in range(1, K + 3):
+            row("words", r, numbers[r])
         # histories: numbers of followers by their counts, and by the followers' own counts
         kept = np.flatnonzero(c_hw > 0)
         if len(kept):
-            hist, number = np.unique(h[first][kept], return_inverse=True)
-            n, own, follower = len(hist), c_hw[kept], c_w[of_w[first]][kept]
-            out.append(_split_rows(
-                "history", hist.view(np.int64), _classes(own, number, n), _classes(follower, number, n),
-                np.bincount(number, weights=np.where(follower > K, follower, 0), minlength=n).astype(np.int64),
-                np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), np.zeros(n)))
+            own, follower, hist = c_hw[kept], c_w[of_w[first]][kept], h[first][kept]
+            order = np.lexsort((hist, mix(hist) % _U(groups)))
+            own, follower, hist = own[order], follower[order], hist[order]
+            start = np.flatnonzero(np.concatenate(([True], hist[1:] != hist[:-1])))
+            number = np.cumsum(np.concatenate(([False], hist[1:] != hist[:-1])))
+            hist, n = hist[start], len(start)
+            fields = [*_classes(own, number, n), *_classes(follower, number, n),
+                      np.bincount(number, weights=np.where(follower > K, follower, 0), minlength=n).astype(np.int64)]
+            place = (mix(hist) % _U(groups)).astype(np.int64)
+            edges = np.searchsorted(place, np.arange(groups + 1))
+            for g in range(groups):
+                cut = slice(edges[g], edges[g + 1])
+                if edges[g + 1] > edges[g]:
+                    row("history", g, 0, _pack(np.diff(hist[cut], prepend=_U(0)), *[_small(f[cut]) for f in fields]))
             # the bigram table: words, how many histories each has, histories, counts
-            ww = w[first][kept]
+            own, ww = c_hw[kept], w[first][kept]
             runs = np.diff(np.append(np.flatnonzero(np.concatenate(([True], ww[1:] != ww[:-1]))), len(ww)))
-            out.append(_rows("bigram", np.array([bucket]), np.array([len(kept)]), data=_pack(
-                np.unique(ww), runs.astype(np.uint32), h[first][kept], own.astype(np.uint32))))
-            r = np.minimum(own, K + 2)
-            counts = np.bincount(r, minlength=K + 3)[1:K + 2]
-            out.append(_rows("bigram_counts", np.arange(1, K + 2), counts))
-        return pa.concat_tables(out)
+            row("bigram", bucket, len(kept), _pack(np.unique(ww), _small(runs), h[first][kept], _small(own)))
+            numbers = np.bincount(np.minimum(own, K + 2), minlength=K + 3)
+            for r in range(1, K + 2):
+                row("bigrams", r, numbers[r])
     return count
 
 
+def _summed(keys: np.ndarray, values: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Distinct keys and the sums of each array over them."""
+    distinct, number = np.unique(keys, return_inverse=True)
+    return distinct, [np.bincount(number, weights=v, minlength=len(distinct)) for v in values]
+
+
+def _back(d1: list[float], d2: list[float], total: int):
+    """Of one group of histories: log10 a(h) (c(h) + 1), summed over the tokens of a
+    document that back off from them."""
+    def back(table: pa.Table) -> pa.Table:
+        met, asked = [], []
+        for kind, data in zip(table.column("kind").to_pylist(), table.column("data").to_pylist()):
+            if kind == "history":
+                x = _unpack(data, _HISTORY)
+                met.append((np.cumsum(x[0], dtype=np.uint64), *[f.astype(np.int64) for f in x[1:]]))
+            else:
+                hv, runs, flushes, source, doc = _unpack(data, ["u"] * 5)
+                asked.append((np.repeat(np.cumsum(hv, dtype=np.uint64), runs), flushes[source].astype(np.int64), doc.astype(np.int64)))
+        out = []
+        if asked:
+            h, flush, doc = (np.concatenate(x) for x in zip(*asked))
+            weight = np.zeros(len(h))
+            if met:
+                hist, f = _summed(np.concatenate([m[0] for m in met]), [np.concatenate([m[i] for m in met]) for i in range(1, len(met[0]))])
+                left = 1.0 + sum((1 - d2[i]) * (i + 1) * f[i] for i in range(K))
+                under = f[2 * K] + sum(d1[i] * (i + 1) * f[K + i] for i in range(K))
+                at = np.minimum(np.searchsorted(hist, h), len(hist) - 1)
+                weight = np.where(hist[at] == h, np.log10(left / (1 - under / (total + 1)))[at], 0.0)
+            for name in np.unique(flush).tolist():
+                own, (sums,) = _summed(doc[flush == name], [weight[flush == name]])
+                out.append((name, _pack(_small(np.diff(own, prepend=0)), sums)))
+        return pa.table({"kind": pa.array(["back"] * len(out), pa.string()), "key": pa.array([o[0] for o in out], pa.int64()),
+                         "data": pa.array([o[1] for o in out], pa.binary())})
+    return back
+
+
+def _gathered(table: pa.Table) -> pa.Table:
+    """Of one task's documents: key, whether learnt from, and their sums."""
+    parts = list(zip(table.column("kind").to_pylist(), table.column("data").to_pylist()))
+    keys, train = next(_unpack(d, ["i", "u"]) for k, d in parts if k == "docs")
+    sums = np.zeros((len(_SUMS), len(keys)))  # the last one for what is added by backing off
+    for kind, data in parts:
+        if kind == "docs":
+            continue
+        x = _unpack(data, _SUMS if kind == "sums" else ["u", "f"])
+        at = np.cumsum(x[0].astype(np.int64))
+        if kind == "sums":
+            for i, f in enumerate(x[1:]):
+                sums[i][at] += f
+        else:
+            sums[-1][at] += x[1]
+    names = ["n_tokens", "n_known", "n_off", *[f"s{i}" for i in range(K)], *[f"u{i}" for i in range(K)]]
+    return pa.table({"key": pa.array(keys, pa.int64()), "train": pa.array(train.astype(bool)),
+                     **{n: pa.array(sums[i].astype(np.int64)) for i, n in enumerate(names)},
+                     "x": pa.array(sums[-3]), "y": pa.array(sums[-2]), "back": pa.array(sums[-1])})
+
+
+_GATHERED = ("key long, train boolean, n_tokens long, n_known long, n_off long, "
+             + ", ".join(f"{c}{i} long" for c in "su" for i in range(K)) + ", x double, y double, back double")
+
+
 def discounts(n: dict[int, int]) -> list[float]:
     """Good-Turing discounts of counts 1 to K from the numbers of types with
     each count; 1 where those numbers give none."""
@@ -270,10 +340,6 @@ def discounts(n: dict[int, int]) -> list[float]:
     return out
 
 
-def _field(column: str, i: int) -> Column:
-    return F.shiftright(F.col(column), 12 * i).bitwiseAND(F.lit(4095))
-
-
 def _hot_words(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Words with more than `HOT` of the tokens of a sample, and their exact
     training counts."""
@@ -336,62 +402,45 @@ def scored(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id", text_co
     size = rows.agg(F.coalesce(F.sum(F.octet_length("body")), F.lit(0)), F.sum(F.col("train").cast("long"))).first()
     buckets = max(1, -(-size[0] // bucket_bytes))
     hot, hot_counts = _hot_words(rows)
+    groups = -(-buckets // HISTORY_BUCKETS)
     model = shared_dir(spark, "katz")
-    cut = rows.select("body", "key", "train").mapInArrow(_cut(buckets, hot), "bucket int, data binary")
+    cut = rows.select("body", "key", "train", F.spark_partition_id().alias("task")).mapInArrow(
+        _cut(buckets, hot), "bucket long, flush long, data binary")
     # The tokens' shuffle files go as soon as the tables are written, not when the driver collects garbage.
     kept = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:
-        cut.groupBy("bucket").applyInArrow(_count(hot, hot_counts), _OUT) \
+        cut.groupBy("bucket").applyInArrow(_count(hot, hot_counts, groups), _OUT) \
             .write.partitionBy("kind").parquet(model)
     finally:
         spark.conf.set(_CLEANUP, kept)
     # every kind may be missing if there is nothing of it
     stored = spark.read.schema(_OUT).parquet(model)
 
-    def kind(name: str) -> DataFrame:
-        return stored.where(F.col("kind") == name)
-
-    n = {r.r: r.n for r in kind("unigram").groupBy(F.least("a", F.lit(K + 2)).alias("r"))
-         .agg(F.count("*").alias("n")).collect()}
-    sums = kind("unigram").agg(F.sum("a")).first()[0] or 0
-    total = int(sums) + int(hot_counts.sum())
-    types = sum(n.values()) + len(hot)
-    d1 = discounts(n)
-    n2 = {r.key: r.n for r in kind("bigram_counts").groupBy("key").agg(F.sum("a").alias("n")).collect()}
-    d2 = discounts(n2)
+    def kind(*names: str) -> DataFrame:
+        return stored.where(F.col("kind").isin(*names))
+
+    n, n2 = ({r.key: r.n for r in kind(name).groupBy("key").agg(F.sum("n").alias("n")).collect()} for name in ("words", "bigrams"))
+    for c in hot_counts.tolist():  # counted apart
+        n[min(c, K + 2)] = n.get(min(c, K + 2), 0) + 1
+    total = int(kind("unigram").agg(F.sum("n")).first()[0] or 0) + int(hot_counts.sum())
+    types = sum(n.values())
+    d1, d2 = discounts(n), discounts(n2)
     lost = 1 + sum((1 - d) * r * n.get(r, 0) for r, d in enumerate(d1, 1))  # of N + 1, for the unknown word
-    # log10 a(h) (c(h) + 1), from sums per history
-    history = kind("history").groupBy(F.col("key").alias("a")).agg(
-        *[F.sum(_field("a", i)).alias(f"n{i}") for i in range(K)],
-        *[F.sum(_field("b", i)).alias(f"m{i}") for i in range(K)], F.sum("c").alias("more"))
-    left = F.lit(1.0)
-    met = F.col("more").cast("double")
-    for i in range(K):
-        left = left + F.col(f"n{i}") * ((1 - d2[i]) * (i + 1))
-        met = met + F.col(f"m{i}") * (d1[i] * (i + 1))
-    history = history.select("a", F.log10(left / (1 - met / (total + 1))).alias("back"))
-    off = kind("event").groupBy("key", "a").agg(F.sum("c").alias("n")).join(history, "a") \
-        .groupBy("key").agg(F.sum(F.col("n") * F.col("back")).alias("back"))
-    doc = kind("document").groupBy("key").agg(
-        *[F.sum(_field("a", i)).alias(f"s{i}") for i in range(K)],
-        *[F.sum(_field("b", i)).alias(f"u{i}") for i in range(K)],
-        F.sum("c").alias("n_tokens"), F.sum("d").alias("n_known"), F.sum("e").alias("n_off"),
-        F.sum("x").alias("x"), F.sum("y").alias("y"))
+    off = kind("history", "event").select("kind", "key", "data").groupBy("key").applyInArrow(
+        _back(d1, d2, total), "kind string, key long, data binary")
+    doc = kind("docs", "sums").select("kind", "key", "data").unionByName(off).groupBy("key").applyInArrow(_gathered, _GATHERED)
+    # log10(c(h) + 1) of a token's history is that of the token before it, the end's aside
     unknown = F.col("n_tokens") - F.col("n_known")
-    score = F.col("x") + F.coalesce("back", F.lit(0.0)) - F.col("n_off") * math.log10(total + 1) \
-        + unknown * math.log10(lost)
+    score = F.col("x") - F.col("y") + F.col("back") - F.col("n_off") * math.log10(total + 1) + unknown * math.log10(lost)
     for i in range(K):
         score = score + F.col(f"s{i}") * math.log10(d2[i] * (i + 1)) + F.col(f"u{i}") * math.log10(d1[i] * (i + 1))
-    doc = doc.join(off, "key", "left").select(
-        "key", "n_tokens", "n_known",
-        (F.col("y") - F.col("n_tokens") * math.log10(total + types + 1)).alias("base"), score.alias("score"))
-    # sums of equal rows were added up; each row gets its share, and the start's own count
-    named = rows.select("id", "key", (~F.col("train")).alias("held_out"))
-    times = rows.groupBy("key").agg(F.count("*").alias("times"))
+    doc = doc.select("key", "n_tokens", "n_known",
+                     (F.col("y") - F.col("n_tokens") * math.log10(total + types + 1)).alias("base"), score.alias("score"))
+    # rows equal in id and text have equal sums
+    doc = doc.groupBy("key").agg(*[F.first(c).alias(c) for c in doc.columns[1:]])
     start = math.log10((size[1] or 0) + 1)
-    return named.join(doc.join(times, "key"), "key").select(
-        F.col("id").alias(id_col), "held_out",
-        F.expr("n_tokens div times").alias("n_tokens"), F.expr("n_known div times").alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"), (F.col("base") / F.col("times")).alias("base_score"),
-        (F.col("score") / F.col("times") - start).alias("score"))
+    named = rows.select("id", "key", (~F.col("train")).alias("held_out"))
+    return named.join(doc, "key").select(
+        F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
+        F.col("base").alias("base_score"), (F.col("score") - start).alias("score"))
