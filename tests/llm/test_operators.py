@@ -416,3 +416,35 @@ def test_quality_rules_tell_junk(spark):
     clean = {r.doc_id for r in got if r.likeness >= 0}
     assert {r.doc_id for r in got if r.doc_id % 4 and not r.base_failed} <= clean
     assert not {i for i in clean if i % 4 == 0}
+
+
+def test_katz_sums_to_one_with_rare_hot_words(spark, monkeypatch):
+    """Words are hot from one occurrence in five hundred on, of few documents; their counts
+    up to five take part in the discounts like any other's."""
+    rng = np.random.default_rng(11)
+    rows = [(i, " ".join(f"w{int(x)}" for x in rng.zipf(1.6, 12) if x < 60)) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    held = F.col("doc_id") % 6 == 0
+    got = {}
+    for hot, sampled in ((0.002, 1), (2.0, 16)):
+        monkeypatch.setattr(katz, "HOT", hot)
+        monkeypatch.setattr(katz, "SAMPLED", sampled)
+        got[hot] = {r.doc_id: r for r in katz.scored(docs, held, bucket_bytes=300).collect()}
+    for i, r in got[2.0].items():
+        o = got[0.002][i]
+        assert r[:5] == o[:5] and math.isclose(r.score, o.score, rel_tol=1e-12) and math.isclose(r.base_score, o.base_score, rel_tol=1e-12)
+    numbers = Counter(Counter(w for i, t in rows if i % 6 for w in [*t.split(), "</s>"]).values())
+    assert any(d < 1 for d in katz.discounts(numbers))
+
+
+def test_decontamination_of_many_copies_of_an_item(spark):
+    """Five thousand items with the same text: one set of patterns, each hit once."""
+    import time
+
+    item = " ".join(f"q{i}" for i in range(60))
+    start = time.time()
+    machine = decontaminate._Machine([(str(i), item.encode()) for i in range(5000)] + [("x", b"q1 q2 q3")], 13)
+    n, items, runs = machine.find((" ".join(["pad", item] * 40)).encode())
+    assert time.time() - start < 5
+    assert len(machine.lengths) == 49 and n == 61 * 40 and len(items) == 5001
+    assert runs == [(61 * i + 1, 61 * i + 60) for i in range(40)]
