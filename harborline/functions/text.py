@@ -1,36 +1,10 @@
-"""Markup to text.
-
-HTML needs a real tokenizer (comments, raw script text, character references),
-so it runs as an Arrow UDF over the standard library's parser.  Input without
-any of these is split natively and never leaves the JVM.
-"""
+"""Markup to text, in built-in functions only."""
 
 from __future__ import annotations
 
-from html.parser import HTMLParser
-
-import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
-
-# Anything here makes tag-splitting differ from real tokenizing: references,
-# comments/declarations, raw-text elements, '>' inside a quoted attribute, a
-# stray '<' or '>', an attribute-less '<' at the end.
-_NEEDS_PARSER = (r"""(?i)&|<[!?]|<(script|style|textarea|title)\b|<[^>]*["'][^"'>]*>[^"']*["']"""
-                 r"""|<(?![a-z/])|</(?![a-z])|<[^>]*$|<[^>]*<""")
-
-
-def text_nodes(html: str) -> str:
-    parts: list[str] = []
-    parser = HTMLParser()
-    parser.handle_data = parts.append
-    parser.feed(html)
-    return "\n".join(filter(None, map(str.strip, parts)))
-
-
-@F.pandas_udf(T.StringType())
-def _parsed_text(html: pd.Series) -> pd.Series:
-    return html.map(text_nodes, na_action="ignore")
+from html.entities import html5
 
+from pyspark.sql import Column, functions as F
 
 # Characters Python's strip() removes that trim() would leave.
 _EDGE_SPACE = r"^[\s\x1c-\x1f\x85\p{Z}]+|[\s\x1c-\x1f\x85\p{Z}]+$"
@@ -41,13 +15,77 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, _EDGE_SPACE, "")
 
 
+# A page as tokens.  A quote opens a value only behind an equals sign.  All loops are
+# possessive or lazy over single characters, so a token of any length needs no recursion.
+_ATTRIBUTES = r"""[^>"'=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+'|(?!["']))[^>"'=]*+|["'][^>"'=]*+)*+"""
+_RAW = rf"<(?i:script|style)(?=[\s/>]){_ATTRIBUTES}(?<!/)>"
+_TOKEN = "|".join((
+    r"<!--[\s\S]*?--\s*+>", r"<!--[\s\S]*+",
+    r"<!\[(?i:cdata|temp|ignore|include|rcdata)\[[\s\S]*?\]\s*+\]\s*+>",
+    rf"(?=<[sS](?i:cript|tyle)[\s/>])(?:<(?i:script)(?=[\s/>]){_ATTRIBUTES}(?<!/)>[\s\S]*?</\s*+(?i:script)\s*+>"
+    rf"|<(?i:style)(?=[\s/>]){_ATTRIBUTES}(?<!/)>[\s\S]*?</\s*+(?i:style)\s*+>)",
+    rf"{_RAW}[\s\S]*+", rf"<[a-zA-Z]{_ATTRIBUTES}>", r"<[/!?][^>]*+>",
+    r"<[a-zA-Z/!?][\s\S]*+", r"[^<]++", "<"))
+_INSIDE = rf"^{_RAW}([\s\S]*)</[^<]*$"
+
+# References, the common ones first, as a map is searched from its beginning.
+_COMMON = ("amp;", "lt;", "gt;", "quot;", "nbsp;", "copy;", "middot;", "apos;", "hellip;", "mdash;", "ndash;", "amp")
+_NAMED = {n: html5[n] for n in (*_COMMON, *sorted(html5))}
+_BARE = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True))
+_REFERENCE = r"&(?:#[0-9]++;?+|#[xX][0-9a-fA-F]++;?+|[^\t\n\f <&#;]{1,32}+;?+)"
+#: Numbers of a Windows code page, taken for what was meant.
+_MEANT = {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}
+
+
+def _numbered(name: Column) -> Column:
+    """Character of a numeric reference (without ampersand)."""
+    digits = F.regexp_replace(F.regexp_extract(name, "^#[xX]?([0-9a-fA-F]+)", 1), "^0+(?=.)", "")
+    digits = F.substring(digits, 1, 9)  # nine are too many for any character
+    code = F.when(F.lower(F.substring(name, 2, 1)) == "x", F.conv(digits, 16, 10)).otherwise(digits)
+    n = code.cast("bigint")
+    plane = n.bitwiseAND(0xFFFE) == 0xFFFE
+    meant = F.try_element_at(F.create_map(*[F.lit(x) for kv in _MEANT.items() for x in kv]), n.cast("int"))
+    return (F.when((n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), "\ufffd").when(n.between(0x80, 0x9F), meant)
+            .when(n.between(1, 8) | (n == 11) | n.between(14, 31) | (n == 127) | n.between(0xFDD0, 0xFDEF) | plane, "")
+            .otherwise(F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")))
+
+
+def unescape(text: Column) -> Column:
+    """Text with its character references decoded, as browsers do: also some names
+    that lack their semicolon."""
+    names = F.create_map(*[F.lit(x) for kv in _NAMED.items() for x in kv])
+
+    def value(reference: Column) -> Column:
+        name = F.substring(reference, 2, 40)
+        bare = F.regexp_extract(name, f"^(?:{_BARE})", 0)
+        return (F.when(F.startswith(name, F.lit("#")), _numbered(F.substring(reference, 2, 1 << 30)))
+                .otherwise(F.coalesce(F.try_element_at(names, name), F.when(bare != "", F.concat(
+                    F.try_element_at(names, bare), F.regexp_replace(name, f"^(?:{_BARE})", ""))), reference)))
+
+    found = F.transform(F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0)), value)
+    whole = F.array_join(F.zip_with(F.split(text, _REFERENCE, -1), F.concat(found, F.array(F.lit(""))), lambda gap, x: F.concat(gap, x)), "")
+    return F.when(F.contains(text, F.lit("&")), whole).otherwise(text)
+
+
 def html_to_text(html: Column) -> Column:
-    """Text nodes, stripped, blanks dropped, one per line."""
-    hard = html.rlike(_NEEDS_PARSER)
-    pieces = F.transform(F.split(html, r"<[^>]*>"), strip)
-    native = F.array_join(F.filter(pieces, lambda p: p != ""), "\n")
-    # The UDF sees null for rows the native path answers.
-    return F.when(hard, _parsed_text(F.when(hard, html))).otherwise(native)
+    """Text nodes, stripped, blanks dropped, one per line.
+
+    Scripts and styles are text as they stand.  What is cut off at the end -- a tag, a
+    comment, a script, a text that ends within a reference -- isn't there.
+    """
+    def text_of(token: Column) -> Column:
+        raw = F.regexp_extract(token, _INSIDE, 1)
+        return (F.when(~F.startswith(token, F.lit("<")) | (token == "<"), strip(unescape(token)))
+                .when(token.rlike(rf"^{_RAW}"), strip(raw)).otherwise(F.lit("")))
+
+    def closed(tokens: Column) -> Column:
+        end = F.try_element_at(tokens, F.lit(-1))
+        open_ = (end == "<") | (~F.startswith(end, F.lit("<")) & end.rlike(r"&[^\s;&]{0,33}\z"))
+        return F.when(open_, F.slice(tokens, F.lit(1), F.size(tokens) - 1)).otherwise(tokens)
+
+    # the one-element array has the tokens cut once
+    tokens = F.get(F.transform(F.array(F.regexp_extract_all(html, F.lit(_TOKEN), F.lit(0))), closed), 0)
+    return F.array_join(F.filter(F.transform(tokens, text_of), lambda p: p != ""), "\n")
 
 
 # A storage page as stretches: macros, headings, and what flows between them.

@@ -123,6 +123,30 @@ HTML = ["", "plain", "<p>a</p><p> b </p>", "a &amp; b &lt;c&gt;", "<script>if (a
         "<ul><li>1</li><li>2</li></ul>", "a</ b>c", "<P CLASS='x'>Q</P>", "l1\nl2 <b>z</b>\r\n"]
 
 
+def test_html_to_text_of_random_markup(spark):
+    import random
+    from html.parser import HTMLParser
+
+    rng = random.Random(4)
+    bits = ["text ", " é\n", "<p>", "</p>", "<br/>", "<a href='x>y' b=\"1>2\">", "<a b='>", "<", " < ", "a<b ", "&amp;", "&amp", "&copyright;", "&nosuch;",
+            "&#65;", "&#x1F600;", "&#150", "&#0;", "&#xD800;", "&#1;", "&#99999999999;", "&notit;", "&NotEqualTilde;", "& ", "&", "<!-- c > -->", "<!doctype html>",
+            "<![CDATA[x > y]]>", "<?pi x?>", "</>", "</ p>", "<script>if (a<b) '&amp;'</script>", "<STYLE type='a'>p > a {}</Style >", "<script/>", "<scripted>",
+            "<p class=x'y>", "<p a = 'b'c=\"d\">", ";", "&lt;i&gt;", "\u00a0", "<title>T &amp; U</title>"]
+    tails = ["", "", "&am", "&amp", "<p", "<!-- open", "<script>open <b>", "x & y", "<", "&#12"]
+    pages = ["".join(rng.choice(bits) for _ in range(rng.randrange(0, 14))) + rng.choice(tails) for _ in range(600)]
+
+    def nodes(html):
+        parts = []
+        parser = HTMLParser()
+        parser.handle_data = parts.append
+        parser.feed(html)
+        return "\n".join(filter(None, map(str.strip, parts)))
+
+    got = column(spark, pages, text.html_to_text)
+    differ = [(p, nodes(p), g) for p, g in zip(pages, got) if nodes(p) != g]
+    assert not differ, (len(differ), differ[:4])
+
+
 def test_html_to_text(spark):
     assert column(spark, HTML, text.html_to_text) == [reference_text(h) for h in HTML]
 
