@@ -7,9 +7,11 @@ integers (0: in no item) and the automaton runs over those, once per document;
 its hits are word positions, mapped back to character offsets of the original.
 
 Benchmarks are small next to a corpus, but their size is checked: items are
-dealt into blocks of at most `block_bytes` of text by a hash of their id.  One
-block, the usual case, means one automaton and one pass; more blocks mean one
-pass each, all adding to the same list of hits.  Memory is bounded either way.
+dealt into blocks of about `block_bytes` of text by a hash of it, as an automaton
+takes some 120 bytes a byte of items (measured: 4 MB take 0.5 GB) in each Python
+worker.  One block, the usual case, means one automaton and one pass; more
+blocks mean one pass each, which adds to the items and words found.  Items with
+the same words are one, whatever their number.
 """
 
 from __future__ import annotations
@@ -28,10 +30,11 @@ from harborline.llm.words import IS_MARK, LOWER
 from harborline.llm.runtime import prepare
 
 WINDOW = 13
-BLOCK_BYTES = 32 << 20
+#: Item text of one automaton: about a quarter of a gigabyte.
+BLOCK_BYTES = 2 << 20
 
 _NORMAL = bytes(0x20 if IS_MARK[LOWER[b]] else LOWER[b] for b in range(256))
-_BUILT: dict[str, tuple] = {}
+_BUILT: dict[str, object] = {}
 
 SCHEMA = ("n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
           "hit_spans array<struct<start: long, end: long>>")
@@ -41,37 +44,60 @@ def normal_words(text: bytes) -> list[bytes]:
     return text.translate(_NORMAL).split()
 
 
-def _automaton(key: str, items: list[tuple[str, bytes]], window: int):
-    """Vocabulary and automaton of one block, built once per Python worker."""
-    if key not in _BUILT:
-        vocabulary: dict[bytes, int] = {}
-        patterns: dict[tuple, list[str]] = {}
+class _Machine:
+    """Vocabulary and automaton of one block."""
+
+    def __init__(self, items: list[tuple[str, bytes]], window: int):
+        self.vocabulary: dict[bytes, int] = {}
+        alike: dict[tuple, list[str]] = {}
         for item, text in items:
-            ids = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in normal_words(text)]
-            for i in range(max(1, len(ids) - window + 1) if ids else 0):
-                owners = patterns.setdefault(tuple(ids[i:i + window]), [])
-                if item not in owners:
-                    owners.append(item)
-        machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for pattern, owners in patterns.items():
-            machine.add_word(pattern, (len(pattern), owners))
-        if patterns:
-            machine.make_automaton()
+            ids = tuple([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in normal_words(text)])
+            if ids:
+                alike.setdefault(ids, []).append(item)
+        self.items = list(alike.values())
+        self.lengths: list[int] = []
+        self.groups: list[list[int]] = []  # per pattern, which of `items`
+        self.machine = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+        for group, ids in enumerate(alike):
+            for i in range(max(1, len(ids) - window + 1)):
+                pattern = ids[i:i + window]
+                number = self.machine.get(pattern, -1)
+                if number < 0:
+                    number = len(self.lengths)
+                    self.machine.add_word(pattern, number)
+                    self.lengths.append(len(pattern))
+                    self.groups.append([])
+                if not self.groups[number] or self.groups[number][-1] != group:
+                    self.groups[number].append(group)
+        if self.lengths:
+            self.machine.make_automaton()
+
+    def find(self, text: bytes) -> tuple[int, set[str], list[tuple[int, int]]]:
+        """Number of words, items with windows in the text, runs of hit words."""
+        words = normal_words(text)
+        runs: list[tuple[int, int]] = []
+        if not self.lengths or not words:
+            return len(words), set(), runs
+        get = self.vocabulary.get
+        numbers = set()
+        for last, number in self.machine.iter(tuple([get(w, 0) for w in words])):
+            numbers.add(number)
+            first = last - self.lengths[number] + 1
+            while runs and first <= runs[-1][1] + 1:  # ends come in order
+                first = min(first, runs.pop()[0])
+            runs.append((first, last))
+        groups = {g for n in numbers for g in self.groups[n]}
+        return len(words), {item for g in groups for item in self.items[g]}, runs
+
+
+def _automaton(key: str, items: list[tuple[str, bytes]], window: int) -> _Machine:
+    """Built once per Python worker."""
+    if key not in _BUILT:
         _BUILT.clear()
-        _BUILT[key] = (vocabulary, machine if patterns else None)
+        _BUILT[key] = _Machine(items, window)
     return _BUILT[key]
 
 
-def _found(text: bytes, vocabulary: dict, machine, hits: list) -> tuple[int, list]:
-    words = normal_words(text)
-    if machine is not None and words:
-        get = vocabulary.get
-        ids = tuple([get(w, 0) for w in words])
-        for last, (length, owners) in machine.iter(ids):
-            hits.extend((owner, last - length + 1, last) for owner in owners)
-    return len(words), hits
-
-
 def _char_spans(text: bytes, mask: np.ndarray) -> list[dict]:
     """Runs of hit words as character offsets of the original text."""
     flat = np.frombuffer(text.translate(_NORMAL), np.uint8) != 0x20
@@ -107,9 +133,9 @@ def contamination(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id",
     out = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(names)],
                       *([] if body != "body" else [F.col(text_col).alias("body")]))
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in out.schema if f.name != "body")
-    hits_type = "array<struct<item: string, first: long, last: long>>"
+    hits_type = "struct<items: array<string>, runs: array<struct<first: long, last: long>>>"
     for b in range(blocks):
-        part = items.where(F.pmod(F.crc32(F.col("item").cast("binary")), F.lit(blocks)) == b)
+        part = items.where(F.pmod(F.crc32("body"), F.lit(blocks)) == b)
         sent = spark.sparkContext.broadcast([(r.item, bytes(r.body)) for r in part.collect()])
         last = b == blocks - 1
         scan = _scanner(sent, uuid.uuid4().hex, window, last, body)
@@ -119,33 +145,33 @@ def contamination(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id",
 
 
 def _scanner(sent, key: str, window: int, last: bool, body: str):
+    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    state = pa.struct([("items", pa.list_(pa.string())), ("runs", pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())])))])
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, machine = _automaton(key, sent.value, window)
+        machine = _automaton(key, sent.value, window)
         for batch in batches:
             texts = batch.column(body).cast(pa.large_binary()).to_pylist()
-            before = (batch.column("hits").to_pylist() if "hits" in batch.schema.names
-                      else [[]] * len(texts))
+            before = batch.column("hits").to_pylist() if "hits" in batch.schema.names else [None] * len(texts)
             passed = [c for c in batch.schema.names if c not in ("body", "hits")]
-            ids = [batch.column(c) for c in passed]
-            if not last:
-                hits = [[{"item": i, "first": a, "last": z} for i, a, z in
-                         _found(t or b"", vocabulary, machine,
-                                [(h["item"], h["first"], h["last"]) for h in old])[1]]
-                        for t, old in zip(texts, before)]
-                kind = pa.list_(pa.struct([("item", pa.string()), ("first", pa.int64()),
-                                           ("last", pa.int64())]))
+            kept = [batch.column(c) for c in passed]
+            found = []
+            for text, old in zip(texts, before):
+                n, items, runs = machine.find(text or b"")
+                if old:
+                    items |= set(old["items"])
+                    runs += [(r["first"], r["last"]) for r in old["runs"]]
+                found.append((n, items, runs))
+            if last:
+                rows = [_result(t or b"", *f) for t, f in zip(texts, found)]
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), span]
+                yield pa.RecordBatch.from_arrays(
+                    [*kept, *[pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]],
+                    [*passed, "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "hit_spans"])
+            else:
                 more = [] if body != "body" else ["body"]
-                yield pa.RecordBatch.from_arrays([*ids, *map(batch.column, more), pa.array(hits, kind)],
-                                                 [*passed, *more, "hits"])
-                continue
-            rows = [_result(t or b"", *_found(t or b"", vocabulary, machine,
-                                              [(h["item"], h["first"], h["last"]) for h in old]))
-                    for t, old in zip(texts, before)]
-            span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), span]
-            yield pa.RecordBatch.from_arrays(
-                [*ids, *[pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]],
-                [*passed, "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "hit_spans"])
+                hits = [{"items": sorted(i), "runs": [{"first": a, "last": z} for a, z in r]} for _, i, r in found]
+                yield pa.RecordBatch.from_arrays([*kept, *map(batch.column, more), pa.array(hits, state)], [*passed, *more, "hits"])
 
     return scan
 
@@ -153,14 +179,14 @@ def _scanner(sent, key: str, window: int, last: bool, body: str):
 _NONE = hashlib.sha256(b"").hexdigest()
 
 
-def _result(text: bytes, n_words: int, hits: list) -> tuple:
-    if not hits:
+def _result(text: bytes, n_words: int, items: set[str], runs: list[tuple[int, int]]) -> tuple:
+    if not runs:
         return n_words, 0, 0, _NONE, False, []
     step = np.zeros(n_words + 1, np.int64)
-    for _, first, last in hits:
+    for first, last in runs:
         step[first] += 1
         step[last + 1] -= 1
     mask = np.cumsum(step[:-1]) > 0
-    n_hit, owners = int(mask.sum()), sorted({item for item, _, _ in hits})
-    digest = hashlib.sha256(",".join(owners).encode()).hexdigest()
-    return n_words, n_hit, len(owners), digest, 20 * n_hit >= n_words, _char_spans(text, mask)
+    n_hit = int(mask.sum())
+    digest = hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
+    return n_words, n_hit, len(items), digest, 20 * n_hit >= n_words, _char_spans(text, mask)
