@@ -4,7 +4,8 @@ Turns of a conversation become windows of at most `budget` tokens, cut between
 turns.  Prefix sums of turn tokens choose how many new turns a window takes:
 the system turn (a leading one) opens every window, then come up to `history`
 tokens of turns repeated from before, then new turns.  A window takes at least
-one new turn; repeated turns give way to it.  The loss covers the assistant
+one new turn; repeated turns give way to it.  A system turn over half the budget is
+whole in the first window only; later ones repeat its first quarter budget and a mark.  The loss covers the assistant
 texts among the new turns, so each assistant text is a target once, however
 often it is repeated as context.
 
@@ -19,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 
@@ -63,6 +65,14 @@ def turn_tokens(text: str) -> int:
     return sum(1 for _ in _WORD.finditer(text)) + 1
 
 
+def shortened(text: str, tokens: int) -> str:
+    """The first `tokens` tokens of a text and a mark."""
+    end = 0
+    for m in islice(_WORD.finditer(text), tokens):
+        end = m.end()
+    return text[:end] + " [...]"
+
+
 class Windows:
     """Windows of one conversation, fed turn by turn.
 
@@ -73,6 +83,7 @@ class Windows:
     def __init__(self, budget: int, history: int):
         self.budget, self.history = budget, history
         self.system: tuple | None = None
+        self.again: tuple | None = None  # the system turn as later windows repeat it
         self.turns: list[tuple[str, str]] = []
         self.sums = [0]
         self.new = 0  # first held turn that is not in a window yet
@@ -83,6 +94,8 @@ class Windows:
         self.seen += 1
         if self.seen == 1 and role == SYSTEM:
             self.system = (role, text, turn_tokens(text))
+            short = text if self.system[2] <= self.budget // 2 else shortened(text, self.budget // 4)
+            self.again = (role, short, turn_tokens(short))
             return out
         size = turn_tokens(text)
         if self.new < len(self.turns) and self._room() < self.sums[-1] - self.sums[self.new] + size:
@@ -98,7 +111,7 @@ class Windows:
 
     def _room(self) -> int:
         """Tokens for new turns, next to the system turn."""
-        return self.budget - (self.system[2] if self.system else 0)
+        return self.budget - ((self.again if self.done else self.system)[2] if self.system else 0)
 
     def _close(self) -> tuple:
         spare = min(self.history, self._room() - (self.sums[-1] - self.sums[self.new]))
@@ -107,7 +120,8 @@ class Windows:
             back -= 1
         parts, loss, at = [], [], 0
         if self.system:
-            parts.append(self._turn(self.system[0], self.system[1]))
+            role, text, _ = self.again if self.done else self.system
+            parts.append(self._turn(role, text))
             at = len(parts[0])
         for i in range(back, len(self.turns)):
             role, text = self.turns[i]
