@@ -448,3 +448,20 @@ def test_decontamination_of_many_copies_of_an_item(spark):
     assert time.time() - start < 5
     assert len(machine.lengths) == 49 and n == 61 * 40 and len(items) == 5001
     assert runs == [(61 * i + 1, 61 * i + 60) for i in range(40)]
+
+
+def test_chat_long_system_turn_is_repeated_in_short(spark):
+    system = " ".join(f"s{i}" for i in range(5000))
+    turns = [(i, "user" if i % 2 else "assistant", f"turn {i} " * 5) for i in range(1, 201)]
+    rows = [(7, 0, "system", system), *[(7, *t) for t in turns]]
+    docs = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    windows = chat.format_windows(docs).orderBy("window").collect()
+    assert len(windows) < 10 and system in windows[0].text
+    assert sum(len(w.text) for w in windows) < 2 * sum(len(r[3]) for r in rows)
+    for w in windows[1:]:
+        first = chat.parse(w.text)[0]
+        assert first[0] == "system" and first[1] == " ".join(f"s{i}" for i in range(256)) + " [...]"
+        assert sum(chat.turn_tokens(t[1]) for t in chat.parse(w.text)) <= chat.BUDGET
+    got = chat.formatted(docs).first()
+    want = hashlib.sha256("".join(f"{r}\n{t}\n" for _, _, r, t in rows).encode()).hexdigest()
+    assert (got.n_turns, got.turns_sha256) == (201, want)
