@@ -3,12 +3,20 @@
 Base rules count words, symbols, repeated lines and repeated three-word windows
 of every whole text inside its row.  The method compares two multinomials over
 hashed n-grams (words and word pairs): one of documents somebody vouched for,
-one of the whole corpus.  A document's verdict is the mean over its n-grams of
-log(target / raw), held against a fixed threshold.
-
-Counts are combined map-side into at most `BUCKETS` rows per task.  The ratios
-are a table of `BUCKETS` rows, the same size for any corpus, joined to the
-n-grams by a broadcast; sums per document are combined where it is read.
+one of the whole corpus.  A document's likeness is the mean over its n-grams of
+log(target / raw).
+
+No document is scored by its own words: texts fall into `FOLDS` by their hash,
+and the target a fold is held against is made of the others, so vouched-for and
+other documents are on one scale.  The target is smoothed by as many n-grams of
+the raw multinomial as it has itself.  A document is dropped if it is less like
+the target than all but `SPARED` in a thousand of the vouched-for ones are.
+Nothing of this is an absolute number, so one mix has one verdict at any size.
+
+Counts are combined map-side into at most `BUCKETS` x (`FOLDS` + 1) rows per
+task.  The ratios are a table of `BUCKETS` x `FOLDS` rows, the same size for any
+corpus, joined to the n-grams by a broadcast.  They are whole millionths, so
+sums are alike in every run; sums per document are combined where it is read.
 """
 
 from __future__ import annotations
@@ -19,10 +27,13 @@ from harborline.llm.runtime import prepare
 from harborline.session import materialize
 
 BUCKETS = 1 << 16
-#: Weight of the raw multinomial in the target's, in n-grams: ten per bucket.
-PRIOR = 10 * BUCKETS
-#: Mean log ratio per n-gram below which a document is dropped.
-THRESHOLD = -0.08
+#: Parts of the corpus, each scored by a target made of the others.
+FOLDS = 4
+#: Vouched-for documents in a thousand that may be less like the target than the threshold.
+SPARED = 1
+#: Words from which on a vouched-for document counts for the threshold.
+WORDS = 50
+_UNIT, _STEP = 1_000_000, 100
 #: Vouched ids sent to all tasks, at most; beyond that they are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 
@@ -86,56 +97,101 @@ def base_counts(rows: DataFrame, text: str) -> DataFrame:
         .drop("__lines", "__v", "__s", "__p")
 
 
-def ratios(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """g, ratio: log(target / raw) for each of the `BUCKETS` buckets.
+def _vouched(trusted: DataFrame, id_col: str) -> DataFrame:
+    """__v: the vouched ids, distinct, sent to all tasks if a count allows it."""
+    ids = trusted.select(F.col(id_col).alias("__v")).where("__v is not null").distinct()
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def _fold(text_hash: str) -> Column:
+    return F.pmod(F.col(text_hash), F.lit(FOLDS)).cast("int")
 
-    `trusted` holds the vouched ids in `id_col`.  The target takes `PRIOR`
-    n-grams from the raw multinomial, so a bucket with few target n-grams has
-    a ratio near one.
+
+def ratios(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """key, ratio: log(target / raw) in millionths for each bucket and fold,
+    key being bucket x `FOLDS` + fold.  All are 0 for a fold whose target has
+    no n-gram.
+
+    `docs` has __id, __k (hash of the text) and __t (text), `ids` __v.
     """
-    ids = trusted.select(F.col(id_col).alias("__id")).where("__id is not null").distinct()
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t"))
-    marked = rows.join(ids.withColumn("__good", F.lit(1)), "__id", "left")
+    marked = docs.join(ids, F.col("__id") == F.col("__v"), "left")
     # An outer explode: for an inner one the optimizer infers a filter on the array's size and copies
     # the whole expression, hashes included, into it.
     grams = with_ngrams(with_hashes(marked, "__t")).select(
-        F.coalesce("__good", F.lit(0)).alias("good"), F.explode_outer("__g").alias("g"))
-    counts = grams.where("g is not null").groupBy("g").agg(F.count("*").alias("raw"), F.sum("good").alias("hit"))
+        F.when(F.col("__v").isNotNull(), _fold("__k")).alias("fold"), F.explode_outer("__g").alias("g"))
+    counts = grams.where("g is not null").groupBy("g", "fold").agg(F.count("*").alias("n")).groupBy("g").agg(
+        F.sum("n").alias("raw"), F.sum(F.when(F.col("fold").isNotNull(), F.col("n"))).alias("hit"),
+        *[F.sum(F.when(F.col("fold") == f, F.col("n"))).alias(f"own{f}") for f in range(FOLDS)])
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("g"))
-    counts = materialize(every.join(counts, "g", "left").select(
-        "g", F.coalesce("raw", F.lit(0)).alias("raw"), F.coalesce("hit", F.lit(0)).alias("hit")), "counts")
-    whole = counts.agg(F.sum("raw").alias("R"), F.sum("hit").alias("H")).first()
-    raw_total, hit_total = whole.R, whole.H
-    # p_raw = (raw + 1) / (R + B); p_target = (hit + S * p_raw) / (H + S)
-    p_raw = (F.col("raw") + 1) / F.lit(float(raw_total + BUCKETS))
-    p_target = (F.col("hit") + PRIOR * p_raw) / F.lit(float(hit_total + PRIOR))
-    return counts.select("g", F.log(p_target / p_raw).alias("ratio"))
+    counts = materialize(every.join(counts, "g", "left").na.fill(0), "counts")
+    names = ["raw", "hit", *[f"own{f}" for f in range(FOLDS)]]
+    total = counts.agg(*[F.sum(c).alias(c) for c in names]).first()
+    p_raw = (F.col("raw") + 1) / F.lit(float(total.raw + BUCKETS))
+
+    def ratio(f: int) -> Column:
+        size = total.hit - total[f"own{f}"]
+        if not size:
+            return F.lit(0).cast("long")
+        # p_target = (hit + size * p_raw) / (2 * size)
+        p_target = (F.col("hit") - F.col(f"own{f}") + size * p_raw) / F.lit(2.0 * size)
+        return F.round(F.log(p_target / p_raw) * _UNIT).cast("long")
+
+    return counts.select("g", F.posexplode(F.array(*[ratio(f) for f in range(FOLDS)])).alias("f", "ratio")) \
+        .select((F.col("g") * FOLDS + F.col("f")).alias("key"), "ratio")
+
+
+def threshold(scores: DataFrame) -> float | None:
+    """The likeness that all but `SPARED` in a thousand of the vouched-for
+    documents of at least `WORDS` words reach, in steps of 0.0001 and at most
+    0; None if there are no such documents.
+
+    `scores` has total, n (n-grams), words and good.  No ratio is below log(1/2), and those
+    above 0 share a step, so the histogram has at most 6 933 rows.
+    """
+    steps = scores.where(F.col("good") & (F.col("words") >= WORDS)).select(
+        F.floor(F.least("total", F.lit(0)) / (F.col("n") * _STEP)).alias("step"))
+    found = sorted((r.step, r["count"]) for r in steps.groupBy("step").count().collect())
+    spared = sum(n for _, n in found) * SPARED // 1000
+    for step, n in found:
+        spared -= n
+        if spared < 0:
+            return step * _STEP / _UNIT
+    return None
 
 
 def judged(docs: DataFrame, trusted: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-           threshold: float = THRESHOLD, keep: list[str] | None = None) -> DataFrame:
+           keep: list[str] | None = None) -> DataFrame:
     """`keep` columns (default: the id) of every row of `docs`, the five base
-    counts, base_failed, likeness (mean log ratio) and kept.
+    counts, base_failed, likeness (mean log ratio) and kept.  `trusted` holds
+    the vouched ids in `id_col`.
 
     Null text counts as empty: no words, likeness 0, base_failed.  Without
-    trusted documents all ratios are 0 and the base rules alone decide.
-    Repeated rows count and come back as often as they stand there.
+    trusted documents all ratios are 0, and without one of `WORDS` words there
+    is no threshold: the base rules alone decide.  Repeated rows count and come
+    back as often as they stand there.
     """
     prepare(docs.sparkSession)
-    table = ratios(docs, trusted, id_col=id_col, text_col=text_col)
     names = keep or [id_col]
     rows = docs.withColumns({"__t": F.col(text_col), "__id": F.col(id_col), "__k": F.xxhash64(text_col)})
-    # BUCKETS rows by construction, so the table is sent to all tasks.
-    likeness = (with_ngrams(with_hashes(rows.select("__id", "__k", "__t"), "__t"))
-                .select("__id", "__k", F.explode_outer("__g").alias("g")).join(F.broadcast(table), "g")
-                .groupBy("__id", "__k").agg(F.avg("ratio").alias("likeness"))
-                .withColumnsRenamed({"__id": "__i", "__k": "__j"}))
+    thin = rows.select("__id", "__k", "__t")
+    ids = _vouched(trusted, id_col)
+    # BUCKETS x FOLDS rows by construction, so the table is sent to all tasks.
+    table = F.broadcast(ratios(thin, ids))
+    scores = (with_ngrams(with_hashes(thin, "__t"))
+              .select("__id", "__k", F.size("__h").alias("words"), F.explode_outer("__g").alias("g"))
+              .select("__id", "__k", "words", (F.col("g") * FOLDS + _fold("__k")).alias("key")).join(table, "key")
+              .groupBy("__id", "__k").agg(F.max("words").alias("words"), F.sum("ratio").alias("total"),
+                                          F.count("*").alias("n")))
+    scores = materialize(scores.join(ids, F.col("__id") == F.col("__v"), "left").select(
+        F.col("__id").alias("__i"), F.col("__k").alias("__j"), "words", "total", "n",
+        F.col("__v").isNotNull().alias("good")), "scores")
+    least = threshold(scores)
     rows = base_counts(with_hashes(rows.select(*names, "__id", "__k", "__t"), "__t"), "__t").drop("__t", "__h")
+    likeness = scores.select("__i", "__j", (F.col("total") / F.col("n") / _UNIT).alias("likeness"))
     rows = rows.join(likeness, F.col("__id").eqNullSafe(F.col("__i")) & F.col("__k").eqNullSafe(F.col("__j")),
                      "left").withColumn("likeness", F.coalesce("likeness", F.lit(0.0)))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    alike = F.lit(True) if least is None else F.col("likeness") >= least
     return rows.withColumn("base_failed", failed).select(
         *names, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "likeness",
-        (~F.col("base_failed") & (F.col("likeness") >= threshold)).alias("kept"))
+        (~F.col("base_failed") & alike).alias("kept"))
