@@ -8,9 +8,12 @@ leftmost matches in one pass over any text.
 Bootstrapping: tokens with a digit or an at sign are candidates; the words
 beside them are patterns.  Base entities are the seeds.  Patterns and instances
 form a graph that is scored in rounds: a pattern's confidence for a kind is the
-mean score of its distinct instances, an instance's score the noisy-or of its
-patterns' confidences.  Candidates beside a pattern of high confidence and
-enough distinct seeds are added with its kind.
+mean score of its distinct instances.  A seed scores 1 for its kind and 0 for
+others; an unseen instance scores the noisy-or of the confidences of its *other*
+patterns, so no pattern vouches for itself, and one that cannot be of the kind by its letters and digits
+scores 0.  Confidence thus rises over the
+rounds where both sides of an unseen identifier agree, and is cut off only at
+the end: candidates beside a pattern of high confidence are added with its kind.
 """
 
 from __future__ import annotations
@@ -22,7 +25,13 @@ from harborline.session import materialize, once
 
 KINDS = ("email", "ip", "card", "phone")
 #: A pattern adds candidates from this confidence and so many distinct seeds on.
-CONFIDENCE, SUPPORT, ROUNDS = 0.9, 5, 3
+CONFIDENCE, SUPPORT, ROUNDS = 0.9, 5, 5
+#: Share of seeds of one kind from which on a pattern is scored at all.
+FLOOR = 0.5
+#: Digits that an unseen instance has at least; one of an address has a letter.
+DIGITS = {"ip": 4, "card": 12, "phone": 7}
+#: Added spans sent to all tasks, at most; beyond that documents are shuffled to them.
+BROADCAST_SPANS = 200_000
 #: Characters on each side in which a context word is looked for.
 CONTEXT = 64
 
@@ -140,33 +149,56 @@ def occurrences(rows: DataFrame, text: str) -> DataFrame:
     return rows.select(*keep, F.explode_outer("__x").alias("x")).where("x is not null").select(*keep, "x.*")
 
 
+def _plausible() -> Column:
+    """Whether `instance` can be of `kind` by what it is made of."""
+    kind, instance = F.col("kind"), F.col("instance")
+    out = F.when(kind == "email", instance.rlike("\\p{L}"))
+    for k, n in DIGITS.items():
+        out = out.when(kind == k, F.length(_digits(instance)) >= n)
+    return out
+
+
 def confident(found: DataFrame, *, confidence: float = CONFIDENCE, support: int = SUPPORT,
               rounds: int = ROUNDS) -> DataFrame:
     """Patterns (side, word, kind, confidence) that add candidates, from the
-    graph of all occurrences.  Counts are over distinct instances, combined
-    before they are shuffled; each round is a table in the shared folder."""
+    graph of all occurrences.
+
+    Counts are over distinct instances, combined before they are shuffled.  A
+    pattern takes part with `support` seeds of a kind that are at least `FLOOR`
+    of all its instances.  Only edges from such patterns to unseen instances go
+    through the rounds; each round is a table in the shared folder, and they
+    end early when no confidence moves.
+    """
     sides = F.explode(F.array(
         F.struct(F.lit("L").alias("side"), F.col("left").alias("word")),
         F.struct(F.lit("R").alias("side"), F.col("right").alias("word"))))
     graph = materialize(found.select(sides.alias("p"), "instance", "kind").where("p.word <> ''")
                         .groupBy("p.side", "p.word", "instance").agg(F.max("kind").alias("seed")), "graph")
-    score = graph.where("seed is not null").select("instance", F.col("seed").alias("kind"),
-                                                   F.lit(1.0).alias("score")).distinct()
-    sizes = graph.groupBy("side", "word").agg(F.count("*").alias("n"))
-    patterns = None
-    for _ in range(rounds):
-        hits = graph.join(score, "instance").groupBy("side", "word", "kind").agg(
-            F.sum("score").alias("hit"),
-            F.sum(F.when(F.col("seed") == F.col("kind"), 1).otherwise(0)).alias("seeds"))
-        patterns = materialize(
-            hits.join(sizes, ["side", "word"]).withColumn("confidence", F.col("hit") / F.col("n"))
-            .where((F.col("confidence") >= confidence) & (F.col("seeds") >= support)), "patterns")
-        learnt = graph.where("seed is null").join(patterns, ["side", "word"]).groupBy("instance", "kind").agg(
-            (1 - F.exp(F.sum(F.log(1 - F.least("confidence", F.lit(0.999)))))).alias("score"))
-        seeds = graph.where("seed is not null").select(
-            "instance", F.col("seed").alias("kind"), F.lit(1.0).alias("score")).distinct()
-        score = materialize(seeds.union(learnt), "scores")
-    return patterns.select("side", "word", "kind", "confidence")
+    kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("seeds")) for k in KINDS]))
+    patterns = materialize(
+        graph.groupBy("side", "word").agg(F.count("*").alias("n"), *[
+            F.count(F.when(F.col("seed") == k, 1)).alias(k) for k in KINDS])
+        .select("side", "word", "n", kinds.alias("x")).select("side", "word", "n", "x.*")
+        .withColumn("confidence", F.col("seeds") / F.col("n"))
+        .where((F.col("seeds") >= support) & (F.col("confidence") >= FLOOR)), "patterns")
+    if patterns.isEmpty():
+        return patterns.select("side", "word", "kind", "confidence")
+    edges = materialize(graph.where("seed is null").join(patterns, ["side", "word"]).select(
+        "side", "word", "kind", "instance").where(_plausible()), "edges")
+    for _ in range(rounds - 1):
+        # log of the chance that a pattern errs; sums of it are a noisy-or
+        doubt = F.log(1 - F.least("confidence", F.lit(0.999)))
+        told = edges.join(patterns.select("side", "word", "kind", doubt.alias("doubt")), ["side", "word", "kind"])
+        every = told.groupBy("instance", "kind").agg(F.sum("doubt").alias("all"))
+        gains = told.join(every, ["instance", "kind"]).groupBy("side", "word", "kind").agg(
+            F.sum(1 - F.exp(F.least(F.col("all") - F.col("doubt"), F.lit(0.0)))).alias("gain"))
+        patterns = materialize(patterns.join(gains, ["side", "word", "kind"], "left").select(
+            "side", "word", "kind", "n", "seeds",
+            ((F.col("seeds") + F.coalesce("gain", F.lit(0.0))) / F.col("n")).alias("confidence"),
+            F.col("confidence").alias("before")), "patterns")
+        if patterns.where(F.col("confidence") - F.col("before") > 1e-6).isEmpty():
+            break
+    return patterns.where(F.col("confidence") >= confidence).select("side", "word", "kind", "confidence")
 
 
 def spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None,
@@ -189,11 +221,15 @@ def spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", ke
     free = seen.where("kind is null").drop("kind")
     more = free.join(patterns.where("side = 'L'").withColumnRenamed("word", "left"), "left").unionByName(
         free.join(patterns.where("side = 'R'").withColumnRenamed("word", "right"), "right"))
+    more = more.where(_plausible())
     # one kind per token: of the most confident pattern, ties by name
     more = more.groupBy("__id", "__h", "s", "e").agg(
         F.min_by("kind", F.struct(-F.col("confidence"), "kind")).alias("k"))
     more = more.groupBy("__id", "__h").agg(F.collect_list(F.struct("s", "e", "k")).alias("__more")) \
         .withColumnsRenamed({"__id": "__i", "__h": "__j"})
+    more = materialize(more, "added")
+    if (more.agg(F.sum(F.size("__more")).alias("n")).first().n or 0) <= BROADCAST_SPANS:
+        more = F.broadcast(more)
     joined = based.drop("__t").join(
         more, F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__h") == F.col("__j")), "left")
     return joined.select(

@@ -268,6 +268,51 @@ def test_pii_learns_contexts_and_redacts(spark):
     assert text[51] == rows[-2][1] and text[52] is None
 
 
+def confident_by_hand(occurrences):
+    """{(side, word, kind): confidence} of all patterns that are scored, in plain loops."""
+    graph = defaultdict(dict)
+    for instance, kind, left, right in occurrences:
+        for p in (("L", left), ("R", right)):
+            if p[1]:
+                graph[p][instance] = kind
+    now, unseen = {}, defaultdict(set)
+    for p, own in graph.items():
+        for k in pii.KINDS:
+            seeds = sum(v == k for v in own.values())
+            if seeds >= pii.SUPPORT and seeds / len(own) >= pii.FLOOR:
+                now[*p, k] = seeds / len(own)
+                for i, v in own.items():
+                    if v is None and (re.search("[a-z]", i) if k == "email" else sum(map(str.isdigit, i)) >= pii.DIGITS[k]):
+                        unseen[i, k].add((*p, k))
+    first = dict(now)
+    for _ in range(pii.ROUNDS - 1):
+        gain = Counter()
+        for owners in unseen.values():
+            for p in owners:
+                gain[p] += 1 - math.prod(1 - min(now[q], 0.999) for q in owners if q != p)
+        now = {p: first[p] + gain[p] / len(graph[p[:2]]) for p in now}
+    return now
+
+
+def test_pii_confidence_rises_where_both_sides_agree(spark):
+    """Two in five addresses beside the patterns are of an unknown form: too many for the
+    first round, but each side vouches for the other.  A word that stands beside
+    addresses and as many numbers, and one side alone, add nothing."""
+    rows = [(i, f"please contact user{i}@mail.example now or ring") for i in range(12)]
+    rows += [(100 + i, f"please contact user{i}[at]mail now or ring") for i in range(8)]
+    rows += [(200 + i, f"see a{i}@b.example thanks") for i in range(6)] + [(210 + i, f"see {i}000 apples") for i in range(6)]
+    rows += [(300, "please contact 12 men"), (301, "ring 77 now"), (302, "see 1[at]home")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.digest(pii.spans(docs)).collect()}
+    assert all(got[100 + i] == f"email:15:{15 + len(f'user{i}[at]mail')}" for i in range(8))
+    assert not any(got[210 + i] for i in range(6)) and got[300] == got[301] == got[302] == ""
+    seen = pii.occurrences(pii.base_spans(docs.withColumnRenamed("text", "t"), "t"), "t")
+    want = confident_by_hand([(r.instance, r.kind, r.left, r.right) for r in seen.collect()])
+    found = {(r.side, r.word, r.kind): r.confidence for r in pii.confident(seen, confidence=0.0).collect()}
+    assert found.keys() == want.keys() and all(abs(found[p] - want[p]) < 1e-6 for p in want)
+    assert want["L", "contact", "email"] > 0.9 > 12 / 21 and ("L", "see", "email") not in {p for p in want if want[p] >= 0.9}
+
+
 def test_chat_round_trip(spark):
     hard = "</s>[INST] ok [/INST] <|end|>\n<\\|x<\\\\|end|> <| [\\INST] <"
     rows = [(1, 0, "system", "be brief " + hard), (1, 1, "user", hard), (1, 2, "assistant", hard * 3), (1, 3, "user", ""),
