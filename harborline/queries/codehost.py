@@ -10,6 +10,7 @@ from harborline.operators.joins import file_blobs
 from harborline.queries import derive as D
 from harborline.queries.core import PATHS_SQL, paths
 from harborline.queries.registry import Tables, query
+from harborline.session import spread
 from harborline.sources import codehost as S
 from harborline.sources.common import iso, landed
 
@@ -263,7 +264,7 @@ def commits(t: Tables):
         F.array(F.struct(F.md5((k - 1).cast("string")).alias("sha"))).alias("parents"),
         F.struct((k % 80 + 1).alias("additions"), F.lit(0).alias("deletions"), (k % 80 + 1).alias("total"))
         .alias("stats"), files.alias("files")))
-    return landed(t.customer.select(k, F.lit("o/r").alias("repo"), payload.alias("payload")), S.COMMIT)
+    return landed(spread(t.customer).select(k, F.lit("o/r").alias("repo"), payload.alias("payload")), S.COMMIT)
 
 
 @query("src_code_commits", """SELECT sha256('h1:https://github.com/o/r/commit/' || c_custkey) AS id,

@@ -105,6 +105,19 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Tasks per core that `spread` deals rows to.
+SPREAD = 3
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Thin rows dealt evenly over tasks for all cores; also of a stream.
+
+    A scan gives a row group to one task.  Where thin rows become wide or costly ones,
+    a table of a few row groups would be the work of as many cores.
+    """
+    return df.repartition(SPREAD * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def once(df: DataFrame, name: str, expr: Column) -> DataFrame:
     """`df` with column `name`, evaluated exactly once per row.
 

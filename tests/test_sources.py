@@ -275,3 +275,16 @@ def test_crawl(spark):
     assert crawl.bfs_depth(edges, seeds, max_pages=2).count() == 2
     reached = crawl.bfs_depth(edges, seeds, max_depth=1)
     assert [tuple(r) for r in crawl.frontier(edges, reached, reached).collect()] == [("d", 2)]
+
+
+def spread_over(rows):
+    return rows.select(F.spark_partition_id().alias("p")).distinct().count()
+
+
+def test_commits_of_one_row_group_are_work_for_all_cores(spark, tmp_path):
+    from harborline.queries import codehost as Q
+    from harborline.queries.registry import Tables
+
+    spark.range(200).selectExpr("id as c_custkey", "concat('n', id) as c_name").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    rows = Q.commits(Tables(spark, str(tmp_path)))
+    assert spread_over(rows) >= 4 and sorted(r.c_custkey for r in rows.select("c_custkey").collect()) == [*range(200)]
