@@ -10,10 +10,13 @@ uri, lower-cased), extension, tag (any of the tags), size_bytes.  Operators: `eq
 (values separated by commas); `suffix` on domain (the domain itself or one below it);
 `prefix`, `contains`, `regex` on texts; `gt`, `lt` on size_bytes.
 
-The first three make a key.  A document is dealt to the keys it has, a few dozen, and
-each is looked up in the table of keys, reduced to the policy that would win
-there, so thousands of policies cost no more than one.  Only the rest is compiled to
-expressions, in blocks, over the thin columns of a document.
+Policies are reduced to keys and never looped over.  `eq`, `in` and `suffix` on domain are
+keys as they stand.  A `prefix`, `suffix` or `contains` is a key that a document has if the
+text of that length is a part of its own.  A `gt` or `lt` is a range of sizes, cut
+into stretches of a power of two; a size lies in one stretch of each power.  A document
+is dealt to the keys it has, and each is looked up in the table of keys, reduced to
+the policy that would win there.  Only a `regex` has to be tried on every text: distinct
+patterns meet distinct texts, pair by pair, on all executors.
 """
 
 from __future__ import annotations
@@ -23,14 +26,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from harborline.functions.names import extension, url_host
 from harborline.operators.forest import lookup
 from harborline.operators.validate import error
-from harborline.session import materialize
+from harborline.session import materialize, spread
 
 POLICY = "policy_id long, scope string, field string, operator string, value string, action string, priority int"
 TEXTS = ("content_type", "connector_id", "instance_id", "workspace_id", "uri", "domain", "extension")
-#: Policies whose expressions make one projection.
-BLOCK = 100
-
-_RANK = "struct<order:int,policy_id:bigint,action:string>"
+PARTS = ("prefix", "suffix", "contains")
+#: Sizes are below two to this power.
+BITS = 63
 
 
 def _rank() -> Column:
@@ -80,24 +82,118 @@ def _keys(facts: DataFrame) -> DataFrame:
     return rows.where("scope is not null").select("seq", _key(F.col("scope"), F.col("h.o"), F.col("h.f"), F.col("h.v")).alias("key"))
 
 
-def _compiled(p) -> Column | None:
-    """Condition of a policy without key; none if it can't hold."""
-    if p.field == "size_bytes":
-        sign = {"gt": lambda c, v: c > v, "lt": lambda c, v: c < v}.get(p.operator)
-        try:
-            fits = sign(F.col("size_bytes"), int(p.value)) if sign else None
-        except ValueError:
-            raise ValueError(f"policy {p.policy_id}: {p.value!r} is no size") from None
+def _refuse(rest: DataFrame) -> None:
+    """Raises for the first policy whose operator, field or size is none."""
+    size = F.col("field") == "size_bytes"
+    fits = (size & F.col("operator").isin("gt", "lt")) | (F.col("field").isin(*TEXTS, "tag") & F.col("operator").isin(*PARTS, "regex"))
+    bad = rest.where(~F.coalesce(fits, F.lit(False)) | (size & _size().isNull())).orderBy("policy_id").first()
+    if bad is None:
+        return
+    if bad.field == "size_bytes" and bad.operator in ("gt", "lt"):
+        raise ValueError(f"policy {bad.policy_id}: {bad.value!r} is no size")
+    raise ValueError(f"policy {bad.policy_id}: {bad.operator!r} doesn't apply to {bad.field!r}")
+
+
+def _size() -> Column:
+    """A threshold, held to what sizes can be; null if the value is no whole number."""
+    text = F.regexp_replace(F.regexp_replace("value", r"^\s+|\s+$", ""), r"(?<=\d)_(?=\d)", "")
+    digits = F.regexp_replace(text, r"^[+-]?0*(?=\d)", "")
+    least = F.when(F.startswith(text, F.lit("-")), F.lit(-1)).when(F.length(digits) > 18, F.lit((1 << 62) - 1)).otherwise(
+        digits.try_cast("long"))
+    return F.when(text.rlike(r"^[+-]?\d+$"), F.when(text.rlike(r"^-0+$"), F.lit(0)).otherwise(least))
+
+
+def _scoped(facts: DataFrame, *columns: str) -> DataFrame:
+    """`facts` once per scope they are in."""
+    rows = facts.select("seq", *columns, F.explode(F.array_distinct(F.array("connector_id", F.lit("*")))).alias("scope"))
+    return rows.where("scope is not null")
+
+
+def _texts(facts: DataFrame, field: str) -> DataFrame:
+    """(seq, connector_id, text) of a field; of each tag."""
+    if field == "tag":
+        rows = facts.select("seq", "connector_id", F.explode(F.array_distinct("tags")).alias("text"))
     else:
-        test = {"prefix": lambda c: F.startswith(c, F.lit(p.value)), "contains": lambda c: F.contains(c, F.lit(p.value)),
-                "suffix": lambda c: F.endswith(c, F.lit(p.value)), "regex": lambda c: c.rlike(p.value)}.get(p.operator)
-        if test is None or p.field not in (*TEXTS, "tag"):
-            fits = None
+        rows = facts.select("seq", "connector_id", F.col(field).alias("text"))
+    return rows.where("text is not null")
+
+
+def _best(policies: DataFrame, *keys: Column | str) -> DataFrame:
+    return policies.groupBy(*keys).agg(F.min(_rank()).alias("best"))
+
+
+def _part_hits(facts: DataFrame, policies: DataFrame) -> list[DataFrame]:
+    """(seq, best) by policies on parts of texts; one frame per operator and field."""
+    asked = policies.where(F.col("operator").isin(*PARTS))
+    # operators, fields and lengths of values: few however many policies there are
+    lengths: dict = {}
+    for r in asked.select("operator", "field", F.length("value").alias("n")).distinct().collect():
+        lengths.setdefault((r.operator, r.field), []).append(r.n)
+    out = []
+    for (operator, field), ns in sorted(lengths.items()):
+        text, n = F.col("text"), F.col("n")
+        rows = _scoped(_texts(facts, field), "text").withColumn("n", F.explode(F.array(*map(F.lit, sorted(ns)))))
+        rows = rows.where(n <= F.length(text))
+        if operator == "prefix":
+            part = F.substr(text, F.lit(1), n)
+        elif operator == "suffix":
+            part = F.substr(text, F.length(text) - n + 1, n)
         else:
-            fits = F.exists("tags", test) if p.field == "tag" else test(F.col(p.field))
-    if fits is None:
-        raise ValueError(f"policy {p.policy_id}: {p.operator!r} doesn't apply to {p.field!r}")
-    return fits if p.scope == "*" else fits & (F.col("connector_id") == p.scope)
+            part = F.explode(F.array_distinct(F.transform(
+                F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substr(text, i, n))))
+        table = _best(asked.where((F.col("operator") == operator) & (F.col("field") == field)), "scope", F.col("value").alias("part"))
+        out.append(rows.select("seq", "scope", part.alias("part")).join(table, ["scope", "part"]).select("seq", "best"))
+    return out
+
+
+def _size_hits(facts: DataFrame, policies: DataFrame) -> list[DataFrame]:
+    """(seq, best) by policies on sizes.
+
+    The sizes from `low` on are `low` itself and, for each bit that it lacks, the stretch
+    that begins where this bit is set and the lower ones are not; those below `high`
+    are, for each bit it has, the stretch in which that bit alone is taken away.
+    """
+    out = []
+    for operator in ("gt", "lt"):
+        rows = policies.where((F.col("field") == "size_bytes") & (F.col("operator") == operator)).withColumn(
+            "at", _size() + (1 if operator == "gt" else 0)).where("at >= 0")
+        most = rows.agg(F.max("at")).first()[0]
+        if most is None:
+            continue
+        table = rows.withColumn("bit", F.explode(F.sequence(F.lit(0), F.lit(BITS - 1))))
+        bare = F.expr("shiftright(at, bit)")
+        if operator == "gt":
+            table = _best(table.where(bare % 2 == 0), "scope", "bit", (bare + 1).alias("stretch")).unionByName(
+                _best(rows, "scope", F.lit(-1).alias("bit"), F.col("at").alias("stretch")))
+            # a stretch above the size's highest bit begins at nought and holds for none
+            bits = F.sequence(F.lit(-1), F.length(F.bin("size_bytes")))
+        else:
+            table = _best(table.where(bare % 2 == 1), "scope", "bit", (bare - 1).alias("stretch"))
+            bits = F.sequence(F.lit(0), F.lit(most.bit_length()))
+        sizes = _scoped(facts, "size_bytes").where("size_bytes >= 0")
+        # documents of a size in a scope fare alike
+        asked = sizes.select("scope", "size_bytes").distinct().withColumn("bit", F.explode(bits)).withColumn(
+            "stretch", F.when(F.col("bit") < 0, F.col("size_bytes")).otherwise(F.expr("shiftright(size_bytes, greatest(bit, 0))")))
+        found = asked.join(table, ["scope", "bit", "stretch"]).groupBy("scope", "size_bytes").agg(F.min("best").alias("best"))
+        out.append(sizes.join(found, ["scope", "size_bytes"]).select("seq", "best"))
+    return out
+
+
+def _regex_hits(facts: DataFrame, policies: DataFrame) -> list[DataFrame]:
+    """(seq, best) by patterns; one frame per field."""
+    asked = policies.where("operator = 'regex'")
+    out = []
+    for field in sorted(r.field for r in asked.select("field").distinct().collect()):
+        patterns = _best(asked.where(F.col("field") == field), "scope", F.col("value").alias("pattern"))
+        rows = _texts(facts, field)
+        # The patterns are the outer loop, so that each is compiled once per task.
+        tried = patterns.hint("shuffle_replicate_nl").join(
+            rows.select("connector_id", "text").distinct(),
+            F.expr("(scope = '*' or scope = connector_id) and rlike(text, pattern)"))
+        found = tried.groupBy("connector_id", "text").agg(F.min("best").alias("best"))
+        same = (rows["text"] == found["text"]) & rows["connector_id"].eqNullSafe(found["connector_id"])
+        out.append(rows.join(found, same).select("seq", "best"))
+    return out
 
 
 def decisions(docs: DataFrame, policies: DataFrame) -> DataFrame:
@@ -105,22 +201,18 @@ def decisions(docs: DataFrame, policies: DataFrame) -> DataFrame:
     `error` is set where it rejects.  Content isn't read.
 
     Policies with an unknown field, operator or action are refused; null values
-    and scopes hold for nothing.  The compiled ones come to the driver, which makes
-    expressions of them; they are a configuration and don't grow with the documents.
+    and scopes hold for nothing.
     """
     policies = materialize(policies.where("value is not null and scope is not null"), "policies")
     if not policies.where("action is null or action not in ('reject', 'allow')").isEmpty():
         raise ValueError("a policy's action is reject or allow")
-    facts = materialize(_facts(docs), "facts")
-    hits = lookup(materialize(_keys(facts), "keys"), _keyed(policies), "key", "inner").select("seq", "best")
+    facts = materialize(spread(_facts(docs)), "facts")
     known = "operator in ('eq', 'in') and field in ('{}')".format("', '".join((*TEXTS, "tag", "size_bytes")))
-    rest = policies.where(f"not coalesce({known} or (operator = 'suffix' and field = 'domain'), false)") \
-        .orderBy("policy_id").collect()
-    for i in range(0, len(rest), BLOCK):
-        holds = F.array(*[F.when(_compiled(p), F.struct(
-            F.lit(-p.priority).cast("int").alias("order"), F.lit(p.policy_id).cast("long").alias("policy_id"),
-            F.lit(p.action).alias("action"))).cast(_RANK) for p in rest[i:i + BLOCK]])
-        hits = hits.unionByName(facts.select("seq", F.array_min(holds).alias("best")).where("best is not null"))
+    rest = policies.where(f"not coalesce({known} or (operator = 'suffix' and field = 'domain'), false)")
+    _refuse(rest)
+    hits = lookup(materialize(_keys(facts), "keys"), _keyed(policies), "key", "inner").select("seq", "best")
+    for more in (*_part_hits(facts, rest), *_size_hits(facts, rest), *_regex_hits(facts, rest)):
+        hits = hits.unionByName(more)
     reason = F.concat(F.lit("Content policy violation: policy "), F.col("best.policy_id"))
     return hits.groupBy("seq").agg(F.min("best").alias("best")).select(
         "seq", "best.policy_id", "best.action", (-F.col("best.order")).alias("priority"),

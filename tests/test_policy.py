@@ -96,3 +96,31 @@ def test_versions(spark):
             last = max(((s, i, gone, e) for key, s, i, gone, _, e in rows if key == k and s <= t), default=None)
             want[n] = None if last is None or last[2] else last[3]
         assert got == want
+
+
+def test_policies_do_not_become_expressions(spark, monkeypatch):
+    """Policies on sizes and parts of texts are looked up: none comes to the driver, and the
+    plan doesn't grow with them."""
+    r = random.Random(11)
+    docs = [(i, r.choice(["c1", "c2", "*", None]), r.choice([None, f"http://h{i % 7}.org/p{i}/ü{i % 13}.md"]), "t", [f"t{i % 5}é"],
+             r.choice([0, 1, 2, 3, 7, 8, 255, 256, 257, 1000]), "w") for i in range(80)]
+    values = {"gt": [str(x) for x in (-5, 0, 1, 2, 6, 7, 8, 254, 255, 256, 999, 1000, 10 ** 30)] + [" +0_7 ", "-0"],
+              "lt": [str(x) for x in (-5, 0, 1, 2, 3, 8, 256, 257, 1001, 10 ** 30)]}
+    policies = []
+    for i in range(400):
+        op = r.choice(["gt", "lt", "prefix", "suffix", "contains", "regex"])
+        field = "size_bytes" if op in values else r.choice(["uri", "tag"])
+        value = r.choice(values.get(op) or ["", "t1", "t", "http://h", f"/p{i}/", "/ü", "é", "md", "p1", f"{i % 9}.md", "zz"])
+        policies.append((i, r.choice(["*", "c1", "c2"]), field, op, value, r.choice(["reject", "allow"]), r.randrange(300)))
+    want = {}
+    for d in docs:
+        won = min(((-p[6], p[0], p[5]) for p in policies if holds(p, d)), default=None)
+        if won:
+            want[d[0]] = (won[1], won[2], -won[0])
+    sizes = []
+    for some in (policies, policies[::8]):
+        got = policy.decisions(documents(spark, docs), spark.createDataFrame(some, policy.POLICY))
+        sizes.append(len(got._jdf.queryExecution().optimizedPlan().toString()))
+        if some is policies:
+            assert {x.seq: (x.policy_id, x.action, x.priority) for x in got.collect()} == want
+    assert len({w[0] for w in want.values()}) > 3 and sizes[0] < 1.5 * sizes[1]
