@@ -39,7 +39,7 @@ def nest(parents: DataFrame, children: DataFrame, keys: list[str], item: Column,
                                                in enumerate(order)], item.alias("v")).alias("_item"))
     weight = _text_bytes(F.col("_item.v"), packed.schema["_item"].dataType["v"].dataType)
     totals = [F.count("*").alias(f"{name}_count"), F.sum(weight).alias(f"{name}_bytes")]
-    gather = F.array_sort(F.collect_list("_item")).alias("_items")
+    gather = F.sort_array(F.collect_list("_item")).alias("_items")
     unpack = F.transform("_items", lambda e: e["v"]).alias(name)
     shape = [*keys, f"{name}_count", f"{name}_bytes"]
 

@@ -288,3 +288,18 @@ def test_commits_of_one_row_group_are_work_for_all_cores(spark, tmp_path):
     spark.range(200).selectExpr("id as c_custkey", "concat('n', id) as c_name").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
     rows = Q.commits(Tables(spark, str(tmp_path)))
     assert spread_over(rows) >= 4 and sorted(r.c_custkey for r in rows.select("c_custkey").collect()) == [*range(200)]
+
+
+def test_issues_pulls_and_comments_of_one_row_group_are_work_for_all_cores(spark, tmp_path):
+    from harborline.queries import codehost as Q
+    from harborline.queries.registry import Tables
+
+    t = Tables(spark, str(tmp_path))
+    day = "timestamp'2024-01-01' as {}"
+    spark.range(200).selectExpr("id as o_orderkey", "id as o_custkey", "'F' as o_orderstatus", "'1' as o_orderpriority",
+                                day.format("o_orderdate")).coalesce(1).write.parquet(t.path("orders"))
+    spark.range(200).selectExpr("id as l_orderkey", "id as l_partkey", "id as l_suppkey", "1 as l_linenumber", "2.0D as l_quantity",
+                                "'R' as l_returnflag", day.format("l_shipdate")).coalesce(1).write.parquet(t.path("lineitem"))
+    for rows, key in ((Q.issues(t), "o_orderkey"), (Q.pulls(t), "o_orderkey"), (Q.comments(t), "number"), (Q.reviews(t), "number")):
+        assert spread_over(rows) >= 4 and sorted(r[0] for r in rows.select(key).collect()) == [*range(200)]
+    assert {r[0] for r in Q.pulls(t).select("p.merged_at").collect()} == {"2024-01-01T00:00:00Z"}
