@@ -271,31 +271,51 @@ def _summed(keys: np.ndarray, values: list[np.ndarray]) -> tuple[np.ndarray, lis
     return distinct, [np.bincount(number, weights=v, minlength=len(distinct)) for v in values]
 
 
+def _weights(met: list[pa.Scalar], d1: list[float], d2: list[float], total: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct histories and log10 a(h) (c(h) + 1) of each."""
+    parts = [_unpack(data.as_py(), _HISTORY) for data in met]
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(0)
+    hist, number = np.unique(np.concatenate([np.cumsum(x[0], dtype=np.uint64) for x in parts]), return_inverse=True)
+
+    def field(i: int) -> np.ndarray:
+        return np.bincount(number, weights=np.concatenate([x[1 + i] for x in parts]), minlength=len(hist))
+
+    left, under = np.zeros(len(hist)), np.zeros(len(hist))
+    for i in range(K):
+        left += (1 - d2[i]) * (i + 1) * field(i)
+        under += d1[i] * (i + 1) * field(K + i)
+    return hist, np.log10((1.0 + left) / (1 - (field(2 * K) + under) / (total + 1)))
+
+
 def _back(d1: list[float], d2: list[float], total: int):
     """Of one group of histories: log10 a(h) (c(h) + 1), summed over the tokens of a
     document that back off from them."""
     def back(table: pa.Table) -> pa.Table:
+        # Numbers stay as narrow as they came until one field at a time is summed.
         met, asked = [], []
-        for kind, data in zip(table.column("kind").to_pylist(), table.column("data").to_pylist()):
-            if kind == "history":
-                x = _unpack(data, _HISTORY)
-                met.append((np.cumsum(x[0], dtype=np.uint64), *[f.astype(np.int64) for f in x[1:]]))
-            else:
-                hv, runs, flushes, source, doc = _unpack(data, ["u"] * 5)
-                asked.append((np.repeat(np.cumsum(hv, dtype=np.uint64), runs), flushes[source].astype(np.int64), doc.astype(np.int64)))
-        out = []
-        if asked:
-            h, flush, doc = (np.concatenate(x) for x in zip(*asked))
+        for kind, data in zip(table.column("kind").to_pylist(), table.column("data")):
+            (met if kind == "history" else asked).append(data)
+        hist, weights = _weights(met, d1, d2, total)
+        names, parts = {}, []
+        for data in asked:
+            hv, runs, flushes, source, doc = _unpack(data.as_py(), ["u"] * 5)
+            number = np.array([names.setdefault(f, len(names)) for f in flushes.tolist()], np.uint32)
+            h = np.cumsum(hv, dtype=np.uint64)
             weight = np.zeros(len(h))
-            if met:
-                hist, f = _summed(np.concatenate([m[0] for m in met]), [np.concatenate([m[i] for m in met]) for i in range(1, len(met[0]))])
-                left = 1.0 + sum((1 - d2[i]) * (i + 1) * f[i] for i in range(K))
-                under = f[2 * K] + sum(d1[i] * (i + 1) * f[K + i] for i in range(K))
+            if len(hist):
                 at = np.minimum(np.searchsorted(hist, h), len(hist) - 1)
-                weight = np.where(hist[at] == h, np.log10(left / (1 - under / (total + 1)))[at], 0.0)
-            for name in np.unique(flush).tolist():
-                own, (sums,) = _summed(doc[flush == name], [weight[flush == name]])
-                out.append((name, _pack(_small(np.diff(own, prepend=0)), sums)))
+                weight = np.where(hist[at] == h, weights[at], 0.0)
+            parts.append((number[source], doc, np.repeat(weight, runs)))
+        out = []
+        if parts:
+            flush, doc, weight = (np.concatenate(x) for x in zip(*parts))
+            del parts
+            for name, i in names.items():
+                mine = flush == i
+                if mine.any():
+                    own, (sums,) = _summed(doc[mine], [weight[mine]])
+                    out.append((np.uint64(name).astype(np.int64), _pack(_small(np.diff(own.astype(np.int64), prepend=0)), sums)))
         return pa.table({"kind": pa.array(["back"] * len(out), pa.string()), "key": pa.array([o[0] for o in out], pa.int64()),
                          "data": pa.array([o[1] for o in out], pa.binary())})
     return back
