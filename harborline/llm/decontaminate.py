@@ -27,14 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from harborline.llm.words import IS_MARK, LOWER
-from harborline.llm.runtime import prepare
+from harborline.llm.runtime import kept, lean, prepare
 
 WINDOW = 13
 #: Item text of one automaton: about a quarter of a gigabyte.
 BLOCK_BYTES = 2 << 20
 
 _NORMAL = bytes(0x20 if IS_MARK[LOWER[b]] else LOWER[b] for b in range(256))
-_BUILT: dict[str, object] = {}
 
 SCHEMA = ("n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
           "hit_spans array<struct<start: long, end: long>>")
@@ -90,14 +89,6 @@ class _Machine:
         return len(words), {item for g in groups for item in self.items[g]}, runs
 
 
-def _automaton(key: str, items: list[tuple[str, bytes]], window: int) -> _Machine:
-    """Built once per Python worker."""
-    if key not in _BUILT:
-        _BUILT.clear()
-        _BUILT[key] = _Machine(items, window)
-    return _BUILT[key]
-
-
 def _char_spans(text: bytes, mask: np.ndarray) -> list[dict]:
     """Runs of hit words as character offsets of the original text."""
     flat = np.frombuffer(text.translate(_NORMAL), np.uint8) != 0x20
@@ -149,12 +140,12 @@ def _scanner(sent, key: str, window: int, last: bool, body: str):
     state = pa.struct([("items", pa.list_(pa.string())), ("runs", pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())])))])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = _automaton(key, sent.value, window)
+        machine = kept(key, lambda: _Machine(sent.value, window))
         for batch in batches:
             texts = batch.column(body).cast(pa.large_binary()).to_pylist()
             before = batch.column("hits").to_pylist() if "hits" in batch.schema.names else [None] * len(texts)
             passed = [c for c in batch.schema.names if c not in ("body", "hits")]
-            kept = [batch.column(c) for c in passed]
+            rest = [batch.column(c) for c in passed]
             found = []
             for text, old in zip(texts, before):
                 n, items, runs = machine.find(text or b"")
@@ -166,14 +157,14 @@ def _scanner(sent, key: str, window: int, last: bool, body: str):
                 rows = [_result(t or b"", *f) for t, f in zip(texts, found)]
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), span]
                 yield pa.RecordBatch.from_arrays(
-                    [*kept, *[pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]],
+                    [*rest, *[pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]],
                     [*passed, "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "hit_spans"])
             else:
                 more = [] if body != "body" else ["body"]
                 hits = [{"items": sorted(i), "runs": [{"first": a, "last": z} for a, z in r]} for _, i, r in found]
-                yield pa.RecordBatch.from_arrays([*kept, *map(batch.column, more), pa.array(hits, state)], [*passed, *more, "hits"])
+                yield pa.RecordBatch.from_arrays([*rest, *map(batch.column, more), pa.array(hits, state)], [*passed, *more, "hits"])
 
-    return scan
+    return lean(scan, key)
 
 
 _NONE = hashlib.sha256(b"").hexdigest()

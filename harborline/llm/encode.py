@@ -7,8 +7,8 @@ split always falls and the pieces encoded on their own:
 * "spaced": before a blank followed by a character that is surely not white
   space, for byte-level ones that join one blank to the word behind it.
 
-A worker keeps the ids of the pieces it has met, keyed by 64-bit hashes (two
-million pieces at most, then it starts anew; a false match has a probability of
+A worker keeps the ids of the pieces it has met, keyed by 64-bit hashes (about one
+million pieces or eight million ids, then it starts anew; a false match has a probability of
 about 1e-7 per worker), and looks up all pieces of a buffer at once.
 
 A text that spells out an added token such as <|endoftext|> gets its id, as by
@@ -22,11 +22,17 @@ import os
 
 import numpy as np
 
+from harborline.llm.runtime import kept
 from harborline.llm.words import IS_SPACE, buffer, chunks, hash_spans, spans
 
-_SLOTS = 1 << 22
-_FULL = _SLOTS // 2
+#: Pieces, and ids of pieces, from which on a worker starts anew.
+_FULL, _IDS = 1 << 20, 1 << 23
+#: Bits of a slot's number at first.  Tables are at most half full and double.
+_BITS = 16
 _TOGETHER = 32
+#: Bytes of text looked up at a time, and pieces that are strings and lists at a time.
+_BYTES = 1 << 19
+_SLICE = 1 << 13
 
 # First bytes of characters that are not white space: printable ASCII and lead
 # bytes other than those under which Unicode has white space (C2, E1, E2, E3).
@@ -51,21 +57,35 @@ class Encoder:
         self._reset()
 
     def _reset(self):
-        self.keys = np.zeros(_SLOTS, np.uint64)
-        self.at = np.full(_SLOTS, -1, np.int32)
+        self._slots(_BITS)
         self.n, self.used = 0, 0
         self.first, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
         self.pool = np.zeros(1 << 18, np.int32)
 
+    def _slots(self, bits: int):
+        self.bits = bits
+        self.keys = np.zeros(1 << bits, np.uint64)
+        self.at = np.full(1 << bits, -1, np.int32)
+
+    def _room(self, n: int):
+        """Slots for `n` pieces; known ones keep their numbers."""
+        bits = max(self.bits, (2 * n - 1).bit_length())
+        if bits > self.bits:
+            used = np.flatnonzero(self.at >= 0)
+            known = self.keys[used[np.argsort(self.at[used])]]
+            self._slots(bits)
+            self.n = 0
+            self._find(known, add=True)
+
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _find(self, h: np.ndarray, add: bool = False) -> np.ndarray:
-        """Piece numbers of hashes, -1 if unknown; `add` gives distinct
-        unknown ones the next numbers."""
+        """Piece numbers of hashes, -1 if unknown; `add` gives hashes, all
+        distinct and unknown, the next numbers in order."""
         out = np.full(len(h), -1, np.int32)
         todo = np.arange(len(h))
-        slot = (h >> np.uint64(42)).astype(np.int64)
+        slot = (h >> np.uint64(64 - self.bits)).astype(np.int64)
         while len(todo):
             s = slot[todo]
             have = self.at[s]
@@ -75,16 +95,16 @@ class Encoder:
             if add:
                 _, one = np.unique(s[empty], return_index=True)
                 new, place = todo[empty][one], s[empty][one]
-                number = np.arange(self.n, self.n + len(new), dtype=np.int32)
-                self.keys[place], self.at[place], out[new] = h[new], number, number
-                self.n += len(new)
+                self.keys[place], self.at[place], out[new] = h[new], self.n + new, self.n + new
                 lost = np.ones(int(empty.sum()), bool)
                 lost[one] = False
                 again = np.concatenate((todo[~same & ~empty], todo[empty][lost]))
             else:
                 again = todo[~same & ~empty]
-            slot[again] = (slot[again] + 1) & (_SLOTS - 1)
+            slot[again] = (slot[again] + 1) & (len(self.keys) - 1)
             todo = again
+        if add:
+            self.n += len(h)
         return out
 
     def _ids_of(self, texts: list[str]) -> list[list[int]]:
@@ -109,21 +129,26 @@ class Encoder:
         return out
 
     def _learn(self, buf, starts, lengths, h):
+        """Encodes the distinct pieces, some at a time: strings and lists of
+        numbers take many times the bytes of what is kept."""
         _, one = np.unique(h, return_index=True)
-        got = self._ids_of([buf[s:s + n].tobytes().decode("utf-8")
-                            for s, n in zip(starts[one].tolist(), lengths[one].tolist())])
-        number = self._find(h[one], add=True)
-        sizes = np.fromiter(map(len, got), np.int64, len(got))
-        flat = np.fromiter(itertools.chain.from_iterable(got), np.int32, int(sizes.sum()))
+        h, starts, lengths = h[one], starts[one], lengths[one]
+        self._room(self.n + len(h))
+        number = self._find(h, add=True)
         while self.n > len(self.first):
             self.first = np.concatenate((self.first, np.zeros_like(self.first)))
             self.length = np.concatenate((self.length, np.zeros_like(self.length)))
-        while self.used + len(flat) > len(self.pool):
-            self.pool = np.concatenate((self.pool, np.zeros_like(self.pool)))
-        self.pool[self.used:self.used + len(flat)] = flat
-        self.first[number] = self.used + np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        self.length[number] = sizes
-        self.used += len(flat)
+        for i in range(0, len(h), _SLICE):
+            got = self._ids_of([buf[s:s + n].tobytes().decode("utf-8")
+                                for s, n in zip(starts[i:i + _SLICE].tolist(), lengths[i:i + _SLICE].tolist())])
+            sizes = np.fromiter(map(len, got), np.int64, len(got))
+            flat = np.fromiter(itertools.chain.from_iterable(got), np.int32, int(sizes.sum()))
+            while self.used + len(flat) > len(self.pool):
+                self.pool = np.concatenate((self.pool, np.zeros_like(self.pool)))
+            self.pool[self.used:self.used + len(flat)] = flat
+            self.first[number[i:i + _SLICE]] = self.used + np.concatenate(([0], np.cumsum(sizes)[:-1]))
+            self.length[number[i:i + _SLICE]] = sizes
+            self.used += len(flat)
 
     def _pieces(self, buf: np.ndarray, at: np.ndarray):
         if self.words:
@@ -151,14 +176,14 @@ class Encoder:
             lo = i + 1
 
     def _encode_pieces(self, texts: list[bytes]):
-        for lo, hi in chunks(texts):
+        for lo, hi in chunks(texts, _BYTES):
             buf, at = buffer(texts[lo:hi], lower=False)
             starts, lengths, counts = self._pieces(buf, at)
             h = hash_spans(buf, starts, lengths)
             number = self._find(h)
             new = number < 0
             if new.any():
-                if self.n + int(new.sum()) > _FULL:
+                if self.n + int(new.sum()) > _FULL or self.used > _IDS:
                     self._reset()
                     new[:] = True
                 self._learn(buf, starts[new], lengths[new], h[new])
@@ -170,14 +195,8 @@ class Encoder:
             yield lo, hi, self.pool[where], bounds
 
 
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
-
-
 def encoder(path: str, pieces: str) -> Encoder:
-    key = (path, pieces)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(path, pieces)
-    return _ENCODERS[key]
+    return kept((path, pieces), lambda: Encoder(path, pieces))
 
 
 def with_end(ids: np.ndarray, bounds: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:

@@ -414,7 +414,7 @@ def scored(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id", text_co
     count as often as they stand there.  If nothing is learnt from, every token
     is the unknown one.  Further columns are ignored; no rows give no rows.
     """
-    spark = prepare(docs.sparkSession)
+    spark = prepare(docs.sparkSession, 16 << 20)  # more tokens in a flush, fewer bytes shuffled
     rows = docs.select(
         F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"),
         F.xxhash64(F.col(id_col), F.col(text_col)).alias("key"),

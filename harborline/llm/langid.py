@@ -21,7 +21,7 @@ import pyarrow as pa
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from harborline.llm.runtime import prepare
+from harborline.llm.runtime import lean, prepare
 
 UNKNOWN = "und"
 DIMENSIONS = 1 << 16
@@ -160,7 +160,7 @@ def train(docs: DataFrame, *, text_col: str = "text", label_col: str = "lang",
     prepare(docs.sparkSession)
     rows = docs.select(F.col(text_col).alias("t"), F.col(label_col).cast("string").alias("y")) \
         .where("t is not null and y is not null and t rlike '\\\\p{L}'")
-    found = (rows.select("t").mapInArrow(_frequencies, "gram long, n long")
+    found = (rows.select("t").mapInArrow(lean(_frequencies), "gram long, n long")
              .groupBy("gram").agg(F.sum("n").alias("n")).collect())
     df = np.zeros(DIMENSIONS)
     total = 0
@@ -202,4 +202,4 @@ def predict(docs: DataFrame, model: Model, *, text_col: str = "text",
                 [*[batch.column(c) for c in names], pa.array([g[0] for g in got], pa.string()),
                  pa.array([g[1] for g in got], pa.float64())], [*names, "lang_pred", "score"])
 
-    return rows.mapInArrow(run, f"{schema}, lang_pred string, score double")
+    return rows.mapInArrow(lean(run), f"{schema}, lang_pred string, score double")

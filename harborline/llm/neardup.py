@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from harborline.llm.components import components
 from harborline.llm.words import buffer, chunks, combine, hash_spans, mix, spans, texts_of
-from harborline.llm.runtime import prepare
+from harborline.llm.runtime import lean, prepare
 from harborline.session import materialize
 
 SHINGLE = 5
@@ -176,7 +176,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body"))
     kind = texts.schema["id"].dataType.simpleString()
     signed = materialize(texts.mapInArrow(
-        lambda batches: _sign(batches, bands, rows), f"id {kind}, n long, f long, g long, bands array<long>"), "signed")
+        lean(lambda batches: _sign(batches, bands, rows)), f"id {kind}, n long, f long, g long, bands array<long>"), "signed")
     classes = materialize(
         signed.where("id is not null and n > 0").groupBy("n", "f", "g")
         .agg(F.min("id").alias("head"), F.first("bands").alias("bands")), "classes")
@@ -203,7 +203,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         tested.join(bodies.select(F.col("id").alias("a"), F.col("body").alias("ta")), "a")
         .join(bodies.select(F.col("id").alias("b"), F.col("body").alias("tb")), "b")
         .select("a", "b", "ta", "tb").mapInArrow(
-            lambda batches: _compare(batches, percent), f"a {kind}, b {kind}").distinct(), "links")
+            lean(lambda batches: _compare(batches, percent)), f"a {kind}, b {kind}").distinct(), "links")
 
     # Buckets whose members are still in different components, in blocks of bounded size.
     own = components(links).withColumnRenamed("node", "head")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from harborline.llm.encode import encoder, with_end
 from harborline.llm.words import texts_of
-from harborline.llm.runtime import prepare
+from harborline.llm.runtime import lean, prepare
 from harborline.session import materialize
 
 CAPACITY = 1024
@@ -115,7 +115,7 @@ def pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col:
                      pa.array(crc, pa.int64())], ["uid", "id", "piece", "start", "length", "ids_crc32"])
                 uid += len(doc)
 
-    return rows.mapInArrow(cut, f"uid long, id {kind}, piece int, start long, length long, ids_crc32 long")
+    return rows.mapInArrow(lean(cut, (tokenizer, "spaced")), f"uid long, id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 _PLACED = "uid long, length long, sequence_id long, offset long, filled long, bound long, bins long"
